@@ -10,6 +10,15 @@ from pyspark.sql import types as T
 
 from gearyard.functions.text import sanitize_table_name
 
+# Doubled quotes inside quoted fields, and field spaces kept, as other tools write and read CSV.
+_CSV = {
+    "header": "true",
+    "encoding": "UTF-8",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 # Accepted headers of the catalogue's type column.
 CATALOGUE_HEADERS = ("type moteur", "type_moteur", "typemoteur")
 # Required headers of the item export, and our names for them.
@@ -44,7 +53,7 @@ def ingest_exports(spark: SparkSession, in_folder: str, out_folder: str,
     summary = []
     for name in names:
         table = sanitize_table_name(name.removesuffix(".csv"))
-        reader = spark.read.option("header", True)
+        reader = spark.read.options(**_CSV)
         schema = (schemas or {}).get(table)
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
         target = f"{out_folder.rstrip('/')}/{table}"
@@ -63,7 +72,7 @@ def catalogue_from(table: DataFrame) -> DataFrame:
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    return catalogue_from(spark.read.option("header", True).csv(path))
+    return catalogue_from(spark.read.options(**_CSV).csv(path))
 
 
 def items_export_from(table: DataFrame) -> DataFrame:
@@ -74,9 +83,9 @@ def items_export_from(table: DataFrame) -> DataFrame:
 
 
 def read_items_export(spark: SparkSession, path: str) -> DataFrame:
-    return items_export_from(spark.read.option("header", True).csv(path))
+    return items_export_from(spark.read.options(**_CSV).csv(path))
 
 
 def write_csv(table: DataFrame, path: str) -> None:
     """UTF-8 CSV with a header, one part per task."""
-    table.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    table.write.mode("overwrite").options(**_CSV).csv(path)
