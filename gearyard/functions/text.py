@@ -74,13 +74,12 @@ def normalize_text(text: Column) -> Column:
 
 def synonym_pairs() -> Column:
     """The synonym list as one constant array of (term, word)."""
-    return F.array(
-        *[
-            F.struct(F.lit(term).alias("term"), F.lit(word).alias("word"))
-            for term, spellings in SYNONYMS.items()
-            for word in spellings
-        ]
-    )
+    pairs = [
+        f"named_struct('term', '{term}', 'word', '{word}')"
+        for term, spellings in SYNONYMS.items()
+        for word in spellings
+    ]
+    return F.expr(f"array({', '.join(pairs)})")
 
 
 def variants(norm: Column) -> Column:

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gearyard.functions.skew import salted_join
 from gearyard.functions.text import (
     has_text,
     normalize_text,
@@ -185,7 +186,9 @@ def smart_match(searches: DataFrame, needs: DataFrame) -> DataFrame:
     # At most one row per need and search text: the group is as long as the needs list.
     place = Window.partitionBy("norm").orderBy(F.desc("score"), F.asc("need_rank"))
     matched = scored.withColumn("rank", F.row_number().over(place)).join(ranked, "need_rank")
-    return asked.join(matched, "norm").select("search_id", *needs.columns, "score", "rank")
+    return salted_join(asked, matched, ["norm"], "inner", spread=["search_id"]).select(
+        "search_id", *needs.columns, "score", "rank"
+    )
 
 
 def plate_lookup(searches: DataFrame, plates: DataFrame) -> DataFrame:
@@ -200,7 +203,7 @@ def plate_lookup(searches: DataFrame, plates: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(*fields)).alias("vehicle"))
     )
     asked = searches.filter(has_text(F.col("plate"))).select("search_id", plate_key(F.col("plate")).alias("_key"))
-    return asked.join(vehicles, "_key").select("search_id", *[F.col(f"vehicle.{f}").alias(f) for f in fields])
+    return salted_join(asked, vehicles, ["_key"], "inner", spread=["search_id"]).select("search_id", *[F.col(f"vehicle.{f}").alias(f) for f in fields])
 
 
 def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
@@ -253,4 +256,4 @@ def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
     ).select(*profile, F.lit(3).alias("tier"), "need_rank")
 
     found = reduce(DataFrame.unionByName, [by_code, by_vehicle, every_need]).join(ranked, "need_rank")
-    return vehicles.join(found, profile).select("plate", "tier", *needs.columns)
+    return salted_join(vehicles, found, profile, "inner", spread=["plate"]).select("plate", "tier", *needs.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gearyard.functions.clock import on_day
 from gearyard.functions.numbering import dense_numbers
+from gearyard.functions.skew import salted_join
 from gearyard.functions.text import blank_to_null, strip
 from gearyard.sources.schema import TABLES
 from gearyard.sources.tables import Tables
@@ -99,9 +100,9 @@ def _recent(offers: DataFrame, vendors: DataFrame, n: int) -> DataFrame:
     The vendor join runs on two narrow columns; only the n chosen offers are
     then read in full.
     """
+    names = vendors.select(F.col("id").alias("vendor_id"), F.col("name").alias("vendor"))
     chosen = (
-        offers.select("id", "vendor_id")
-        .join(vendors.select(F.col("id").alias("vendor_id"), F.col("name").alias("vendor")), "vendor_id")
+        salted_join(offers.select("id", "vendor_id"), names, ["vendor_id"], "inner", spread=["id"])
         .orderBy(F.desc("id")).limit(n).select("id", "vendor")
     )
     details = [c for c in offers.columns if c not in ("id", "vendor_id", "created_at")]

@@ -78,8 +78,12 @@ def purchase_price_monthly_code(tables: Tables, as_of, n_months: int = 12, code:
 
 
 def sale_price_monthly_code(tables: Tables, as_of, n_months: int = 12, code: str | None = None) -> DataFrame:
-    rows = _by_code(_sales(tables, as_of, n_months).join(_coded(tables), "item_id"), code)
-    return rows.groupBy("code", month_of(F.col("at")).alias("month")).agg(_average("price").alias("avg_sale"))
+    """Monthly average sale price; totals per item and month meet the items."""
+    per_item = _sales(tables, as_of, n_months).groupBy("item_id", month_of(F.col("at")).alias("month")).agg(
+        F.sum("price").alias("total"), F.count("price").alias("n")
+    )
+    rows = per_item.join(_by_code(_coded(tables), code), "item_id")
+    return rows.groupBy("code", "month").agg(mean(F.sum("total"), F.sum("n")).alias("avg_sale"))
 
 
 def _with_margin(purchases: DataFrame, sales: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gearyard.functions.measures import clip
+from gearyard.functions.skew import salted_join
 from gearyard.functions.text import strip
 from gearyard.operators.needs import needs_items
 from gearyard.operators.prices import sale_price_avg_3m
@@ -62,7 +63,8 @@ def catalogue_mapping(clean: DataFrame, export: DataFrame | None = None) -> Data
     modal = modal_code_per_type(export).select(
         F.col("type_id").alias("type_number"), F.col("code").alias("code_mapped")
     )
-    return numbered.join(modal, "type_number", "left").withColumn(
+    joined = salted_join(numbered, modal, ["type_number"], "left", spread=["type_text"])
+    return joined.withColumn(
         "mapping_status", F.when(F.col("code_mapped").isNotNull(), _MAPPED).otherwise(_NOT_FOUND)
     ).select(*numbered.columns, "code_mapped", "mapping_status")
 
@@ -93,16 +95,17 @@ def proposals_from(mapped: DataFrame, needs: DataFrame, prices: DataFrame, targe
     The joins treat NULL keys as equal: an unmapped line meets the need without
     a code, if there is one.
     """
-    need = needs.select(F.col("code").alias("_need_code"), "sold_3m", "stock", "urgency")
-    sale = prices.select(F.col("code").alias("_sale_code"), "avg_sale_3m")
-    joined = (
-        mapped.join(need, F.col("code_mapped").eqNullSafe(F.col("_need_code")), "left")
-        .join(sale, F.col("code_mapped").eqNullSafe(F.col("_sale_code")), "left")
+    need = needs.select("code", "sold_3m", "stock", "urgency")
+    sale = prices.select("code", "avg_sale_3m")
+    # Both describe one code: joined to each other first, the catalogue meets them once.
+    known = need.join(sale, need["code"].eqNullSafe(sale["code"]), "full_outer").select(
+        F.coalesce(need["code"], sale["code"]).alias("code_mapped"), "sold_3m", "stock", "urgency", "avg_sale_3m"
     )
+    joined = salted_join(mapped, known, ["code_mapped"], "left", spread=["type_text"], null_safe=True)
     zeroed = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("sold_3m", "stock", "urgency", "avg_sale_3m")}
     margin = effective_margin(F.col("urgency"), F.col("stock"), F.col("sold_3m"), target, bonus, malus)
     return (
-        joined.drop("_need_code", "_sale_code").withColumns(zeroed)
+        joined.withColumns(zeroed)
         .withColumn("margin", margin)
         .withColumn("proposed_price", F.rint(F.col("avg_sale_3m") * (F.lit(1.0) - F.col("margin"))))
         .withColumn("decision", price_decision(

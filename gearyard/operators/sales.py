@@ -20,6 +20,11 @@ def _month(day: str) -> Column:
     return month_of(day).alias("month")
 
 
+def _item_days(dispatches: DataFrame) -> DataFrame:
+    """Dispatches per item and day, so that the item join sees no hot item."""
+    return dispatches.groupBy("item_id", F.to_date("validated_at").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def sales_recent(tables: Tables, as_of, n_months: int = 3) -> DataFrame:
     """Sales by day, month, code, brand and energy.
 
@@ -28,10 +33,9 @@ def sales_recent(tables: Tables, as_of, n_months: int = 3) -> DataFrame:
     does, so the weight comes from the windowed dispatches alone.
     """
     recent = recent_dispatches(tables, as_of, n_months).select("item_id", "validated_at")
-    days = recent.groupBy("item_id", F.to_date("validated_at").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     items = tables["items"].select("item_id", folded_code().alias("code"), "type_id")
     per_type = (
-        days.join(latest_ties(recent), "item_id").join(items, "item_id")
+        _item_days(recent).join(latest_ties(recent), "item_id").join(items, "item_id")
         .groupBy("day", "code", "type_id").agg(F.sum(F.col("n") * F.col("n_ties")).alias("n"))
     )
     return (
@@ -42,10 +46,10 @@ def sales_recent(tables: Tables, as_of, n_months: int = 3) -> DataFrame:
 
 def sales_recent_by_type(tables: Tables, as_of, n_months: int = 3) -> DataFrame:
     """Sales by day, month and type, with the three-character type prefix."""
-    recent = recent_dispatches(tables, as_of, n_months).select("item_id", F.to_date("validated_at").alias("day"))
     per_type = (
-        recent.join(tables["items"].select("item_id", "type_id"), "item_id")
-        .groupBy("day", "type_id").agg(F.count(F.lit(1)).alias("n"))
+        _item_days(recent_dispatches(tables, as_of, n_months))
+        .join(tables["items"].select("item_id", "type_id"), "item_id")
+        .groupBy("day", "type_id").agg(F.sum("n").alias("n"))
     )
     return (
         enrich(per_type, tables).filter(has_text(F.col("type_name")))

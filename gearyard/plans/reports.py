@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from gearyard.functions import text as tx
 from gearyard.operators import matching, needs, offers, prices, pricing, sales, stock, views
-from gearyard.session import scratch_dir
+from gearyard.session import adapt, scratch_dir
 from gearyard.sources import exports
 from gearyard.sources import tables as tb
 from gearyard.sources.sample import AS_OF, OFFER_DAY, sample_tables
@@ -32,7 +32,11 @@ def comparable(table: DataFrame) -> DataFrame:
 
 
 def _over_tables(build: Callable[[tb.Tables], DataFrame]) -> Report:
-    return lambda spark, folder: comparable(build(sample_tables(spark, folder)))
+    def report(spark: SparkSession, folder: str) -> DataFrame:
+        adapt(spark)
+        return comparable(build(sample_tables(spark, folder)))
+
+    return report
 
 
 def _needs(t: tb.Tables, n: int = 50) -> DataFrame:

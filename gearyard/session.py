@@ -7,13 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Skew handling and runtime join choice are left to adaptive execution: it
-# broadcasts a side only after measuring it, and splits a hot join partition.
+# Runtime join choice is left to adaptive execution: it broadcasts a side only
+# after measuring it, and splits a hot join partition even if that costs a shuffle.
 ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -21,11 +21,18 @@ def build_session(app: str = "gearyard", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**ADAPTIVE_SETTINGS, **conf}.items():
+    fixed = {"spark.sql.session.timeZone": "UTC", "spark.python.sql.dataFrameDebugging.enabled": "false"}
+    for key, value in {**ADAPTIVE_SETTINGS, **fixed, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def adapt(spark: SparkSession) -> None:
+    """Turn the adaptive settings on in a session someone else built."""
+    for key, value in ADAPTIVE_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh sub-folder of the shared folder named by ``spark.checkpoint.dir``.
 
