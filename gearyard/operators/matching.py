@@ -251,9 +251,11 @@ def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
         *profile, F.lit(2).alias("tier"), "need_rank"
     )
     left_over = unmatched.join(by_vehicle.select(*profile).distinct(), profile, "left_anti")
-    every_need = left_over.withColumn("_piece", F.lit("")).join(
-        listed.select(F.lit("").alias("_piece"), "need_rank"), "_piece"
-    ).select(*profile, F.lit(3).alias("tier"), "need_rank")
+    # Ranks run from 1 to the length of the list, so the whole list is a sequence.
+    n_needs = listed.agg(F.count(F.lit(1)).cast("int")).scalar()
+    every_need = left_over.filter(n_needs > 0).select(
+        *profile, F.lit(3).alias("tier"), F.explode(F.sequence(F.lit(1), n_needs)).alias("need_rank")
+    )
 
     found = reduce(DataFrame.unionByName, [by_code, by_vehicle, every_need]).join(ranked, "need_rank")
     return salted_join(vehicles, found, profile, "inner", spread=["plate"]).select("plate", "tier", *needs.columns)

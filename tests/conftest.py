@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.maxPlanStringLength": "1000000",
             "spark.checkpoint.dir": str(base / "shared"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
         },
