@@ -8,8 +8,6 @@ nothing with, and equal searches are matched once.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -227,10 +225,9 @@ def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
         F.upper("brand").alias("_need_brand"), F.upper("energy").alias("_need_energy"),
     )
 
-    by_code = profiles.filter(F.col("_code") != "").join(
-        listed.select("need_rank", F.col("_need_code").alias("_code")), "_code"
-    ).select(*profile, F.lit(1).alias("tier"), "need_rank")
-    unmatched = profiles.join(by_code.select(*profile).distinct(), profile, "left_anti")
+    coded = listed.filter(F.col("_need_code") != "").select("need_rank", F.col("_need_code").alias("_code"))
+    by_code = profiles.join(coded, "_code").select(*profile, F.lit(1).alias("tier"), "need_rank")
+    unmatched = profiles.join(coded.select("_code").distinct(), "_code", "left_anti")
 
     # A brand looks up brand pieces, a blank brand energy pieces; the empty piece is in every need.
     def pieces(field: str, column: str) -> DataFrame:
@@ -242,20 +239,24 @@ def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
     has_brand = F.col("_brand") != ""
     asked = unmatched.select(
         *profile,
-        F.when(has_brand, "brand").otherwise("energy").alias("_field"),
-        F.when(has_brand, F.col("_brand")).otherwise(F.col("_energy")).alias("_piece"),
+        F.when(has_brand, "brand").otherwise("energy").alias("_asked_field"),
+        F.when(has_brand, F.col("_brand")).otherwise(F.col("_energy")).alias("_asked_piece"),
     )
     index = pieces("brand", "_need_brand").unionByName(pieces("energy", "_need_energy"))
-    passes = F.contains(F.col("_need_energy"), F.col("_energy")) | (F.col("_energy") == "")
-    by_vehicle = asked.join(index, ["_field", "_piece"]).filter(passes).select(
-        *profile, F.lit(2).alias("tier"), "need_rank"
+    contained = (
+        (F.col("_field") == F.col("_asked_field"))
+        & (F.col("_piece") == F.col("_asked_piece"))
+        & (F.contains(F.col("_need_energy"), F.col("_energy")) | (F.col("_energy") == ""))
     )
-    left_over = unmatched.join(by_vehicle.select(*profile).distinct(), profile, "left_anti")
-    # Ranks run from 1 to the length of the list, so the whole list is a sequence.
-    n_needs = listed.agg(F.count(F.lit(1)).cast("int")).scalar()
-    every_need = left_over.filter(n_needs > 0).select(
-        *profile, F.lit(3).alias("tier"), F.explode(F.sequence(F.lit(1), n_needs)).alias("need_rank")
+    # A vehicle without a contained need gets the whole list: ranks run from 1 to its length.
+    whole_list = F.sequence(F.lit(1), listed.agg(F.count(F.lit(1)).cast("int")).scalar())
+    by_vehicle = asked.join(index, contained, "left").select(
+        *profile,
+        F.when(F.col("need_rank").isNull(), 3).otherwise(2).alias("tier"),
+        F.explode(
+            F.when(F.col("need_rank").isNull(), whole_list).otherwise(F.array("need_rank"))
+        ).alias("need_rank"),
     )
 
-    found = reduce(DataFrame.unionByName, [by_code, by_vehicle, every_need]).join(ranked, "need_rank")
+    found = by_code.unionByName(by_vehicle).join(ranked, "need_rank")
     return salted_join(vehicles, found, profile, "inner", spread=["plate"]).select("plate", "tier", *needs.columns)

@@ -46,9 +46,10 @@ def _needs(t: tb.Tables, n: int = 50) -> DataFrame:
 def _listed(t: tb.Tables) -> DataFrame:
     """The vendor screen's needs list, kept because matching reads it twice.
 
-    At most VENDOR_NEEDS rows; a lost block is recomputed from the tables.
+    At most VENDOR_NEEDS rows, hence one partition; a lost block is recomputed
+    from the tables.
     """
-    return _needs(t, VENDOR_NEEDS).persist(StorageLevel.MEMORY_AND_DISK)
+    return _needs(t, VENDOR_NEEDS).coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _movers(t: tb.Tables, kind: str, window: int = 3, min_count: int = 5) -> DataFrame:
