@@ -9,8 +9,8 @@ from gearyard.functions.clock import months_before
 from gearyard.functions.measures import mean, round_half_away, round_half_even
 from gearyard.functions.text import has_text
 from gearyard.operators.sales import recent_dispatches
-from gearyard.operators.views import DESCRIPTORS, enrich, folded_code, live_stock
-from gearyard.sources.tables import Tables
+from gearyard.operators.views import DESCRIPTORS, LATEST, enrich, folded_code, live_stock
+from gearyard.sources.tables import Tables, select_existing
 
 PAGE_SIZE = 20
 # A list cut to this many short codes is small enough to send to every task.
@@ -56,10 +56,10 @@ def _purchases(tables: Tables, as_of, top: DataFrame, top_n: int) -> DataFrame:
     )
 
 
-def _stock(tables: Tables, top: DataFrame, top_n: int) -> DataFrame:
+def _stock(tables: Tables, top: DataFrame, top_n: int, rule: str) -> DataFrame:
     items = _only(tables["items"], folded_code(), top, "code", top_n)
     per_type = (
-        live_stock(tables, items).groupBy(folded_code().alias("code"), "type_id")
+        live_stock(tables, items, rule).groupBy(folded_code().alias("code"), "type_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return enrich(per_type, tables).groupBy("code").agg(
@@ -85,10 +85,10 @@ def need_order(needs: DataFrame) -> list[Column]:
     return [F.desc("urgency"), F.desc("sold_3m"), *[F.asc_nulls_last(c) for c in keys]]
 
 
-def _with_details(top: DataFrame, tables: Tables, as_of, top_n: int) -> DataFrame:
+def _with_details(top: DataFrame, tables: Tables, as_of, top_n: int, rule: str) -> DataFrame:
     joined = (
         top.join(_purchases(tables, as_of, top, top_n), "code", "left")
-        .join(_stock(tables, top, top_n), "code", "left")
+        .join(_stock(tables, top, top_n, rule), "code", "left")
     )
     filled = {c: F.coalesce(F.col(c), F.lit("")) for c in DESCRIPTORS}
     return joined.withColumns({**filled, "stock": F.coalesce(F.col("stock"), F.lit(0)).cast("bigint")}).withColumn(
@@ -96,7 +96,7 @@ def _with_details(top: DataFrame, tables: Tables, as_of, top_n: int) -> DataFram
     )
 
 
-def needs_items(tables: Tables, as_of, top_n: int = 50) -> DataFrame:
+def needs_items(tables: Tables, as_of, top_n: int = 50, rule: str = LATEST) -> DataFrame:
     """The ``top_n`` best-selling codes of three months, most urgent first.
 
     The list is cut by sales before it is sorted by urgency. Cutting it first
@@ -109,13 +109,13 @@ def needs_items(tables: Tables, as_of, top_n: int = 50) -> DataFrame:
         .groupBy("code").agg(F.sum("n").alias("sold_3m"))
     )
     top = sold.orderBy(F.desc("sold_3m"), F.asc_nulls_last("code")).limit(top_n)
-    return _ranked(_with_details(top, tables, as_of, top_n).select(
+    return _ranked(_with_details(top, tables, as_of, top_n, rule).select(
         "code", *DESCRIPTORS, "sold_3m", "stock",
         "avg_purchase_3m", "avg_purchase_6m", "avg_purchase_12m", "urgency",
     ))
 
 
-def needs_items_by_type(tables: Tables, as_of, top_n: int = 50) -> DataFrame:
+def needs_items_by_type(tables: Tables, as_of, top_n: int = 50, rule: str = LATEST) -> DataFrame:
     """Needs by (code, type); stock and prices stay per code, so they repeat."""
     items = tables["items"].filter(has_text(F.col("code"))).select("item_id", folded_code().alias("code"), "type_id")
     sold = (
@@ -123,7 +123,7 @@ def needs_items_by_type(tables: Tables, as_of, top_n: int = 50) -> DataFrame:
         .groupBy("code", "type_id").agg(F.sum("n").alias("sold_3m"))
     )
     top = sold.orderBy(F.desc("sold_3m"), F.asc("code"), F.asc_nulls_last("type_id")).limit(top_n)
-    detailed = _with_details(top, tables, as_of, top_n)
+    detailed = _with_details(top, tables, as_of, top_n, rule)
     return _ranked(detailed.select(
         "code", F.substring("type_name", 1, 3).alias("type_prefix"), *DESCRIPTORS, "sold_3m", "stock",
         "avg_purchase_3m", "avg_purchase_6m", "avg_purchase_12m", "urgency",
@@ -176,6 +176,11 @@ def needs_page(needs: DataFrame, page: int, size: int = PAGE_SIZE) -> DataFrame:
     return _ranked(needs).offset((page - 1) * size).limit(size)
 
 
+def needs_table(needs: DataFrame) -> DataFrame:
+    """The columns a needs list shows, in display order, as far as it has them."""
+    return select_existing(needs, ["code", "gearbox_code", "sold_3m", "stock", "urgency", *DESCRIPTORS])
+
+
 def needs_pages(needs: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
     """One row: how many pages there are, at least one."""
     return needs.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).cast("bigint").alias("pages"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gearyard.functions.text import has_text
 from gearyard.operators.views import (
     DESCRIPTORS,
+    LATEST,
     availability_rows,
     availability_weights,
     enrich,
@@ -51,14 +52,14 @@ def latest_dispatched(tables: Tables, n: int = 5) -> DataFrame:
     ).orderBy(*order)
 
 
-def stock_by_code(tables: Tables) -> DataFrame:
+def stock_by_code(tables: Tables, rule: str = LATEST) -> DataFrame:
     items = tables["items"].filter(has_text(F.col("code")))
-    return live_stock(tables, items).groupBy(folded_code().alias("code")).agg(F.count(F.lit(1)).alias("stock"))
+    return live_stock(tables, items, rule).groupBy(folded_code().alias("code")).agg(F.count(F.lit(1)).alias("stock"))
 
 
-def stock_breakdown(tables: Tables) -> DataFrame:
+def stock_breakdown(tables: Tables, rule: str = LATEST) -> DataFrame:
     """Live stock by brand and energy, counted per type before the type join."""
-    per_type = live_stock(tables).groupBy("type_id").agg(F.count(F.lit(1)).alias("n"))
+    per_type = live_stock(tables, rule=rule).groupBy("type_id").agg(F.count(F.lit(1)).alias("n"))
     return enrich(per_type, tables).groupBy("brand", "energy").agg(F.sum("n").alias("n"))
 
 
@@ -81,10 +82,10 @@ def energy_share(breakdown: DataFrame) -> DataFrame:
     )
 
 
-def price_histogram(tables: Tables, bins: int = 40) -> DataFrame:
+def price_histogram(tables: Tables, bins: int = 40, rule: str = LATEST) -> DataFrame:
     """Equal-width bins over the positive purchase prices of available items."""
     price = F.col("purchase_price").cast("double")
-    prices = unsold_items(tables, tables["items"].filter(F.col("purchase_price") > 0)).select(price.alias("price"))
+    prices = unsold_items(tables, tables["items"].filter(F.col("purchase_price") > 0), rule).select(price.alias("price"))
     # Bins are taken on distinct prices with their counts, combined map-side.
     counted = prices.groupBy("price").agg(F.count(F.lit(1)).alias("n"))
     low, high = counted.agg(F.min("price")).scalar(), counted.agg(F.max("price")).scalar()

@@ -22,6 +22,9 @@ _TYPE_COLUMNS = {
     "base_purchase_price": "type_base_purchase_price",
 }
 
+# Availability rules: no dated dispatch, or no dispatch at all and neither archived nor assigned one.
+LATEST, EXISTS = "latest", "exists"
+
 DESCRIPTORS = ["brand", "energy", "type_name", "type_model", "type_year"]
 
 
@@ -68,20 +71,26 @@ def dated_dispatches(tables: Tables) -> DataFrame:
     return tables["dispatches"].filter(F.col("validated_at").isNotNull())
 
 
-def unsold_items(tables: Tables, items: DataFrame | None = None) -> DataFrame:
-    """Items without a dated dispatch: the available rows of the default rule.
+def unsold_items(tables: Tables, items: DataFrame | None = None, rule: str = LATEST) -> DataFrame:
+    """Available items under a rule; no rule repeats an available item.
 
     An anti join against distinct keys: the distinct is combined before its
     shuffle and leaves the keys partitioned the way the join needs them.
     """
-    sold = dated_dispatches(tables).select("item_id").distinct()
-    return (tables["items"] if items is None else items).join(sold, "item_id", "left_anti")
+    rows = tables["items"] if items is None else items
+    if rule == LATEST:
+        moved = dated_dispatches(tables)
+    elif rule == EXISTS:
+        moved, rows = tables["dispatches"], rows.filter(not_archived() & F.col("dispatch_id").isNull())
+    else:
+        raise ValueError(f"rule is {LATEST!r} or {EXISTS!r}")
+    return rows.join(moved.select("item_id").distinct(), "item_id", "left_anti")
 
 
-def live_stock(tables: Tables, items: DataFrame | None = None) -> DataFrame:
+def live_stock(tables: Tables, items: DataFrame | None = None, rule: str = LATEST) -> DataFrame:
     """Available items that are not archived."""
     rows = tables["items"] if items is None else items
-    return unsold_items(tables, rows.filter(not_archived()))
+    return unsold_items(tables, rows.filter(not_archived()), rule)
 
 
 def latest_ties(dispatches: DataFrame) -> DataFrame:
@@ -144,7 +153,18 @@ def availability_weights(tables: Tables) -> DataFrame:
     )
 
 
-def availability_exists(tables: Tables) -> DataFrame:
+def _own_descriptors(rows: DataFrame, tables: Tables) -> DataFrame:
+    """Type name, model and year from the item itself: its type id, typed model
+    and year of purchase."""
+    bought = tables["receipts"].select("receipt_id", F.year("purchased_at").cast("string").alias("_year"))
+    return rows.join(bought, "receipt_id", "left").withColumns({
+        "type_name": F.col("type_id").cast("string"),
+        "type_model": F.col("model_text"),
+        "type_year": F.col("_year"),
+    })
+
+
+def availability_exists(tables: Tables, own_descriptors: bool = False) -> DataFrame:
     """Strict rule: any dispatch row, a dispatch id or archiving ends availability."""
     items = tables["items"]
     marked = items.join(
@@ -159,7 +179,10 @@ def availability_exists(tables: Tables) -> DataFrame:
     )
     rows = marked.select(*items.columns, F.when(gone, 0).otherwise(1).alias("is_available"))
     extra = [c for c in type_details(tables).columns if c != "type_id"]
-    return enrich(rows, tables).select(*items.columns, *extra, "is_available")
+    enriched = enrich(rows, tables)
+    if own_descriptors:
+        enriched = _own_descriptors(enriched, tables)
+    return enriched.select(*items.columns, *extra, "is_available")
 
 
 def gearboxes_available(tables: Tables) -> DataFrame:

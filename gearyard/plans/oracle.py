@@ -79,7 +79,7 @@ def _pairs() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS v(term, word)"
 
 
-def _needs(limit: int, by_type: bool = False) -> str:
+def _needs(limit: int, by_type: bool = False, view: str = "available") -> str:
     keys = "code, type_id" if by_type else "code"
     filled = "WHERE trim(i.code) <> ''" if by_type else ""
     prefix = "left(coalesce(s.type_name, ''), 3) AS type_prefix, " if by_type else ""
@@ -109,7 +109,7 @@ def _needs(limit: int, by_type: bool = False) -> str:
     ) a ON a.code = n.code
     LEFT JOIN (
         SELECT upper(code) AS code, {largest}, count(*) AS stock
-        FROM available WHERE is_available = 1 AND (archived IS NULL OR NOT archived)
+        FROM {view} WHERE is_available = 1 AND (archived IS NULL OR NOT archived)
         GROUP BY upper(code)
     ) s ON s.code = n.code"""
 
@@ -188,6 +188,10 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
             JOIN (SELECT item_id, max(validated_at) AS latest FROM dispatches GROUP BY item_id) m
               ON m.item_id = d.item_id AND m.latest = d.validated_at
         ) l ON l.item_id = e.item_id"""),
+    "strictly_available": (("enriched", "dispatches"), """
+        SELECT *, CASE WHEN archived THEN 0 WHEN dispatch_id IS NOT NULL THEN 0
+             WHEN EXISTS (SELECT 1 FROM dispatches d WHERE d.item_id = e.item_id) THEN 0 ELSE 1 END AS is_available
+        FROM enriched e"""),
     "sales": (("available", "dispatches", "items"), f"""
         SELECT strftime(d.validated_at, '%Y-%m-%d') AS day, strftime(d.validated_at, '%Y-%m') AS month,
                upper(i.code) AS code, a.brand, a.energy, count(*) AS n_sold
@@ -206,6 +210,15 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "needs200": (("dispatches", "items", "receipts", "available"), _needs(VENDOR_NEEDS)),
     "needs2000": (("dispatches", "items", "receipts", "available"), _needs(NEEDS_CONSIDERED)),
     "type_needs": (("dispatches", "items", "receipts", "available"), _needs(50, by_type=True)),
+    "strict_type_needs": (
+        ("dispatches", "items", "receipts", "strictly_available"), _needs(50, True, "strictly_available")),
+    "gearbox_needs": (("gearboxes", "gearbox_dispatches"), f"""
+        SELECT v.gearbox_code, v.sold_3m, coalesce(s.stock, 0) AS stock,
+               round_even(CAST(v.sold_3m AS DOUBLE) / (coalesce(s.stock, 0) + 1), 2) AS urgency
+        FROM (SELECT CAST(gearbox_id AS VARCHAR) AS gearbox_code, count(*) AS sold_3m FROM gearbox_dispatches
+              WHERE validated_at >= {_back(3)} GROUP BY 1 ORDER BY sold_3m DESC, gearbox_code LIMIT 50) v
+        LEFT JOIN (SELECT CAST(gearbox_id AS VARCHAR) AS gearbox_code, count(*) AS stock FROM gearboxes
+                   WHERE in_stock AND (sold IS NULL OR NOT sold) GROUP BY 1) s USING (gearbox_code)"""),
     "breakdown": (("available",), """
         SELECT brand, energy, count(*) AS n FROM available
         WHERE is_available = 1 AND (archived IS NULL OR NOT archived) GROUP BY brand, energy"""),
@@ -485,14 +498,18 @@ ORACLE: dict[str, str] = {
     "availability_latest": _with(("available",), f"""
         SELECT {_plain(_ITEM_COLUMNS + ', ' + _TYPE_COLUMNS)}, is_available, last_dispatch_at,
                CAST(last_sale_price AS DOUBLE) AS last_sale_price FROM available"""),
-    "availability_exists": _with(("enriched", "dispatches"), f"""SELECT {_plain(f'{_ITEM_COLUMNS}, {_TYPE_COLUMNS}')},
-        CASE WHEN archived THEN 0 WHEN dispatch_id IS NOT NULL THEN 0
-             WHEN EXISTS (SELECT 1 FROM dispatches d WHERE d.item_id = e.item_id) THEN 0 ELSE 1 END AS is_available
-        FROM enriched e"""),
+    "availability_exists": _with(("strictly_available",), f"""
+        SELECT {_plain(_ITEM_COLUMNS + ', ' + _TYPE_COLUMNS)}, is_available FROM strictly_available"""),
+    "availability_exists_own": _with(("strictly_available", "receipts"), f"""
+        SELECT {_plain(_ITEM_COLUMNS + ', ' + _TYPE_COLUMNS)}, is_available FROM (
+            SELECT * REPLACE (CAST(type_id AS VARCHAR) AS type_name, model_text AS type_model,
+                              CAST(year(purchased_at) AS VARCHAR) AS type_year)
+            FROM strictly_available LEFT JOIN receipts USING (receipt_id))"""),
     "gearboxes_available": _with(("gearbox_view",), f"""
         SELECT {_plain('gearbox_id, in_stock, sold, is_available')} FROM gearbox_view"""),
     # stock
     "kpi_stock": _with(("available",), _kpi("available")),
+    "kpi_stock_exists": _with(("strictly_available",), _kpi("strictly_available")),
     "kpi_gearboxes": _with(("gearbox_view",), _kpi("gearbox_view")),
     "availability_counts": _with(("available",), "SELECT is_available, count(*) AS n FROM available GROUP BY 1"),
     "latest_dispatched": _with(("available",), """
@@ -503,6 +520,12 @@ ORACLE: dict[str, str] = {
         SELECT upper(code) AS code, count(*) AS stock FROM available
         WHERE is_available = 1 AND (archived IS NULL OR NOT archived) AND trim(code) <> '' GROUP BY 1"""),
     "stock_breakdown": _with(("breakdown",), "SELECT * FROM breakdown"),
+    "stock_by_code_exists": _with(("strictly_available",), """
+        SELECT upper(code) AS code, count(*) AS stock FROM strictly_available
+        WHERE is_available = 1 AND (archived IS NULL OR NOT archived) AND trim(code) <> '' GROUP BY 1"""),
+    "stock_breakdown_exists": _with(("strictly_available",), """
+        SELECT brand, energy, count(*) AS n FROM strictly_available
+        WHERE is_available = 1 AND (archived IS NULL OR NOT archived) GROUP BY brand, energy"""),
     "top_brands_stock": _with(("breakdown",), _top("breakdown", "brand", "n", 15, "AND brand <> ''")),
     "energy_share": _with(("breakdown",), """
         SELECT energy, CAST(sum(n) AS BIGINT) AS n,
@@ -522,6 +545,7 @@ ORACLE: dict[str, str] = {
     "sales_recent_by_type": _with(("type_sales",), "SELECT * FROM type_sales"),
     "sales_recent_gearboxes": _with(("gearbox_sales",), "SELECT * FROM gearbox_sales"),
     "sales_by_month": _with(("sales",), _top("sales", "month", "n_sold", 1000)),
+    "sales_by_month_gearboxes": _with(("gearbox_sales",), _top("gearbox_sales", "month", "n_sold", 1000)),
     "top_codes": _with(("sales",), _top("sales", "code", "n_sold", 20)),
     "top_codes_gearboxes": _with(("gearbox_sales",), _top("gearbox_sales", "gearbox_code", "n_sold", 20)),
     "top_types": _with(("type_sales",), _top("type_sales", "type_prefix", "n_sold", 20)),
@@ -530,19 +554,18 @@ ORACLE: dict[str, str] = {
     # needs
     "needs_items": _needs_query("needs50"),
     "needs_items_by_type": _needs_query("type_needs"),
-    "needs_gearboxes": _with(("gearboxes", "gearbox_dispatches"), f"""
-        SELECT v.gearbox_code, v.sold_3m, coalesce(s.stock, 0) AS stock,
-               round_even(CAST(v.sold_3m AS DOUBLE) / (coalesce(s.stock, 0) + 1), 2) AS urgency
-        FROM (SELECT CAST(gearbox_id AS VARCHAR) AS gearbox_code, count(*) AS sold_3m FROM gearbox_dispatches
-              WHERE validated_at >= {_back(3)} GROUP BY 1 ORDER BY sold_3m DESC, gearbox_code LIMIT 50) v
-        LEFT JOIN (SELECT CAST(gearbox_id AS VARCHAR) AS gearbox_code, count(*) AS stock FROM gearboxes
-                   WHERE in_stock AND (sold IS NULL OR NOT sold) GROUP BY 1) s USING (gearbox_code)"""),
+    "needs_items_by_type_exists": _needs_query("strict_type_needs"),
+    "needs_gearboxes": _needs_query("gearbox_needs"),
+    "needs_top_urgent_gearboxes": _needs_query(
+        "gearbox_needs", tail="ORDER BY urgency DESC, sold_3m DESC, gearbox_code LIMIT 20"),
     "urgency_score": _needs_query("needs200", "code, urgency"),
     "urgency_tier": _needs_query("needs200", """code, urgency,
         CASE WHEN urgency > 5 THEN 'very urgent' WHEN urgency > 2 THEN 'urgent' ELSE 'normal' END AS tier"""),
     "needs_summary": _needs_query("needs200", """count(*) AS n_items, count(CASE WHEN urgency > 5 THEN 1 END) AS n_urgent,
         CAST(sum(CAST(avg_purchase_3m AS DECIMAL(18,2))) AS DOUBLE) / count(avg_purchase_3m) AS avg_price_3m"""),
     "needs_top_urgent": _needs_query("needs50", tail=f"{_NEED_ORDER} LIMIT 20"),
+    "needs_table": _needs_query(
+        "needs50", "code, sold_3m, stock, urgency, brand, energy, type_name, type_model, type_year"),
     "urgency_by_type": _with(("type_needs",), """SELECT type_prefix, max(urgency) AS urgency FROM type_needs
         GROUP BY type_prefix ORDER BY urgency DESC, type_prefix LIMIT 50"""),
     "needs_page": _needs_query("needs50", tail=f"{_NEED_ORDER} LIMIT 20 OFFSET 20"),

@@ -100,14 +100,18 @@ _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     "items_enriched": views.items_enriched,
     "availability_latest": views.availability_latest,
     "availability_exists": views.availability_exists,
+    "availability_exists_own": lambda t: views.availability_exists(t, own_descriptors=True),
     "gearboxes_available": views.gearboxes_available,
     # stock
     "kpi_stock": stock.kpi_stock,
+    "kpi_stock_exists": lambda t: stock.kpis(views.availability_exists(t)),
     "kpi_gearboxes": lambda t: stock.kpis(views.gearboxes_available(t)),
     "availability_counts": stock.availability_counts,
     "latest_dispatched": stock.latest_dispatched,
     "stock_by_code": stock.stock_by_code,
     "stock_breakdown": stock.stock_breakdown,
+    "stock_by_code_exists": lambda t: stock.stock_by_code(t, views.EXISTS),
+    "stock_breakdown_exists": lambda t: stock.stock_breakdown(t, views.EXISTS),
     "top_brands_stock": lambda t: stock.top_brands_stock(stock.stock_breakdown(t)),
     "energy_share": lambda t: stock.energy_share(stock.stock_breakdown(t)),
     "price_histogram": stock.price_histogram,
@@ -117,6 +121,7 @@ _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     "sales_recent_by_type": lambda t: sales.sales_recent_by_type(t, AS_OF),
     "sales_recent_gearboxes": lambda t: sales.sales_recent_gearboxes(t, AS_OF),
     "sales_by_month": lambda t: sales.sales_by_month(sales.sales_recent(t, AS_OF)),
+    "sales_by_month_gearboxes": lambda t: sales.sales_by_month(sales.sales_recent_gearboxes(t, AS_OF)),
     "top_codes": lambda t: sales.top_codes(sales.sales_recent(t, AS_OF)),
     "top_codes_gearboxes": lambda t: sales.top_codes(sales.sales_recent_gearboxes(t, AS_OF), key="gearbox_code"),
     "top_types": lambda t: sales.top_types(sales.sales_recent_by_type(t, AS_OF)),
@@ -125,11 +130,14 @@ _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     # needs
     "needs_items": _needs,
     "needs_items_by_type": lambda t: needs.needs_items_by_type(t, AS_OF),
+    "needs_items_by_type_exists": lambda t: needs.needs_items_by_type(t, AS_OF, rule=views.EXISTS),
     "needs_gearboxes": lambda t: needs.needs_gearboxes(t, AS_OF),
     "urgency_score": lambda t: needs.urgency_scores(_needs(t, VENDOR_NEEDS)),
     "urgency_tier": lambda t: needs.urgency_tiers(_needs(t, VENDOR_NEEDS)),
     "needs_summary": lambda t: needs.needs_summary(_needs(t, VENDOR_NEEDS)),
     "needs_top_urgent": lambda t: needs.needs_top_urgent(_needs(t)),
+    "needs_top_urgent_gearboxes": lambda t: needs.needs_top_urgent(needs.needs_gearboxes(t, AS_OF)),
+    "needs_table": lambda t: needs.needs_table(_needs(t)),
     "urgency_by_type": lambda t: needs.urgency_by_type(needs.needs_items_by_type(t, AS_OF)),
     "needs_page": lambda t: needs.needs_page(_needs(t), 2),
     "needs_pages": lambda t: needs.needs_pages(_needs(t)),

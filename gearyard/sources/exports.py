@@ -71,8 +71,15 @@ def catalogue_from(table: DataFrame) -> DataFrame:
     return table.withColumnRenamed(found[0], "type_text").filter(F.col("type_text").isNotNull())
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    return catalogue_from(spark.read.options(**_CSV).csv(path))
+def _read(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    if kind == "csv":
+        return spark.read.options(**_CSV).csv(path)
+    return spark.read.format(kind).load(path)
+
+
+def read_catalogue(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
+    """A price catalogue stored as CSV, or any other format Spark reads by name."""
+    return catalogue_from(_read(spark, path, kind))
 
 
 def items_export_from(table: DataFrame) -> DataFrame:
@@ -82,8 +89,8 @@ def items_export_from(table: DataFrame) -> DataFrame:
     return table.select(*[F.col(name).alias(ours) for name, ours in ITEM_EXPORT_HEADERS.items()])
 
 
-def read_items_export(spark: SparkSession, path: str) -> DataFrame:
-    return items_export_from(spark.read.options(**_CSV).csv(path))
+def read_items_export(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
+    return items_export_from(_read(spark, path, kind))
 
 
 def write_csv(table: DataFrame, path: str) -> None:
