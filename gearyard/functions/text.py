@@ -101,7 +101,8 @@ def normalize_code(code: Column) -> Column:
     """Codes as spreadsheets spell them: ``169.0`` and ``169`` are one code.
 
     Only plain decimal numbers are read as numbers: a JVM parse alone would
-    also take a trailing type letter, turning ``169D`` into 169.
+    also take a trailing type letter, turning ``169D`` into 169. Numbers too
+    large for a 64-bit integer keep their text.
     """
     upper = F.upper(strip(code.cast("string")))
     text = F.regexp_replace(upper, r"\.0$", "")

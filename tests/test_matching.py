@@ -67,6 +67,42 @@ def test_normalize_code(spark):
     ]
 
 
+_ALPHABET = "aZé ß-_.\t\n\u00a0\u2003\x1c0159,+e"
+
+
+def _random_texts(seed: int, alphabet: str, count: int = 600) -> list[str]:
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 8))) for _ in range(count)]
+
+
+def _whole_number(text: str) -> str:
+    """The code rule by definition, on plain decimal texts."""
+    text = text.strip().upper()
+    text = text[:-2] if text.endswith(".0") else text
+    try:
+        number = float(text.replace(",", "."))
+        return str(int(number)) if number.is_integer() and abs(number) < 9.2e18 else text
+    except ValueError:
+        return text
+
+
+def test_random_texts_normalise_as_defined(spark):
+    texts = _random_texts(1, _ALPHABET)
+    assert column_of(spark, texts, tx.normalize_text) == [_normalise(t) for t in texts]
+
+
+def test_random_codes_normalise_as_defined(spark):
+    texts = _random_texts(2, "0159.,-+ef dK")
+    assert column_of(spark, texts, tx.normalize_code) == [_whole_number(t) for t in texts]
+
+
+def test_random_plates_and_table_names(spark):
+    texts = _random_texts(3, "ab -éèêàçît")
+    stripped = [t.upper().replace(" ", "").replace("-", "") for t in texts]
+    assert column_of(spark, texts, tx.plate_key) == stripped
+    assert column_of(spark, texts, tx.sanitized_name) == [tx.sanitize_table_name(t) for t in texts]
+
+
 def test_clean_text(spark):
     assert column_of(spark, [None, "  ", " a "], tx.clean_text) == ["—", "—", "a"]
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from gearyard.operators import needs, views
 from gearyard.session import scratch_dir
 from gearyard.sources import exports
@@ -86,3 +88,30 @@ def test_select_existing(spark):
 
 def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_stored_dispatches_are_clustered_by_time(spark, tmp_path):
+    sample = sample_tables(spark, FOLDER)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tb.save_tables(sample, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    stored = spark.read.parquet(str(tmp_path / "dispatches"))
+    spans = stored.filter("validated_at is not null").groupBy(F.input_file_name()).agg(
+        F.min("validated_at").alias("low"), F.max("validated_at").alias("high")
+    ).orderBy("low").collect()
+    assert len(spans) > 1
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_peek(spark):
+    assert tb.table_peek(spark.range(9)).count() == 5
+    assert [r.id for r in tb.table_peek(spark.range(9), ["id"], 2).collect()] == [0, 1]
+
+
+def test_readers_take_other_formats(spark, tmp_path):
+    spark.createDataFrame([("a",)], "typemoteur string").write.parquet(str(tmp_path / "c"))
+    assert exports.read_catalogue(spark, str(tmp_path / "c"), "parquet").count() == 1
+    spark.createDataFrame([(1, "a")], "N_TypeMoteur int, CodeMoteur string").write.parquet(str(tmp_path / "i"))
+    assert exports.read_items_export(spark, str(tmp_path / "i"), "parquet").columns == ["type_id", "code"]
