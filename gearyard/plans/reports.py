@@ -236,7 +236,7 @@ def _proposal_file(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/proposals"
     table = comparable(pricing.proposal_columns(_proposals(sample_tables(spark, folder))))
     exports.write_csv(table, path)
-    return spark.read.schema(table.schema).option("header", True).csv(path)
+    return exports.read_written_csv(spark, path, table.schema)
 
 
 REPORTS: dict[str, Report] = {

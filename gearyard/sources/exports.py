@@ -96,3 +96,12 @@ def read_items_export(spark: SparkSession, path: str, kind: str = "csv") -> Data
 def write_csv(table: DataFrame, path: str) -> None:
     """UTF-8 CSV with a header, one part per task."""
     table.write.mode("overwrite").options(**_CSV).csv(path)
+
+
+def read_written_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read what :func:`write_csv` wrote.
+
+    NULL is written as nothing and an empty text as ``""``; naming another NULL
+    text keeps the reader from taking both for NULL.
+    """
+    return spark.read.options(**_CSV).option("nullValue", "\u0000").schema(schema).csv(path)

@@ -73,6 +73,13 @@ def test_csv_round_trip_keeps_quotes_and_spaces(spark, tmp_path):
     assert values(exports.read_catalogue(spark, str(tmp_path / "csv")), "type_text", "n") == [(' "a", b ', "1")]
 
 
+def test_csv_keeps_empty_text_and_null_apart(spark, tmp_path):
+    rows = spark.createDataFrame([("", 1, None), (None, None, 0.1)], "a string, b int, c double")
+    exports.write_csv(rows, str(tmp_path / "csv"))
+    back = exports.read_written_csv(spark, str(tmp_path / "csv"), rows.schema)
+    assert sorted(values(back, "a", "b", "c"), key=str) == [("", 1, None), (None, None, 0.1)]
+
+
 def test_only_reads_are_allowed(spark):
     views.register_views(sample_tables(spark, FOLDER))
     for text in ("DROP TABLE items", "", "insert into x values (1)"):
