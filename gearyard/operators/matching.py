@@ -80,11 +80,12 @@ def _need_texts(needs: DataFrame) -> DataFrame:
 
 
 def _word_index(texts: DataFrame) -> DataFrame:
-    """One row per (piece of a word, need).
+    """One row per (piece of a word, role, need).
 
-    ``ends_word``: the piece ends a word of the text or code; ``n_within`` and
-    ``n_equal``: text words that contain it, or are it. A single space stands
-    for texts with several words, the empty piece for every need.
+    Role ``inside`` holds every piece, ``ends`` those that end a word of the text
+    or code, ``word`` those that are a text word. ``n_within`` and ``n_equal``
+    count the text words that contain the piece, or are it. A single space
+    stands for texts with several words, the empty piece for every need.
     """
     text_words = texts.select(
         "need_rank", F.explode(words(F.col("need_text"))).alias("word"), F.lit(1).alias("in_text")
@@ -96,33 +97,39 @@ def _word_index(texts: DataFrame) -> DataFrame:
         with_pieces(text_words.unionByName(code_words), "word")
         .groupBy("piece", "need_rank")
         .agg(
-            F.max(F.endswith("word", "piece")).alias("ends_word"),
+            F.max(F.endswith("word", "piece")).alias("_ends"),
             F.sum("in_text").alias("n_within"),
             F.sum(F.when(F.col("word") == F.col("piece"), F.col("in_text")).otherwise(0)).alias("n_equal"),
         )
     )
+    roles = F.array_compact(
+        F.array(F.lit("inside"), F.when(F.col("_ends"), "ends"), F.when(F.col("n_equal") > 0, "word"))
+    )
+    pieces = pieces.select("piece", "need_rank", "n_within", "n_equal", F.explode(roles).alias("role"))
     spaced = F.contains(F.col("need_text"), F.lit(" ")) | F.contains(F.col("need_code"), F.lit(" "))
     whole = texts.select(
         F.explode(F.when(spaced, F.array(F.lit(""), F.lit(" "))).otherwise(F.array(F.lit("")))).alias("piece"),
         "need_rank",
-        F.lit(True).alias("ends_word"),
         F.lit(0).cast("bigint").alias("n_within"),
         F.lit(0).cast("bigint").alias("n_equal"),
+        F.lit("inside").alias("role"),
     )
     return pieces.unionByName(whole)
 
 
 def _probes(norms: DataFrame, longest_need_word: Column) -> DataFrame:
-    """What each normalised search looks up: (norm, piece, kind, probe, weight).
+    """What each normalised search looks up: (norm, piece, role, kind, probe, weight).
 
     ``text``: the first word of every variant, the variant itself to be
-    verified; ``word``: a search word that need words may contain; ``part``: a
-    part of a search word that may be a need word.
+    verified. With more words to follow it must end a need word; alone it may
+    lie anywhere in one. ``word``: a search word that need words may contain;
+    ``part``: a part of a search word that may be a need word.
     """
     probe = F.col("probe")
     first = F.coalesce(F.try_element_at(words(probe), F.lit(1)), F.substring(probe, 1, 1))
     texts = norms.select("norm", F.explode(variants(F.col("norm"))).alias("probe")).select(
-        "norm", first.alias("piece"), F.lit("text").alias("kind"), "probe", F.size(words(probe)).alias("weight")
+        "norm", first.alias("piece"), F.when(F.size(words(probe)) > 1, "ends").otherwise("inside").alias("role"),
+        F.lit("text").alias("kind"), "probe", F.lit(1).alias("weight"),
     )
     counted = (
         norms.select("norm", words(F.col("norm")).alias("all"))
@@ -130,12 +137,14 @@ def _probes(norms: DataFrame, longest_need_word: Column) -> DataFrame:
         .filter(F.length("word") >= SHORTEST_WORD)
         .select("norm", "word", F.size(F.filter("all", lambda w: w == F.col("word"))).alias("weight"))
     )
-    whole = counted.select("norm", F.col("word").alias("piece"), F.lit("word").alias("kind"),
-                           F.lit(None).cast("string").alias("probe"), "weight")
+    no_probe = F.lit(None).cast("string").alias("probe")
+    whole = counted.select(
+        "norm", F.col("word").alias("piece"), F.lit("inside").alias("role"), F.lit("word").alias("kind"), no_probe, "weight"
+    )
     parts = (
         with_pieces(counted, "word", longest_need_word)
         .filter(F.col("piece") != F.col("word"))
-        .select("norm", "piece", F.lit("part").alias("kind"), F.lit(None).cast("string").alias("probe"), "weight")
+        .select("norm", "piece", F.lit("word").alias("role"), F.lit("part").alias("kind"), no_probe, "weight")
     )
     return texts.unionByName(whole).unionByName(parts)
 
@@ -173,9 +182,7 @@ def smart_match(searches: DataFrame, needs: DataFrame) -> DataFrame:
     asked = searches.select("search_id", normalize_text(F.col("text")).alias("norm"))
     norms = asked.select("norm").distinct()
 
-    # A word inside a longer variant must end a need word; alone it may lie anywhere in one.
-    usable = (F.col("kind") != "text") | F.col("ends_word") | (F.col("weight") <= 1)
-    hits = _probes(norms, F.coalesce(longest, F.lit(1))).join(_word_index(texts), "piece").filter(usable)
+    hits = _probes(norms, F.coalesce(longest, F.lit(1))).join(_word_index(texts), ["piece", "role"])
     scored = (
         hits.join(texts, "need_rank")
         .groupBy("norm", "need_rank").agg(F.sum(_points()).alias("score"))
