@@ -55,3 +55,48 @@ select doc_id, {lookup_table([f"shard-{i}" for i in range(SHARDS)], _SLOTS)}[
 ]::int as shard
 from documents
 """
+
+ORACLE["op1_decontamination"] = r"""
+with items as (
+  select min(item_id) as item_id, w
+  from (select item_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from benchmark)
+  group by w
+), shingles as (
+  select item_id, s, count(*) over (partition by item_id) as n_shingles
+  from (select distinct item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4])) as s from items)
+), docs as (
+  select doc_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), held as (
+  select distinct doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4])) as s from docs
+)
+select doc_id, item_id, count(*) as n_shared, n_shingles, count(*) / n_shingles::double as containment
+from held join shingles using (s)
+group by doc_id, item_id, n_shingles
+having count(*) >= 0.8 * n_shingles - 1e-9
+"""
+
+ORACLE["op10_near_dup"] = r"""
+with recursive docs as (
+  select doc_id, coalesce(text, '') as text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), texts as (select min(doc_id) as t, any_value(w) as w from docs group by text),
+shingled as (
+  select t, unnest(case when len(w) between 1 and 4 then [w]
+                        else list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4]) end) as s from texts
+), counted as (select t, s, count(*) as c from shingled group by t, s),
+totals as (select t, sum(c) as n from counted group by t),
+links as (
+  select a.t as a, b.t as b
+  from counted a join counted b on a.s = b.s and a.t <> b.t
+  join totals x on x.t = a.t join totals y on y.t = b.t
+  group by a.t, b.t, x.n, y.n
+  having sum(least(a.c, b.c)) >= 0.8 * (x.n + y.n - sum(least(a.c, b.c))) - 1e-9
+), reached(node, root) as (
+  select t, t from texts
+  union
+  select links.b, reached.root from reached join links on links.a = reached.node
+)
+select d.doc_id, c.class_id
+from docs d join (select text, min(doc_id) as t from docs group by text) x on x.text = d.text
+join (select node, min(root) as class_id from reached group by node) c on c.node = x.t
+"""

@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gearyard.llm import mixing, quality_rules, sharding
+from gearyard.llm import decontam, mixing, near_dup, quality_rules, sharding
 from gearyard.llm.common import documents
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.find_items(documents(spark, sf_dir), items)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(documents(spark, sf_dir).select("doc_id", "text"))
     return judged.select(
@@ -25,8 +30,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = near_dup.classes(documents(spark, sf_dir).select("doc_id", "text"))
+    return told.select("doc_id", "class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op5_sharding": op5_sharding,
     "op9_mixing": op9_mixing,
+    "op10_near_dup": op10_near_dup,
 }
