@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gearyard.llm import mixing, quality_rules, sharding
+from gearyard.llm import decontam, mixing, near_dup, quality_rules, sharding
 from gearyard.llm.common import documents, stored
 
 
@@ -13,6 +13,16 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return near_dup.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares: passes over documents and runs of words."""
     return mixing.mixed(docs)
@@ -23,7 +33,13 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.place(docs)
 
 
-STAGES = [("quality rules", rules), ("mixing", mix), ("sharding", shard)]
+STAGES = [
+    ("quality rules", rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
 # No SQL: signatures, components and drawn blocks are tested against brute force.
 ORACLE_SQL = None
