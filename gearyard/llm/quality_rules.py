@@ -152,8 +152,14 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Only the documents that pass, with the columns they came with."""
+    """Only the documents that pass, with the columns they came with.
+
+    The verdict is filtered as a generated column: a plain filter would be
+    pushed below the measures, and the optimizer would write them out in it
+    over and over.
+    """
     aside = {c: f"_in_{k}" for k, c in enumerate(docs.columns) if c != "text"}
     hidden = docs.withColumnsRenamed(aside)
     back = [F.col("text") if c == "text" else F.col(aside[c]).alias(c) for c in docs.columns]
-    return apply_rules(hidden, rules).filter("kept").select(*back)
+    judged = apply_rules(hidden, rules).select("*", F.explode_outer(F.array("kept")).alias("_passed"))
+    return judged.filter("_passed").select(*back)
