@@ -88,11 +88,11 @@ def window_hashes(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.nda
     return hashes, owner
 
 
-def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK_BYTES together."""
+def blocks(texts: list[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many bytes together."""
     start, size = 0, 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > BLOCK_BYTES:
+        if size and size + len(text) > most:
             yield start, i
             start, size = i, 0
         size += len(text)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gearyard.llm import decontam, mixing, near_dup, quality_rules, sharding
-from gearyard.llm.common import documents
+from gearyard.llm import decontam, lm_score, mixing, near_dup, quality_rules, sharding
+from gearyard.llm.common import crc_remainder, documents
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "shard")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = lm_score.score(docs, crc_remainder(F.col("doc_id"), 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -39,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op5_sharding": op5_sharding,
+    "op7_lm_score": op7_lm_score,
     "op9_mixing": op9_mixing,
     "op10_near_dup": op10_near_dup,
 }
