@@ -73,7 +73,6 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, containment: float = C
     """(_k1, _k2, item_id, n_shared, n_shingles): which texts hold which items, each text once."""
     listed = stored(item_shingles(items, width), "items")
     probes = _bounded(stored(sketches(listed, containment), "sketches"))
-    # width of the array is what a document's size partition is told by
     rows = docs.select(*text_key(F.col("text")), shingles(F.col("text"), width).alias("_s"))
     windows = rows.select("_k1", "_k2", F.size("_s").alias("_n"), F.explode("_s").alias("_w"))
     hits = windows.select("_k1", "_k2", "_n", F.xxhash64("_w").alias("hash")).join(probes, "hash")
@@ -83,8 +82,8 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, containment: float = C
     suspects = docs.select("text", *text_key(F.col("text"))).join(
         candidates.select("_k1", "_k2").distinct(), ["_k1", "_k2"], "left_semi"
     )
-    held = suspects.select("_k1", "_k2", F.explode(F.array_distinct(shingles(F.col("text"), width))).alias("shingle"))
-    # exact: equal words, not only equal hashes; copies of a text count once
+    held = suspects.select("_k1", "_k2", F.explode(shingles(F.col("text"), width)).alias("shingle"))
+    # exact: equal words, not only equal hashes; repeats and copies of a text count once
     shared = held.withColumn("hash", F.xxhash64("shingle")).join(_bounded(listed), ["hash", "shingle"]).select(
         "_k1", "_k2", "_item", "item_id", "n_shingles", "hash"
     ).distinct()
