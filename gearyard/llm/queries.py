@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearyard.llm import decontam, lm_score, mixing, near_dup, quality_rules, sharding
+from gearyard.llm import decontam, lang_id, lm_score, mixing, near_dup, quality_rules, sharding
 from gearyard.llm.common import crc_remainder, documents
 
 
@@ -35,6 +35,13 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    model = lang_id.train(docs, ~held_out)
+    return lang_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -49,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_sharding": op5_sharding,
     "op7_lm_score": op7_lm_score,
+    "op8_lang_id": op8_lang_id,
     "op9_mixing": op9_mixing,
     "op10_near_dup": op10_near_dup,
 }
