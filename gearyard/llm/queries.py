@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearyard.llm import decontam, lang_id, lm_score, mixing, near_dup, quality_rules, sharding
+from gearyard.llm import decontam, lang_id, lm_score, mixing, near_dup, quality_rules, sharding, suffix_dedup
 from gearyard.llm.common import crc_remainder, documents
 
 
@@ -27,6 +27,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "shard")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text")).drop("kept")
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     scored = lm_score.score(docs, crc_remainder(F.col("doc_id"), 7) != 2)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op5_sharding": op5_sharding,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_lm_score": op7_lm_score,
     "op8_lang_id": op8_lang_id,
     "op9_mixing": op9_mixing,
