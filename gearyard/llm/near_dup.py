@@ -11,8 +11,9 @@ shingle costs its points and not its weight. Points are drawn up to a horizon
 that fills all slots.
 
 Equal texts are one throughout. Texts that share a band meet in a bucket. There
-each is compared with the bucket's first, not with all; only where that leaves
-a bucket in several components, members are compared across components.
+each is compared with the bucket's first, not with all. Texts of buckets that
+this leaves in several components are then compared across components, as far
+as an exact prefix filter finds that two may be similar.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gearyard.llm.common import stored
@@ -117,6 +118,16 @@ def _units(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column("tid"), pa.array(out, pa.binary())], names=["tid", "units"])
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for tid, comp, packed in zip(*(batch.column(c).to_pylist() for c in ("tid", "comp", "units"))):
+            unit = np.frombuffer(packed, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(unit), x, np.int64)) for x in (tid, comp, len(unit))] + [pa.array(unit)],
+                names=["tid", "comp", "n", "unit"],
+            )
+
+
 def _similar(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = []
@@ -147,6 +158,43 @@ def _verified(pairs: DataFrame, units: DataFrame, similarity: float) -> DataFram
     )
 
 
+def across_components(open_texts: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs of texts in different components that may be similar, none left out.
+
+    Prefix filter: with the shingles of every text in one order, rarest first,
+    two texts that overlap enough share a shingle among the first of both, and
+    the places of the first shared one leave room for the overlap. Texts that
+    differ from a common original each in their own way share none there, so
+    the pairs of a large group of such are never made.
+    """
+    share = similarity / (1 + similarity)  # of both sizes together that the overlap is at least
+    listed = stored(open_texts.join(units, "tid").mapInArrow(
+        _exploded, "tid bigint, comp bigint, n bigint, unit bigint"
+    ), "shingles")
+    common = listed.groupBy("unit").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    rarest = Window.partitionBy("tid").orderBy("df", "unit")
+    known = F.count(F.lit(1)).over(Window.partitionBy("tid"))
+    # shingles of no other text come first and need no row
+    placed = listed.join(common, "unit").withColumn(
+        "pos", F.col("n") - known + F.row_number().over(rarest) - 1
+    ).filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9))
+    prefix = stored(placed.select("tid", "comp", "n", "unit", "pos"), "prefixes")
+    small, large = ([F.col(c).alias(f"{c}_{side}") for c in ("tid", "comp", "n", "pos")] for side in "xy")
+    # the smaller text of a pair can do with the shorter prefix
+    x = prefix.filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * 2 * share - 1e-9)).select("unit", *small)
+    need = F.ceil((F.col("n_x") + F.col("n_y")) * share - 1e-9)
+    may = (
+        (F.col("comp_x") != F.col("comp_y"))
+        & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("tid_x") < F.col("tid_y"))))
+        & (F.col("n_x") >= F.col("n_y") * similarity - 1e-9)
+        & (F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) >= need)
+    )
+    y = prefix.select(F.col("unit").alias("unit_y"), *large)
+    return x.join(y, (F.col("unit") == F.col("unit_y")) & may).select(
+        F.least("tid_x", "tid_y").alias("a"), F.greatest("tid_x", "tid_y").alias("b")
+    ).distinct()
+
+
 def links(docs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """Stored (a, b): verified links that connect all texts which similar pairs of a bucket connect."""
     places = texts.filter("bands is not null").select("tid", F.posexplode("bands").alias("band", "h"))
@@ -169,14 +217,10 @@ def links(docs: DataFrame, texts: DataFrame, width: int, similarity: float) -> D
         members.join(components(near).withColumnRenamed("node", "tid"), "tid", "left")
         .select("band", "h", "first", "tid", F.coalesce("comp", "tid").alias("comp")), "comp"
     )
-    # Buckets still in several components: members apart from the first's
-    # component meet all members of other components but the first, which they have met.
-    heads = comp.filter("tid = first").select("band", "h", F.col("comp").alias("head"))
-    apart = comp.join(heads, ["band", "h"]).filter("comp <> head").select("band", "h", F.col("tid").alias("t"), F.col("comp").alias("c"))
-    across = comp.filter("tid <> first").join(apart, ["band", "h"]).filter("comp <> c").select(
-        F.least("tid", "t").alias("a"), F.greatest("tid", "t").alias("b")
-    ).distinct()
-    untold = across.join(pairs, ["a", "b"], "left_anti")
+    # Texts of buckets that are still in several components look across them.
+    mixed_up = comp.groupBy("band", "h").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most")
+    open_texts = comp.join(mixed_up.select("band", "h"), ["band", "h"], "left_semi").select("tid", "comp").distinct()
+    untold = across_components(open_texts, units, similarity).join(pairs, ["a", "b"], "left_anti")
     return stored(near.unionByName(_verified(untold, units, similarity)), "linked")
 
 
