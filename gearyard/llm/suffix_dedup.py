@@ -31,55 +31,58 @@ from gearyard.llm.hashing import mixed, rolling, slice_hash, utf8
 LENGTH = 100
 ANCHOR = 32
 # Contexts that one suffix array takes (some MB), and one anchor's share that is too many for it.
-ARRAY_CONTEXTS = 20_000
-HOT_CONTEXTS = 10_000
+ARRAY_CONTEXTS = 8_000
+HOT_CONTEXTS = 8_000
 # Tables of texts with a decision, up to this many rows (some dozen MB), are broadcast.
 BROADCAST_ROWS = 300_000
 
 _LEFT = np.uint64(0x9FB21C651E98DF25)
 
 
-def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """best(x[i:i + width]) for every full window, by doubling."""
+def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
+    """min(x[i:i + width]) for every full window, by doubling."""
     size, out = 1, x
     while size * 2 <= width:
-        out, size = best(out[:-size], out[size:]), size * 2
+        out, size = np.minimum(out[:-size], out[size:]), size * 2
     rest = width - size
-    return best(out[: len(out) - rest], out[rest:]) if rest else out
+    return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, context hash, place) of each anchor: least of some ``length`` bytes."""
+def anchors(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """(hash, context hash, low, high) of each anchor.
+
+    A string's anchor is the least of its byte windows by the upper half of the
+    hash, the leftmost of equals. Strings that start next to each other mostly
+    share theirs: text[low:high] is all that the strings of an anchor cover.
+    """
     n = len(text)
     if n < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     sums = rolling(np.frombuffer(text, np.uint8))
     start = np.arange(n - anchor + 1)
     hashes = slice_hash(sums, start, start + anchor)
-    width = length - anchor + 1
-    least = _sliding(hashes, width, np.minimum)
-    # a window is an anchor if the least of some string around it is its own hash
-    edge = np.zeros(width - 1, np.uint64)
-    most = _sliding(np.concatenate([edge, least, edge]), width, np.maximum)
-    at = np.flatnonzero(most == hashes)
-    low, high = np.maximum(at - (length - anchor), 0), np.minimum(at + length, n)
+    upper, lower = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
+    place = (_sliding_least((hashes & upper) | start.astype(np.uint64), length - anchor + 1) & lower).astype(np.int64)
+    change = np.flatnonzero(place[1:] != place[:-1])
+    low, high = np.r_[0, change + 1], np.r_[change, len(place) - 1] + length
+    at = place[low]
     context = mixed(slice_hash(sums, low, high) + (at - low).astype(np.uint64) * _LEFT)
-    return hashes[at], context, at
+    return hashes[at], context, low, high
 
 
 def _all_anchors(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
     def batch_of(found: list) -> pa.RecordBatch:
-        tid, a, ctx, pos = (np.concatenate(x) for x in zip(*found))
+        tid, a, ctx, low, high = (np.concatenate(x) for x in zip(*found))
         return pa.RecordBatch.from_arrays(
-            [pa.array(tid), pa.array(a.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(pos)], names=["tid", "a", "ctx", "pos"]
+            [pa.array(x) for x in (tid, a.view(np.int64), ctx.view(np.int64), low, high)], names=["tid", "a", "ctx", "low", "high"]
         )
 
     for batch in batches:
         found, size = [], 0
         for tid, text in zip(batch.column("tid").to_pylist(), utf8(batch.column("text"))):
-            a, ctx, pos = anchors(text, length, anchor)
-            found.append((np.full(len(a), tid, np.int64), a, ctx, pos))
-            size += len(a)
+            found.append((None, *anchors(text, length, anchor)))
+            size += len(found[-1][1])
+            found[-1] = (np.full(len(found[-1][1]), tid, np.int64), *found[-1][1:])
             if size >= 200_000:
                 yield batch_of(found)
                 found, size = [], 0
@@ -87,13 +90,13 @@ def _all_anchors(batches: Iterator[pa.RecordBatch], length: int, anchor: int) ->
             yield batch_of(found)
 
 
-def _context_bytes(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+def _context_bytes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of wanted contexts: (bucket, tid, start, bytes); of hot anchors, each string by itself."""
     for batch in batches:
         rows: list[tuple] = []
         for tid, text, wanted in zip(batch.column("tid").to_pylist(), utf8(batch.column("text")), batch.column("wanted").to_pylist()):
             for w in wanted:
-                low, high = max(w["pos"] - (length - anchor), 0), min(w["pos"] + length, len(text))
+                low, high = w["low"], w["high"]
                 if w["hot"]:
                     rows += [(None, tid, i, text[i:i + length]) for i in range(low, high - length + 1)]
                 else:
@@ -114,44 +117,37 @@ class SuffixArray:
     """Suffixes of some pieces with at least ``least`` bytes left in their piece,
     in order of their bytes, with the common prefix of neighbours.
 
-    Places are ranked by their first 8, 16, 32 and 64 bytes; pieces may be up
-    to 191 bytes long.
+    A suffix is compared eight bytes at a time, up to the longest piece's size.
+    What follows a piece takes part in the order, but in no common prefix.
     """
 
     def __init__(self, pieces: list[bytes], least: int):
         size = np.array([len(p) for p in pieces])
-        data = np.frombuffer(b"\0".join(pieces) + bytes(256), np.uint8)
-        self.first = np.cumsum(np.r_[0, size[:-1] + 1])
-        n = len(data) - 200
-        eight = np.zeros(n, np.uint64)
-        for k in range(8):
-            eight = eight << np.uint64(8) | data[k:n + k].astype(np.uint64)
-        ranks, span = {8: np.unique(eight, return_inverse=True)[1].astype(np.int64)}, 8
-        while span < 64:
-            rank = ranks[span]
-            far = np.r_[rank[span:], np.zeros(span, np.int64)]
-            span *= 2
-            ranks[span] = np.unique(rank * n + far, return_inverse=True)[1].astype(np.int64)
+        words = -(-int(size.max(initial=0)) // 8)
+        data = np.frombuffer(b"".join(pieces) + bytes(8 * words + 8), np.uint8)
+        first = np.cumsum(np.r_[0, size[:-1]])
         room = np.maximum(size - least + 1, 0)
-        self.piece = np.repeat(np.arange(len(pieces)), room)
+        piece = np.repeat(np.arange(len(pieces)), room)
         inside = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
-        start = self.first[self.piece] + inside
-        r = ranks[64]
-        order = np.lexsort((r[np.minimum(start + 128, n - 1)], r[np.minimum(start + 64, n - 1)], r[start]))
-        self.at, self.piece, self.inside = start[order], self.piece[order], inside[order]
+        at = first[piece] + inside
+        eight = np.zeros(len(data) - 7, np.uint64)
+        for k in range(8):
+            eight = eight << np.uint64(8) | data[k:len(data) - 7 + k].astype(np.uint64)
+        by_word = [eight[at + 8 * k] for k in range(words)]
+        order = np.lexsort(by_word[::-1]) if words else np.zeros(0, np.int64)
+        self.piece, self.inside, at = piece[order], inside[order], at[order]
         left = size[self.piece] - self.inside
-        i, j = self.at[:-1].copy(), self.at[1:].copy()
-        for step in (64, 64, 32, 16, 8):
-            same = (ranks[step][np.minimum(i, n - 1)] == ranks[step][np.minimum(j, n - 1)]) * step
-            i, j = i + same, j + same
-        for _ in range(7):
-            same = data[i] == data[j]
-            going = same if _ == 0 else going & same
-            i, j = i + going, j + going
-        common = np.minimum(i - self.at[:-1], np.minimum(left[:-1], left[1:]))
+        common, going = np.zeros(max(len(order) - 1, 0), np.int64), np.ones(max(len(order) - 1, 0), bool)
+        for word in by_word:
+            word = word[order]
+            differ = word[1:] ^ word[:-1]
+            # equal leading bytes of the first word that differs
+            part = sum((differ < np.uint64(1 << (8 * k))).astype(np.int64) for k in range(1, 8)) + (differ == 0)
+            common += np.where(going, part, 0)
+            going &= differ == 0
         #: common[k]: prefix shared by suffixes k-1 and k
-        self.common = np.r_[0, common].astype(np.int64)
-        before = np.where(self.inside > 0, data[np.maximum(self.at - 1, 0)].astype(np.int64), -1 - np.arange(len(self.at)))
+        self.common = np.r_[0, np.minimum(common, np.minimum(left[:-1], left[1:]))].astype(np.int64)
+        before = np.where(self.inside > 0, data[np.maximum(at - 1, 0)].astype(np.int64), -1 - np.arange(len(at)))
         self.turns = np.cumsum(np.r_[0, before[1:] != before[:-1]].astype(np.int64)) if len(before) else before
 
     def maximal_repeats(self, least: int) -> Iterator[tuple[int, int, int]]:
@@ -180,6 +176,8 @@ def repeated_spans(tid: np.ndarray, start: np.ndarray, pieces: list[bytes], leas
 
     Pieces may overlap: places of one text that are the same are one occurrence.
     """
+    if not len(pieces):
+        return []
     array = SuffixArray(pieces, least)
     where, place = tid[array.piece], start[array.piece] + array.inside
     order = np.lexsort((place, where))
@@ -258,27 +256,30 @@ def repeated_parts(docs: DataFrame, length: int, anchor: int) -> tuple[DataFrame
     one = docs.select("doc_id", "text", *text_key(F.col("text"))).join(_bounded(texts), ["_k1", "_k2"]).filter(
         F.col("doc_id").eqNullSafe(F.col("first"))
     ).select("tid", "text")
-    found = one.mapInArrow(lambda it: _all_anchors(it, length, anchor), "tid bigint, a bigint, ctx bigint, pos bigint")
+    found = one.mapInArrow(lambda it: _all_anchors(it, length, anchor), "tid bigint, a bigint, ctx bigint, low bigint, high bigint")
     groups = found.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("least"), F.max("ctx").alias("most"))
     again = stored(groups.filter("n > 1").select("a", (F.col("least") != F.col("most")).alias("varied")), "anchors")
     repeats = stored(found.join(again, "a"), "repeats")
     contexts = stored(
-        repeats.groupBy("a", "ctx", "varied").agg(F.min(F.struct("tid", "pos")).alias("head"))
-        .select("a", "ctx", "varied", F.col("head.tid").alias("head_tid"), F.col("head.pos").alias("head_pos")), "contexts"
+        repeats.groupBy("a", "ctx", "varied").agg(F.min(F.struct("tid", "low", "high")).alias("head"))
+        .select("a", "ctx", "varied", F.col("head.tid").alias("head_tid"), F.col("head.low").alias("head_low"), F.col("head.high").alias("head_high")),
+        "contexts",
     )
     # all of an equal context but its first occurrence
-    copied = repeats.select("a", "ctx", "tid", "pos").join(contexts.drop("varied"), ["a", "ctx"]).filter(
-        "tid <> head_tid or pos <> head_pos"
-    ).select("tid", F.greatest(F.col("pos") - (length - anchor), F.lit(0)).alias("low"), (F.col("pos") + length).alias("high"))
+    copied = repeats.drop("varied").join(contexts.select("a", "ctx", "head_tid", "head_low"), ["a", "ctx"]).filter(
+        "tid <> head_tid or low <> head_low"
+    ).select("tid", "low", "high")
     # different contexts of an anchor: the suffix arrays
-    varied = contexts.filter("varied").select("a", F.col("head_tid").alias("tid"), F.col("head_pos").alias("pos"))
+    varied = contexts.filter("varied").select(
+        "a", F.col("head_tid").alias("tid"), F.col("head_low").alias("low"), F.col("head_high").alias("high")
+    )
     n_buckets = max(1, -(-varied.count() // ARRAY_CONTEXTS))
     hot = stored(varied.groupBy("a").count().filter(F.col("count") > HOT_CONTEXTS).select("a", F.lit(True).alias("hot")), "hot")
     wanted = varied.join(hot, "a", "left").select(
-        "tid", F.struct("pos", F.pmod(F.col("a"), F.lit(n_buckets)).alias("bucket"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("w")
+        "tid", F.struct("low", "high", F.pmod(F.col("a"), F.lit(n_buckets)).alias("bucket"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("w")
     ).groupBy("tid").agg(F.collect_list("w").alias("wanted"))
     pieces = stored(one.join(wanted, "tid").mapInArrow(
-        lambda it: _context_bytes(it, length, anchor), "bucket bigint, tid bigint, start bigint, bytes binary"
+        lambda it: _context_bytes(it, length), "bucket bigint, tid bigint, start bigint, bytes binary"
     ), "pieces")
     arrays = pieces.filter("bucket is not null").groupBy("bucket").applyInArrow(
         lambda table: _bucket_spans(table, length), "tid bigint, low bigint, high bigint"
@@ -312,9 +313,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, with_text
     rows = docs.select("doc_id", "text", *text_key(F.col("text"))).join(_bounded(known), ["_k1", "_k2"], "left")
     # a text that no decision is known of has no spans and no copies
     copy = F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first"))
-    # spans reach past the end of a text where its last context is cut short
-    ended = F.transform("spans", lambda s: F.struct(s.low.alias("low"), F.least(s.high, F.octet_length("text").cast("bigint")).alias("high")))
-    return rows.select("doc_id", "text", copy.alias("copy"), ended.alias("spans")).mapInArrow(
+    return rows.select("doc_id", "text", copy.alias("copy"), "spans").mapInArrow(
         lambda it: _cleaned(it, length, with_text),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary",
     )
