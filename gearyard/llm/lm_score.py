@@ -27,9 +27,10 @@ from gearyard.llm.hashing import blocks, mixed, utf8, word_hashes
 
 SEGMENT_BYTES = 16 << 20  # text that one segment's n-grams stand for
 BROADCAST_BYTES = 256 << 20
+PART_BYTES = 24 << 20  # of which so much goes through the driver at a time
 FLUSH_TOKENS = 4_000_000
 SCORE_BLOCK = 2 << 20
-BITS_PER_ITEM, PROBES = 10, 4
+BITS_PER_ITEM, PROBES = 8, 4
 LEVEL_BASE = 1.5
 MU = 300.0
 
@@ -68,6 +69,11 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return single, mixed(before * _PAIR + single), np.r_[0, ends + 1]
 
 
+def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    """Segments are ranges of hashes."""
+    return ((keys >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
+
+
 def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams per few million tokens: a row for each segment, arrays packed as bytes."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -75,9 +81,7 @@ def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.Re
     def flush() -> Iterator[pa.RecordBatch]:
         for pair in (False, True):
             keys, counts = np.unique(np.concatenate([h[pair] for h in held]), return_counts=True)
-            segment = (keys % np.uint64(segments)).astype(int)
-            order = np.argsort(segment, kind="stable")
-            keys, counts, segment = keys[order], counts[order].astype(np.int64), segment[order]
+            segment, counts = segment_of(keys, segments), counts.astype(np.int64)
             cuts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
             rows = [(int(segment[a]), pair, keys[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
             for i in range(0, len(rows), 64):
@@ -150,55 +154,50 @@ def train(docs: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _packed(rows: list, segments: int) -> dict:
-    """Some segments of the model in flat arrays, as they are broadcast."""
-    n_bits, offset, at = np.zeros(segments, np.int64), np.zeros(segments, np.int64), 0
-    for row in rows:
-        n_bits[row.segment], offset[row.segment] = len(row.bits) * 8, at
-        at += len(row.bits) * 8
-    words = np.frombuffer(b"".join(bytes(row.words) for row in rows), np.uint64)
-    order = np.argsort(words)
+    """Some neighbouring segments of the model in flat arrays, as they are broadcast."""
+    rows = sorted(rows, key=lambda row: row.segment)
+    size = np.array([len(row.bits) * 8 for row in rows])
     return {
-        "n_bits": n_bits, "offset": offset, "words": words[order],
+        "segments": segments, "ids": np.array([row.segment for row in rows]),
+        "n_bits": size, "offset": np.cumsum(size) - size,
         "bits": np.frombuffer(b"".join(bytes(row.bits) for row in rows), np.uint8),
-        "counts": np.frombuffer(b"".join(bytes(row.word_counts) for row in rows), np.int64)[order],
+        "words": np.frombuffer(b"".join(bytes(row.words) for row in rows), np.uint64),
+        "counts": np.frombuffer(b"".join(bytes(row.word_counts) for row in rows), np.int64),
     }
 
 
-class _Group:
-    """Lookups in some segments of the model."""
-
-    def __init__(self, packed: dict):
-        self.n_bits, self.offset, self.bits = packed["n_bits"], packed["offset"], packed["bits"]
-        self.words, self.counts, self.segments = packed["words"], packed["counts"], len(packed["n_bits"])
-
-    def levels(self, keys: np.ndarray) -> np.ndarray:
-        """The highest level up to which each n-gram is present."""
-        segment = (keys % np.uint64(self.segments)).astype(int)
-        n_bits, offset = self.n_bits[segment], self.offset[segment]
-        found, at, level = np.zeros(len(keys), np.uint8), np.flatnonzero(n_bits), 0
-        while len(at) and level < 255:
-            level += 1
-            for k, place in enumerate(bit_places(keys[at], level, n_bits[at])):
-                place = place.astype(np.int64)
-                if k == 0:
-                    live = np.ones(len(at), bool)
-                spot = place + offset[at]
-                live &= (self.bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
-            at = at[live]
-            found[at] = level
+def _levels(part: dict, keys: np.ndarray) -> np.ndarray:
+    """The highest level up to which each n-gram is present."""
+    found = np.zeros(len(keys), np.uint8)
+    if not len(part["ids"]):
         return found
-
-    def exact(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(keys), np.int64)
-        place = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
-        return np.where(self.words[place] == keys, self.counts[place], 0)
-
-
-def _scorer(model: Broadcast, last: bool, n_tokens: int, n_words: int, n_docs: int) -> Callable:
+    segment = segment_of(keys, part["segments"])
+    row = np.minimum(np.searchsorted(part["ids"], segment), len(part["ids"]) - 1)
+    at, level = np.flatnonzero(part["ids"][row] == segment), 0
+    n_bits, offset = part["n_bits"][row], part["offset"][row]
+    while len(at) and level < 255:
+        level += 1
+        live = np.ones(len(at), bool)
+        for place in bit_places(keys[at], level, n_bits[at]):
+            spot = place.astype(np.int64) + offset[at]
+            live &= (part["bits"][spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
+        at = at[live]
+        found[at] = level
+    return found
+
+
+def _exact(part: dict, keys: np.ndarray) -> np.ndarray:
+    """The counts of words, 0 where they are not in this part."""
+    if not len(part["words"]):
+        return np.zeros(len(keys), np.int64)
+    place = np.minimum(np.searchsorted(part["words"], keys), len(part["words"]) - 1)
+    return np.where(part["words"][place] == keys, part["counts"][place], 0)
+
+
+def _scorer(parts: list[Broadcast], last: bool, n_tokens: int, n_words: int, n_docs: int) -> Callable:
     """A pass over the documents with one group of the model's segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, values, spread = _Group(model.value), level_values(), n_tokens + n_words + 1
+        group, values, spread = [part.value for part in parts], level_values(), n_tokens + n_words + 1
         for batch in batches:
             texts = utf8(batch.column("text"))
             known, base = batch.column("n_known").to_numpy().copy(), batch.column("log_sum").to_numpy().copy()
@@ -207,11 +206,13 @@ def _scorer(model: Broadcast, last: bool, n_tokens: int, n_words: int, n_docs: i
                 single, pair, bounds = tokens(texts[a:b])
                 owner, count[a:b] = np.repeat(np.arange(a, b), np.diff(bounds)), np.diff(bounds)
                 words, place = np.unique(single, return_inverse=True)
-                exact = group.exact(words)[place]
+                exact = sum(_exact(part, words) for part in group)[place]
                 known += np.bincount(owner, exact > 0, len(texts)).astype(np.int64)
                 base += np.bincount(owner, np.log10(exact + 1.0), len(texts))
                 pairs, pair_place = np.unique(pair, return_inverse=True)
-                levels = np.stack([group.levels(words)[place], group.levels(pairs)[pair_place]])
+                levels = np.stack([
+                    sum(_levels(part, words) for part in group)[place], sum(_levels(part, pairs) for part in group)[pair_place]
+                ])
                 for i in range(a, b):
                     if before[i] is not None:
                         part = levels[:, bounds[i - a]:bounds[i - a + 1]]
@@ -237,6 +238,18 @@ def _scorer(model: Broadcast, last: bool, n_tokens: int, n_words: int, n_docs: i
     return run
 
 
+def _runs(sized: list, most: int) -> list[list]:
+    """Neighbouring segments in runs of so many bytes together."""
+    runs, room = [], -1
+    for row in sorted(sized, key=lambda row: row.segment):
+        if row["size"] > room:
+            runs.append([])
+            room = most
+        runs[-1].append(row)
+        room -= row["size"]
+    return runs
+
+
 def score(docs: DataFrame, learn: Column) -> DataFrame:
     """(doc_id, learn, n_tokens, n_known, train_tokens, base_score, score) for every document.
 
@@ -252,19 +265,17 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     sized = model.select("segment", "n_words", "n_tokens", (F.octet_length("bits") + 2 * F.octet_length("words")).alias("size")).collect()
     n_words, n_tokens = sum(r.n_words for r in sized), sum(r.n_tokens for r in sized)
     n_docs = rows.filter("learn").count()
-    groups, room = [[]], BROADCAST_BYTES
-    for r in sorted(sized, key=lambda r: r.segment):
-        if groups[-1] and r["size"] > room:
-            groups, room = [*groups, []], BROADCAST_BYTES
-        groups[-1].append(r.segment)
-        room -= r["size"]
+    groups = [_runs(run, PART_BYTES) for run in _runs(sized, BROADCAST_BYTES)] or [[]]
     state = rows.select(
         "doc_id", "learn", "text", F.lit(None).cast("binary").alias("levels"),
         F.lit(0).cast("bigint").alias("n_known"), F.lit(0.0).alias("log_sum"),
     )
-    for k, wanted in enumerate(groups):
-        chosen = model.filter(F.col("segment").between(min(wanted), max(wanted))).collect() if wanted else []
-        sent = spark.sparkContext.broadcast(_packed(chosen, segments))
+    for k, parts in enumerate(groups):
+        sent = [spark.sparkContext.broadcast(_packed(
+            model.filter(F.col("segment").between(part[0].segment, part[-1].segment)).collect(), segments
+        )) for part in parts]
+        if not sent:
+            sent = [spark.sparkContext.broadcast(_packed([], segments))]
         if last := k + 1 == len(groups):
             schema = "doc_id bigint, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double"
         else:
