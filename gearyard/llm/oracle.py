@@ -100,3 +100,28 @@ select d.doc_id, c.class_id
 from docs d join (select text, min(doc_id) as t from docs group by text) x on x.text = d.text
 join (select node, min(root) as class_id from reached group by node) c on c.node = x.t
 """
+
+ORACLE["op4_line_dedup"] = r"""
+with lines as (
+  select doc_id, i, line
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+               unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) as i from documents)
+  where regexp_matches(line, '[^\x20\x09-\x0D]')
+), texts as (
+  select line, min((doc_id, i)) as first, length(line) as n from lines group by line
+), links as (
+  select a.line as a, b.line as b, b.first as other
+  from texts a join texts b on a.n between b.n - 2 and b.n + 2 and a.line <> b.line
+  where a.n >= 24 and b.n >= 24 and levenshtein(a.line, b.line) <= 2
+), told as (
+  select a as line, count(*) as links, min(other) as earliest from links group by a
+), marked as (
+  select l.doc_id, (l.doc_id, l.i) = t.first as leads, coalesce(k.earliest < t.first, false) as near, coalesce(k.links, 0) as links
+  from lines l join texts t using (line) left join told k using (line)
+)
+select d.doc_id, count(leads) as n_lines, count_if(not leads)::bigint as n_equal, count_if(leads and near)::bigint as n_near,
+       coalesce(sum(links) filter (leads), 0)::bigint as n_links,
+       (count(leads) - count_if(not leads) - count_if(leads and near))::bigint as n_kept
+from documents d left join marked m on m.doc_id = d.doc_id
+group by d.doc_id
+"""

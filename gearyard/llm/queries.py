@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearyard.llm import decontam, lang_id, lm_score, mixing, near_dup, quality_rules, sharding, suffix_dedup
+from gearyard.llm import decontam, lang_id, line_dedup, lm_score, mixing, near_dup, quality_rules, sharding, suffix_dedup
 from gearyard.llm.common import crc_remainder, documents
 
 
@@ -23,6 +23,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "shard")
 
@@ -58,6 +62,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_lm_score": op7_lm_score,
