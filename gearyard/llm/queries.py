@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearyard.llm import decontam, lang_id, line_dedup, lm_score, mixing, near_dup, quality_rules, sharding, suffix_dedup
+from gearyard.llm import decontam, kneser_ney, lang_id, line_dedup, lm_score, mixing, near_dup, quality_rules, sharding, suffix_dedup
 from gearyard.llm.common import crc_remainder, documents
 
 
@@ -16,6 +16,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_items(documents(spark, sf_dir), items)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").select("doc_id").distinct()
+    few = good.limit(1_000_001).count() <= 1_000_000  # some 16 MB; more labels join by shuffle
+    good = good.withColumn("good", F.lit(True))
+    docs = documents(spark, sf_dir).join(F.broadcast(good) if few else good, "doc_id", "left")
+    return kneser_ney.perplexities(docs, F.col("good"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(documents(spark, sf_dir).select("doc_id", "text"))
     return judged.select(
@@ -61,6 +69,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
