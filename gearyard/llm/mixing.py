@@ -14,6 +14,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gearyard.llm.common import stored, word_count
 
@@ -175,7 +176,7 @@ transform(
 """
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def word_range(text: pd.Series, start: pd.Series, upto: pd.Series) -> pd.Series:
     """The text from one word's first character to another's last."""
     def cut(t: str, a: int, b: int) -> str:

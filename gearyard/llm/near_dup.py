@@ -11,7 +11,8 @@ shingle costs its points and not its weight. Points are drawn up to a horizon
 that fills all slots.
 
 Equal texts are one throughout. Texts that share a band meet in a bucket. There
-each is compared with the bucket's first, not with all. Texts of buckets that
+each is compared with the bucket's first, not with all, and what that leaves
+unconnected with a first of its own, a few times. Texts of buckets that
 this leaves in several components are then compared across components, as far
 as an exact prefix filter finds that two may be similar.
 """
@@ -34,6 +35,8 @@ WIDTH = 5
 SIMILARITY = 0.8
 # 25 bands of 4: a pair at similarity 0.8 is missed with probability 2e-6.
 BANDS, ROWS = 25, 4
+# Further comparisons with a first member, among those that are not connected to the last one.
+MORE_HEADS = 2
 # Id lists up to this many rows (some 20 MB) are broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -212,15 +215,24 @@ def links(docs: DataFrame, texts: DataFrame, width: int, similarity: float) -> D
         found.select("tid", "text").mapInArrow(lambda it: _units(it, width), "tid bigint, units binary")
         .groupBy("tid").agg(F.first("units").alias("units")), "units"
     )
-    near = stored(_verified(pairs, units, similarity), "near")
+    near, tested, at = stored(_verified(pairs, units, similarity), "near"), pairs, members
+    for _ in range(MORE_HEADS):
+        # what is not connected to a bucket's first gets a first of its own
+        comp = at.join(components(near).withColumnRenamed("node", "tid"), "tid", "left").withColumn("comp", F.coalesce("comp", "tid"))
+        heads = comp.filter("tid = first").select("band", "h", F.col("comp").alias("head"))
+        rest = stored(comp.join(heads, ["band", "h"]).filter("comp <> head").select("band", "h", "tid"), "rest")
+        at = rest.join(rest.groupBy("band", "h").agg(F.min("tid").alias("first")), ["band", "h"])
+        more = at.filter("tid <> first").select(F.col("first").alias("a"), F.col("tid").alias("b")).distinct()
+        more = stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
+        near, tested = stored(near.unionByName(_verified(more, units, similarity)), "near"), tested.unionByName(more)
     comp = stored(
         members.join(components(near).withColumnRenamed("node", "tid"), "tid", "left")
-        .select("band", "h", "first", "tid", F.coalesce("comp", "tid").alias("comp")), "comp"
+        .select("band", "h", "tid", F.coalesce("comp", "tid").alias("comp")), "comp"
     )
     # Texts of buckets that are still in several components look across them.
     mixed_up = comp.groupBy("band", "h").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most")
     open_texts = comp.join(mixed_up.select("band", "h"), ["band", "h"], "left_semi").select("tid", "comp").distinct()
-    untold = across_components(open_texts, units, similarity).join(pairs, ["a", "b"], "left_anti")
+    untold = across_components(open_texts, units, similarity).join(tested, ["a", "b"], "left_anti")
     return stored(near.unionByName(_verified(untold, units, similarity)), "linked")
 
 
