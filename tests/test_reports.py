@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from gearyard.plans.oracle import ORACLE
+from gearyard.plans.reports import REPORTS as QUERIES
 from tests.compare import DATA, oracle_connection, spark_rows, sql_rows
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,7 @@ def test_report_equals_sql(spark, con, name):
 
 def test_every_report_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
