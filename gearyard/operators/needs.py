@@ -13,8 +13,6 @@ from gearyard.operators.views import DESCRIPTORS, LATEST, enrich, folded_code, l
 from gearyard.sources.tables import Tables, select_existing
 
 PAGE_SIZE = 20
-# A list cut to this many short codes is small enough to send to every task.
-_SMALL_LIST = 10_000
 
 
 def _sold_items(tables: Tables, as_of) -> DataFrame:
@@ -26,16 +24,19 @@ def _sold_items(tables: Tables, as_of) -> DataFrame:
     return recent_dispatches(tables, as_of, 3).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _only(rows: DataFrame, key: Column, top: DataFrame, key_name: str, top_n: int) -> DataFrame:
+def _first(rows: DataFrame, order: list[Column], n: int | None) -> DataFrame:
+    """The first n rows of an order; all, unordered, for None."""
+    return rows if n is None else rows.orderBy(*order).limit(n)
+
+
+def _only(rows: DataFrame, key: Column, top: DataFrame, key_name: str) -> DataFrame:
     """Rows whose key is in the top list: what the list cannot use is dropped
-    before its shuffle. The hint depends on the stated list length."""
+    before its shuffle. Adaptive execution broadcasts a list it finds small."""
     wanted = top.select(F.col(key_name).alias("_wanted")).distinct()
-    if top_n <= _SMALL_LIST:
-        wanted = F.broadcast(wanted)
     return rows.join(wanted, key == F.col("_wanted"), "left_semi")
 
 
-def _purchases(tables: Tables, as_of, top: DataFrame, top_n: int) -> DataFrame:
+def _purchases(tables: Tables, as_of, top: DataFrame) -> DataFrame:
     """Average purchase price of 3, 6 and 12 months per code.
 
     Older lots only ever add NULL to these averages, so lots are cut at 12
@@ -43,7 +44,7 @@ def _purchases(tables: Tables, as_of, top: DataFrame, top_n: int) -> DataFrame:
     """
     lots = tables["receipts"].filter(F.col("purchased_at") >= months_before(as_of, 12))
     bought = _only(
-        tables["items"].filter(F.col("purchase_price").isNotNull()), folded_code(), top, "code", top_n
+        tables["items"].filter(F.col("purchase_price").isNotNull()), folded_code(), top, "code"
     ).select("receipt_id", folded_code().alias("code"), "purchase_price")
 
     def average(months: int) -> Column:
@@ -56,8 +57,8 @@ def _purchases(tables: Tables, as_of, top: DataFrame, top_n: int) -> DataFrame:
     )
 
 
-def _stock(tables: Tables, top: DataFrame, top_n: int, rule: str) -> DataFrame:
-    items = _only(tables["items"], folded_code(), top, "code", top_n)
+def _stock(tables: Tables, top: DataFrame, rule: str) -> DataFrame:
+    items = _only(tables["items"], folded_code(), top, "code")
     per_type = (
         live_stock(tables, items, rule).groupBy(folded_code().alias("code"), "type_id")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -85,10 +86,10 @@ def need_order(needs: DataFrame) -> list[Column]:
     return [F.desc("urgency"), F.desc("sold_3m"), *[F.asc_nulls_last(c) for c in keys]]
 
 
-def _with_details(top: DataFrame, tables: Tables, as_of, top_n: int, rule: str) -> DataFrame:
+def _with_details(top: DataFrame, tables: Tables, as_of, rule: str) -> DataFrame:
     joined = (
-        top.join(_purchases(tables, as_of, top, top_n), "code", "left")
-        .join(_stock(tables, top, top_n, rule), "code", "left")
+        top.join(_purchases(tables, as_of, top), "code", "left")
+        .join(_stock(tables, top, rule), "code", "left")
     )
     filled = {c: F.coalesce(F.col(c), F.lit("")) for c in DESCRIPTORS}
     return joined.withColumns({**filled, "stock": F.coalesce(F.col("stock"), F.lit(0)).cast("bigint")}).withColumn(
@@ -96,8 +97,8 @@ def _with_details(top: DataFrame, tables: Tables, as_of, top_n: int, rule: str)
     )
 
 
-def needs_items(tables: Tables, as_of, top_n: int = 50, rule: str = LATEST) -> DataFrame:
-    """The ``top_n`` best-selling codes of three months, most urgent first.
+def needs_items(tables: Tables, as_of, top_n: int | None = 50, rule: str = LATEST) -> DataFrame:
+    """The ``top_n`` best-selling codes of three months (None: all), most urgent first.
 
     The list is cut by sales before it is sorted by urgency. Cutting it first
     is also what keeps the plan small: purchases and stock are then only
@@ -108,38 +109,38 @@ def needs_items(tables: Tables, as_of, top_n: int = 50, rule: str = LATEST) -> D
         .join(tables["items"].select("item_id", folded_code().alias("code")), "item_id")
         .groupBy("code").agg(F.sum("n").alias("sold_3m"))
     )
-    top = sold.orderBy(F.desc("sold_3m"), F.asc_nulls_last("code")).limit(top_n)
-    return _ranked(_with_details(top, tables, as_of, top_n, rule).select(
+    top = _first(sold, [F.desc("sold_3m"), F.asc_nulls_last("code")], top_n)
+    return _ranked(_with_details(top, tables, as_of, rule).select(
         "code", *DESCRIPTORS, "sold_3m", "stock",
         "avg_purchase_3m", "avg_purchase_6m", "avg_purchase_12m", "urgency",
     ))
 
 
-def needs_items_by_type(tables: Tables, as_of, top_n: int = 50, rule: str = LATEST) -> DataFrame:
+def needs_items_by_type(tables: Tables, as_of, top_n: int | None = 50, rule: str = LATEST) -> DataFrame:
     """Needs by (code, type); stock and prices stay per code, so they repeat."""
     items = tables["items"].filter(has_text(F.col("code"))).select("item_id", folded_code().alias("code"), "type_id")
     sold = (
         _sold_items(tables, as_of).join(items, "item_id")
         .groupBy("code", "type_id").agg(F.sum("n").alias("sold_3m"))
     )
-    top = sold.orderBy(F.desc("sold_3m"), F.asc("code"), F.asc_nulls_last("type_id")).limit(top_n)
-    detailed = _with_details(top, tables, as_of, top_n, rule)
+    top = _first(sold, [F.desc("sold_3m"), F.asc("code"), F.asc_nulls_last("type_id")], top_n)
+    detailed = _with_details(top, tables, as_of, rule)
     return _ranked(detailed.select(
         "code", F.substring("type_name", 1, 3).alias("type_prefix"), *DESCRIPTORS, "sold_3m", "stock",
         "avg_purchase_3m", "avg_purchase_6m", "avg_purchase_12m", "urgency",
     ))
 
 
-def needs_gearboxes(tables: Tables, as_of, top_n: int = 50) -> DataFrame:
+def needs_gearboxes(tables: Tables, as_of, top_n: int | None = 50) -> DataFrame:
     box = F.col("gearbox_id").cast("string")
     sold = (
         recent_dispatches(tables, as_of, 3, "gearbox_dispatches")
         .groupBy(box.alias("gearbox_code")).agg(F.count(F.lit(1)).alias("sold_3m"))
     )
-    top = sold.orderBy(F.desc("sold_3m"), F.asc_nulls_last("gearbox_code")).limit(top_n)
+    top = _first(sold, [F.desc("sold_3m"), F.asc_nulls_last("gearbox_code")], top_n)
     free = tables["gearboxes"].filter(F.col("in_stock") & ~F.coalesce(F.col("sold"), F.lit(False)))
     stock = (
-        _only(free, box, top, "gearbox_code", top_n)
+        _only(free, box, top, "gearbox_code")
         .groupBy(box.alias("gearbox_code")).agg(F.count(F.lit(1)).alias("stock"))
     )
     needs = top.join(stock, "gearbox_code", "left").withColumn("stock", F.coalesce(F.col("stock"), F.lit(0)).cast("bigint"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gearyard.functions.clock import on_day
 from gearyard.functions.numbering import dense_numbers
-from gearyard.functions.skew import salted_join
 from gearyard.functions.text import blank_to_null, strip
 from gearyard.sources.schema import TABLES
 from gearyard.sources.tables import Tables
@@ -43,9 +42,16 @@ def _positive(price: Column) -> Column:
     return F.when(price > 0, price)
 
 
-def targeted_batch(batch: DataFrame) -> DataFrame:
+def _submitted(rows: DataFrame, as_of) -> DataFrame:
+    """Rows with a vendor and a time: ``as_of``, if given, where they have none."""
+    vendor = F.coalesce("vendor_id", F.raise_error(F.lit("an offer has no vendor")).cast("bigint"))
+    when = F.coalesce("created_at", F.lit(as_of).cast("timestamp_ntz")) if as_of is not None else F.col("created_at")
+    return rows.withColumns({"vendor_id": vendor, "created_at": when})
+
+
+def targeted_batch(batch: DataFrame, as_of=None) -> DataFrame:
     """Submitted targeted offers as the ledger stores them, still without ids."""
-    rows = _typed(batch, "targeted_offers")
+    rows = _submitted(_typed(batch, "targeted_offers"), as_of)
     return rows.withColumns({
         "code": F.coalesce(F.upper(strip(F.col("code"))), F.lit("")),
         "qty": F.coalesce("qty", F.lit(1)),
@@ -54,7 +60,7 @@ def targeted_batch(batch: DataFrame) -> DataFrame:
     })
 
 
-def free_batch(batch: DataFrame) -> DataFrame:
+def free_batch(batch: DataFrame, as_of=None) -> DataFrame:
     """Submitted free offers as the ledger stores them; empty texts are refused.
 
     A submission with ``alternative_for`` names the listed code it replaces.
@@ -66,7 +72,7 @@ def free_batch(batch: DataFrame) -> DataFrame:
             F.concat(F.lit(ALTERNATIVE_PREFIX), F.col("alternative_for"), F.lit(": "), F.col("text")),
         ).otherwise(F.col("text"))
     accepted = batch.filter(strip(F.col("text")) != "").withColumn("text", strip(text))
-    return _typed(accepted, "free_offers").withColumns({
+    return _submitted(_typed(accepted, "free_offers"), as_of).withColumns({
         "note": blank_to_null(F.col("note")),
         "asked_price": _positive(F.col("asked_price")),
     })
@@ -79,32 +85,33 @@ def _numbered(log: DataFrame, rows: DataFrame, subject: str) -> DataFrame:
     return dense_numbers(rows, key, "id", order=[*order, *rest], start=log.agg(F.max("id")).scalar())
 
 
-def append_targeted_offers(log: DataFrame, batch: DataFrame) -> DataFrame:
-    """The log with a batch of submissions, normalised and numbered on."""
-    return log.unionByName(_numbered(log, targeted_batch(batch), "code"), allowMissingColumns=True)
+def append_targeted_offers(log: DataFrame, batch: DataFrame, as_of=None) -> DataFrame:
+    """The log with a batch of submissions, normalised and numbered on.
 
+    A submission needs a vendor; one without a time gets ``as_of``, if given.
+    """
+    return log.unionByName(_numbered(log, targeted_batch(batch, as_of), "code"), allowMissingColumns=True)
 
-def append_free_offers(log: DataFrame, batch: DataFrame) -> DataFrame:
-    return log.unionByName(_numbered(log, free_batch(batch), "text"), allowMissingColumns=True)
 
+def append_free_offers(log: DataFrame, batch: DataFrame, as_of=None) -> DataFrame:
+    return log.unionByName(_numbered(log, free_batch(batch, as_of), "text"), allowMissingColumns=True)
 
-def store_offers(log: DataFrame, rows: DataFrame, path: str, kind: str) -> None:
+
+def store_offers(log: DataFrame, rows: DataFrame, path: str, kind: str, as_of=None) -> None:
     """Append a batch to a stored Parquet log (``kind``: targeted or free)."""
-    normalised, subject = (targeted_batch(rows), "code") if kind == "targeted" else (free_batch(rows), "text")
+    normalised, subject = (targeted_batch(rows, as_of), "code") if kind == "targeted" else (free_batch(rows, as_of), "text")
     _numbered(log, normalised, subject).write.mode("append").parquet(path)
 
 
 def _recent(offers: DataFrame, vendors: DataFrame, n: int) -> DataFrame:
     """Last n offers with their vendor's name.
 
-    The vendor join runs on two narrow columns; only the n chosen offers are
-    then read in full.
+    Offers of known vendors are found on two narrow columns; only the n chosen
+    ones get a name and are then read in full.
     """
     names = vendors.select(F.col("id").alias("vendor_id"), F.col("name").alias("vendor"))
-    chosen = (
-        salted_join(offers.select("id", "vendor_id"), names, ["vendor_id"], "inner", spread=["id"])
-        .orderBy(F.desc("id")).limit(n).select("id", "vendor")
-    )
+    known = offers.select("id", "vendor_id").join(names, "vendor_id", "left_semi")
+    chosen = known.orderBy(F.desc("id")).limit(n).join(names, "vendor_id").select("id", "vendor")
     details = [c for c in offers.columns if c not in ("id", "vendor_id", "created_at")]
     return (
         offers.join(chosen, "id").orderBy(F.desc("id")).select("created_at", "vendor", *details)

@@ -12,8 +12,7 @@ from gearyard.operators.needs import needs_items
 from gearyard.operators.prices import sale_price_avg_3m
 from gearyard.sources.tables import Tables
 
-# The needs list used for proposals, and the default margins.
-NEEDS_CONSIDERED = 2000
+# The default margins.
 TARGET_MARGIN, URGENCY_BONUS, OVERSTOCK_MALUS = 0.35, 0.08, 0.05
 
 PROPOSAL_COLUMNS = [
@@ -116,10 +115,11 @@ def proposals_from(mapped: DataFrame, needs: DataFrame, prices: DataFrame, targe
 
 def price_proposals(catalogue: DataFrame, export: DataFrame | None, tables: Tables, as_of,
                     target: float = TARGET_MARGIN, bonus: float = URGENCY_BONUS,
-                    malus: float = OVERSTOCK_MALUS) -> DataFrame:
+                    malus: float = OVERSTOCK_MALUS, needs_considered: int | None = None) -> DataFrame:
+    """Proposals for a catalogue from all needs, or from the best-selling ones only."""
     return proposals_from(
         catalogue_mapping(catalogue_clean(catalogue), export),
-        needs_items(tables, as_of, NEEDS_CONSIDERED),
+        needs_items(tables, as_of, needs_considered),
         sale_price_avg_3m(tables, as_of),
         target, bonus, malus,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gearyard.sources.tables import Tables
@@ -109,10 +109,13 @@ def latest_dispatches(tables: Tables) -> DataFrame:
     Ties at the latest date stay separate rows (with equal prices collapsed
     into a count), as the default availability rule repeats the item for them.
     """
-    dated = dated_dispatches(tables)
-    last = dated.groupBy("item_id").agg(F.max("validated_at").alias("validated_at"))
-    prices = dated.groupBy("item_id", "validated_at", "sale_price").agg(F.count(F.lit(1)).alias("n_copies"))
-    return prices.join(last, ["item_id", "validated_at"]).select(
+    # Combined first, so that an item with very many equal rows costs one per
+    # task; then the ranks are cut in every task before they meet by item.
+    combined = dated_dispatches(tables).groupBy("item_id", "validated_at", "sale_price").agg(
+        F.count(F.lit(1)).alias("n_copies")
+    )
+    newest = F.rank().over(Window.partitionBy("item_id").orderBy(F.desc("validated_at")))
+    return combined.withColumn("_rank", newest).filter(F.col("_rank") == 1).select(
         "item_id",
         F.col("validated_at").alias("last_dispatch_at"),
         F.col("sale_price").alias("last_sale_price"),

@@ -7,10 +7,12 @@ of the canonical tables as common table expressions.
 from __future__ import annotations
 
 from gearyard.functions.text import ENERGY_FAMILIES, SYNONYMS
-from gearyard.operators.pricing import NEEDS_CONSIDERED, OVERSTOCK_MALUS, TARGET_MARGIN, URGENCY_BONUS
-from gearyard.plans.reports import VENDOR_NEEDS
 from gearyard.sources.sample import AS_OF, OFFER_DAY
 
+# Fixed values, written out so that a wrong one in the library shows.
+VENDOR_NEEDS = 200
+TARGET_MARGIN, URGENCY_BONUS, OVERSTOCK_MALUS = 0.35, 0.08, 0.05
+
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 _OFFER_TAIL = """
@@ -79,7 +81,7 @@ def _pairs() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS v(term, word)"
 
 
-def _needs(limit: int, by_type: bool = False, view: str = "available") -> str:
+def _needs(limit: int | None, by_type: bool = False, view: str = "available") -> str:
     keys = "code, type_id" if by_type else "code"
     filled = "WHERE trim(i.code) <> ''" if by_type else ""
     prefix = "left(coalesce(s.type_name, ''), 3) AS type_prefix, " if by_type else ""
@@ -99,7 +101,7 @@ def _needs(limit: int, by_type: bool = False, view: str = "available") -> str:
               {filled} {'AND' if by_type else 'WHERE'} d.validated_at >= {_back(3)})
         GROUP BY {keys}
         ORDER BY sold_3m DESC, code ASC NULLS LAST{', type_id ASC NULLS LAST' if by_type else ''}
-        LIMIT {limit}
+        {f'LIMIT {limit}' if limit else ''}
     ) n
     LEFT JOIN (
         SELECT upper(code) AS code, {average}
@@ -118,7 +120,8 @@ def _needs(limit: int, by_type: bool = False, view: str = "available") -> str:
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "items": ((), """
         SELECT o_orderkey AS item_id, 'I-' || o_orderkey AS internal_no, o_orderkey AS receipt_id,
-               'SN' || o_orderkey AS serial_no, p_partkey AS type_id,
+               'SN' || o_orderkey AS serial_no,
+               CASE WHEN o_orderkey % 31 = 0 THEN -p_partkey ELSE p_partkey END AS type_id,
                CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN ' ' ELSE p_name END AS code,
                p_name AS model_text, CAST(o_orderkey % 3 AS INTEGER) AS composition,
                CAST(o_orderkey % 4 AS INTEGER) AS state, CAST(o_orderkey % 5 AS INTEGER) AS housing_state,
@@ -137,7 +140,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(p_retailprice * 2 AS DECIMAL(12,2)) AS sale_price_with_box,
                CAST(p_retailprice AS DECIMAL(12,2)) AS sale_price_alone, 'HS' || p_size AS hs_code,
                CAST(p_retailprice AS DECIMAL(12,2)) AS base_purchase_price
-        FROM part WHERE p_size <= 45"""),
+        FROM part"""),
     "brands": ((), """
         SELECT DISTINCT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS brand_id, p_brand AS brand
         FROM part"""),
@@ -146,9 +149,9 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "dispatches": ((), """
         SELECT l_suppkey AS shipment_id, l_orderkey AS item_id,
                CAST(l_extendedprice AS DECIMAL(12,2)) AS sale_price,
-               CASE WHEN l_quantity = 50 THEN NULL ELSE l_shipdate END AS validated_at
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = o_custkey
-        WHERE l_quantity > CASE WHEN length(p_name) % 2 = 0 THEN 10 ELSE 38 END"""),
+               CASE WHEN l_quantity <> 50 AND l_quantity > CASE WHEN length(p_name) % 2 = 0 THEN 10 ELSE 38 END
+                    THEN l_shipdate END AS validated_at
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = o_custkey"""),
     "gearboxes": ((), """
         SELECT c_custkey AS gearbox_id, c_acctbal > 0 AS in_stock,
                CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment = 'MACHINERY' END AS sold
@@ -208,7 +211,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM gearbox_dispatches WHERE validated_at >= {_back(3)} GROUP BY ALL"""),
     "needs50": (("dispatches", "items", "receipts", "available"), _needs(50)),
     "needs200": (("dispatches", "items", "receipts", "available"), _needs(VENDOR_NEEDS)),
-    "needs2000": (("dispatches", "items", "receipts", "available"), _needs(NEEDS_CONSIDERED)),
+    "needs_all": (("dispatches", "items", "receipts", "available"), _needs(None)),
     "type_needs": (("dispatches", "items", "receipts", "available"), _needs(50, by_type=True)),
     "strict_type_needs": (
         ("dispatches", "items", "receipts", "strictly_available"), _needs(50, True, "strictly_available")),
@@ -261,7 +264,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                m.code AS code_mapped, CASE WHEN m.code IS NOT NULL THEN 'mapped' ELSE 'not found' END AS mapping_status
         FROM catalogue c
         LEFT JOIN modal m ON m.type_id = CAST(nullif(regexp_extract(type_clean, '([0-9]+)', 1), '') AS BIGINT)"""),
-    "proposals": (("mapping", "needs2000", "sale_average"), f"""
+    "proposals": (("mapping", "needs_all", "sale_average"), f"""
         SELECT *,
                CASE WHEN mapping_status <> 'mapped' THEN 'no mapping' WHEN avg_sale_3m = 0 THEN 'no sales'
                     WHEN urgency >= 5 THEN 'raise' WHEN stock >= 3 AND sold_3m <= 1 THEN 'lower' ELSE 'ok' END AS decision
@@ -279,7 +282,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                            coalesce(n.urgency, CAST(0 AS DOUBLE)) AS urgency,
                            coalesce(v.avg_sale_3m, CAST(0 AS DOUBLE)) AS avg_sale_3m
                     FROM mapping m
-                    LEFT JOIN needs2000 n ON m.code_mapped IS NOT DISTINCT FROM n.code
+                    LEFT JOIN needs_all n ON m.code_mapped IS NOT DISTINCT FROM n.code
                     LEFT JOIN sale_average v ON m.code_mapped IS NOT DISTINCT FROM v.code)))"""),
     "searches": ((), """
         SELECT row_number() OVER (ORDER BY substr(md5(text), 1, 3), text) AS search_id, text
@@ -558,10 +561,10 @@ ORACLE: dict[str, str] = {
     "needs_gearboxes": _needs_query("gearbox_needs"),
     "needs_top_urgent_gearboxes": _needs_query(
         "gearbox_needs", tail="ORDER BY urgency DESC, sold_3m DESC, gearbox_code LIMIT 20"),
-    "urgency_score": _needs_query("needs200", "code, urgency"),
-    "urgency_tier": _needs_query("needs200", """code, urgency,
+    "urgency_score": _needs_query("needs_all", "code, urgency"),
+    "urgency_tier": _needs_query("needs_all", """code, urgency,
         CASE WHEN urgency > 5 THEN 'very urgent' WHEN urgency > 2 THEN 'urgent' ELSE 'normal' END AS tier"""),
-    "needs_summary": _needs_query("needs200", """count(*) AS n_items, count(CASE WHEN urgency > 5 THEN 1 END) AS n_urgent,
+    "needs_summary": _needs_query("needs_all", """count(*) AS n_items, count(CASE WHEN urgency > 5 THEN 1 END) AS n_urgent,
         CAST(sum(CAST(avg_purchase_3m AS DECIMAL(18,2))) AS DOUBLE) / count(avg_purchase_3m) AS avg_price_3m"""),
     "needs_top_urgent": _needs_query("needs50", tail=f"{_NEED_ORDER} LIMIT 20"),
     "needs_table": _needs_query(

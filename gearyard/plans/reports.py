@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,17 +38,16 @@ def _over_tables(build: Callable[[tb.Tables], DataFrame]) -> Report:
     return report
 
 
-def _needs(t: tb.Tables, n: int = 50) -> DataFrame:
+def _needs(t: tb.Tables, n: int | None = 50) -> DataFrame:
     return needs.needs_items(t, AS_OF, n)
 
 
 def _listed(t: tb.Tables) -> DataFrame:
-    """The vendor screen's needs list, kept because matching reads it twice.
-
-    At most VENDOR_NEEDS rows, hence one partition; a lost block is recomputed
-    from the tables.
-    """
-    return _needs(t, VENDOR_NEEDS).coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
+    """The vendor screen's needs list, stored because matching reads it twice."""
+    rows = _needs(t, VENDOR_NEEDS)
+    path = f"{scratch_dir(rows.sparkSession)}/needs"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _movers(t: tb.Tables, kind: str, window: int = 3, min_count: int = 5) -> DataFrame:
@@ -71,6 +69,14 @@ def _mapping(t: tb.Tables) -> DataFrame:
     return pricing.catalogue_mapping(clean, exports.items_export_from(t["items_export"]))
 
 
+def _reloaded(t: tb.Tables) -> tb.Tables:
+    """The tables saved to the scratch folder and loaded from there."""
+    spark = t["items"].sparkSession
+    folder = scratch_dir(spark)
+    tb.save_tables(t, folder)
+    return tb.load_tables(spark, folder)
+
+
 def _describe(t: tb.Tables) -> DataFrame:
     label = tx.describe_item(*[F.col(c) for c in ("code", "brand", "energy", "type_name", "type_model", "type_year")])
     return views.items_enriched(t).select("item_id", label.alias("result"))
@@ -81,12 +87,13 @@ def _evolve(t: tb.Tables) -> DataFrame:
     log = t["targeted_offers"]
     cut = F.lit(OFFER_DAY).cast("timestamp_ntz")
     old = log.filter(F.col("created_at") < cut).drop(*OPTIONAL_OFFER_COLUMNS)
-    return tb.add_missing_columns(old).unionByName(log.filter(F.col("created_at") >= cut))
+    new = log.filter((F.col("created_at") >= cut) | F.col("created_at").isNull())
+    return tb.add_missing_columns(old).unionByName(new)
 
 
 _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     # sources
-    "load_tables": lambda t: tb.table_counts(t, list(TABLES)),
+    "load_tables": lambda t: tb.table_counts(_reloaded(t), list(TABLES)),
     "table_counts": tb.table_counts,
     "table_peek": lambda t: tb.table_peek(t["item_types"], ["type_id"]),
     "table_peek_dispatches": lambda t: tb.table_peek(
@@ -132,9 +139,9 @@ _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     "needs_items_by_type": lambda t: needs.needs_items_by_type(t, AS_OF),
     "needs_items_by_type_exists": lambda t: needs.needs_items_by_type(t, AS_OF, rule=views.EXISTS),
     "needs_gearboxes": lambda t: needs.needs_gearboxes(t, AS_OF),
-    "urgency_score": lambda t: needs.urgency_scores(_needs(t, VENDOR_NEEDS)),
-    "urgency_tier": lambda t: needs.urgency_tiers(_needs(t, VENDOR_NEEDS)),
-    "needs_summary": lambda t: needs.needs_summary(_needs(t, VENDOR_NEEDS)),
+    "urgency_score": lambda t: needs.urgency_scores(_needs(t, None)),
+    "urgency_tier": lambda t: needs.urgency_tiers(_needs(t, None)),
+    "needs_summary": lambda t: needs.needs_summary(_needs(t, None)),
     "needs_top_urgent": lambda t: needs.needs_top_urgent(_needs(t)),
     "needs_top_urgent_gearboxes": lambda t: needs.needs_top_urgent(needs.needs_gearboxes(t, AS_OF)),
     "needs_table": lambda t: needs.needs_table(_needs(t)),

@@ -17,6 +17,7 @@ _CSV = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "multiLine": "true",  # a quoted field may hold line breaks; a file is then read by one task
 }
 
 # Accepted headers of the catalogue's type column.
@@ -45,17 +46,26 @@ def ingest_exports(spark: SparkSession, in_folder: str, out_folder: str,
 
     Returns (table_name, n_rows, n_columns). An export may be one CSV file or a
     folder of CSV parts. Give ``schemas`` for large exports: without one, Spark
-    reads the file twice to infer the types.
+    reads the file twice to infer the types. A schema's columns are found in
+    the header by name. Exports whose table names coincide are refused.
     """
     names = _export_names(spark, in_folder)
     if not names:
         raise FileNotFoundError(f"no .csv export in {in_folder}")
+    tables = [sanitize_table_name(name.removesuffix(".csv")) for name in names]
+    if twice := sorted({table for table in tables if tables.count(table) > 1}):
+        raise ValueError(f"several exports would become {twice}")
     summary = []
-    for name in names:
-        table = sanitize_table_name(name.removesuffix(".csv"))
+    for name, table in zip(names, tables):
         reader = spark.read.options(**_CSV)
         schema = (schemas or {}).get(table)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+        if schema is None:
+            reader = reader.option("inferSchema", True)
+        else:
+            header = spark.read.options(**_CSV).csv(f"{in_folder.rstrip('/')}/{name}").columns
+            if sorted(header) != sorted(schema.names):
+                raise ValueError(f"{name} has columns {header}, its schema {schema.names}")
+            reader = reader.schema(T.StructType([schema[column] for column in header]))
         target = f"{out_folder.rstrip('/')}/{table}"
         reader.csv(f"{in_folder.rstrip('/')}/{name}").write.mode("overwrite").parquet(target)
         stored = spark.read.parquet(target)

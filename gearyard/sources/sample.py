@@ -57,7 +57,7 @@ def _items(raw: Raw) -> DataFrame:
         F.concat(_text("I-"), key_text).alias("internal_no"),
         F.col("o_orderkey").alias("receipt_id"),
         F.concat(_text("SN"), key_text).alias("serial_no"),
-        F.col("p_partkey").alias("type_id"),
+        F.when(_every("o_orderkey", 31), -F.col("p_partkey")).otherwise(F.col("p_partkey")).alias("type_id"),  # some have no type
         F.when(_every("o_orderkey", 97), None).when(_every("o_orderkey", 89), " ")
         .otherwise(F.col("p_name")).alias("code"),
         F.col("p_name").alias("model_text"),
@@ -77,7 +77,7 @@ def _items(raw: Raw) -> DataFrame:
 
 
 def _item_types(raw: Raw) -> DataFrame:
-    return raw("part").filter(F.col("p_size") <= 45).select(
+    return raw("part").select(
         F.col("p_partkey").alias("type_id"),
         F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int").alias("brand_id"),
         F.concat_ws(" ", F.col("p_name"), F.col("p_partkey").cast("string")).alias("type_name"),
@@ -118,13 +118,13 @@ def _dispatches(raw: Raw) -> DataFrame:
     """Dated and undated dispatches are separate branches of a union, so that a
     bound on validated_at reaches the scan of the first and empties the second."""
     owners = _item_rows(raw).select("o_orderkey", (F.length("p_name") % 2).alias("name_parity"))
-    moved = raw("lineitem").filter(F.col("l_quantity") > 10)
+    floor = F.when(F.col("name_parity") == 0, 10).otherwise(38)
+    dated = (F.col("l_quantity") > floor) & (F.col("l_quantity") != 50)
 
-    def dispatch_rows(lines: DataFrame, validated: Column) -> DataFrame:
-        floor = F.when(F.col("name_parity") == 0, 10).otherwise(38)
+    def dispatch_rows(which: Column, validated: Column) -> DataFrame:
         return (
-            lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-            .filter(F.col("l_quantity") > floor)
+            raw("lineitem").join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+            .filter(which)
             .select(
                 F.col("l_suppkey").alias("shipment_id"),
                 F.col("l_orderkey").alias("item_id"),
@@ -133,8 +133,8 @@ def _dispatches(raw: Raw) -> DataFrame:
             )
         )
 
-    return dispatch_rows(moved.filter(F.col("l_quantity") != 50), F.col("l_shipdate")).unionByName(
-        dispatch_rows(moved.filter(F.col("l_quantity") == 50), F.lit(None).cast("timestamp_ntz"))
+    return dispatch_rows(dated, F.col("l_shipdate")).unionByName(
+        dispatch_rows(~F.coalesce(dated, F.lit(False)), F.lit(None).cast("timestamp_ntz"))
     )
 
 

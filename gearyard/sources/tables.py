@@ -93,8 +93,11 @@ def select_existing(table: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def run_query(spark: SparkSession, text: str, params: dict | None = None) -> DataFrame:
-    """Run one read-only query with named ``:markers`` on the registered views."""
+    """Run one read-only query with named ``:markers`` on the registered views.
+
+    The text runs as a subquery, where no statement but a query can stand.
+    """
     head = text.lstrip().split(None, 1)[0].upper() if text.strip() else ""
     if head not in {"SELECT", "WITH"}:
         raise ValueError("only SELECT or WITH queries are allowed")
-    return spark.sql(text, args=params or {})
+    return spark.sql(f"SELECT * FROM (\n{text.rstrip().rstrip(';')}\n)", args=params or {})
