@@ -9,6 +9,18 @@ from pyspark.sql import functions as F
 
 _DIGITS = 3
 BUCKETS = 16**_DIGITS
+_CHUNK = 10_000
+
+
+def copies(rows: DataFrame, first: Column, last: Column, out: str) -> DataFrame:
+    """Each row once for every number from ``first`` to ``last``.
+
+    In two steps, so that no array is longer than a chunk however many copies
+    a row stands for.
+    """
+    chunks = rows.withColumn("_last", last).withColumn("_chunk", F.explode(F.sequence(first, F.col("_last"), F.lit(_CHUNK))))
+    numbers = F.sequence(F.col("_chunk"), F.least(F.col("_chunk") + (_CHUNK - 1), F.col("_last")))
+    return chunks.withColumn(out, F.explode(numbers)).drop("_last", "_chunk")
 
 
 def dense_numbers(rows: DataFrame, key: Column, out: str, order: Sequence[str] | None = None,
@@ -34,13 +46,7 @@ def dense_numbers(rows: DataFrame, key: Column, out: str, order: Sequence[str] |
     shifts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     within = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     base = F.lit(0) if start is None else F.coalesce(start, F.lit(0))
-    return (
-        grouped.withColumn("_end", F.sum("_copies").over(within))
-        .join(F.broadcast(shifts), "_bucket")  # at most BUCKETS rows
-        .select(
-            F.explode(F.sequence(F.col("_end") - F.col("_copies") + 1, F.col("_end"))).alias("_nth"),
-            "_shift",
-            *columns,
-        )
-        .select((base + F.col("_shift") + F.col("_nth")).cast("bigint").alias(out), *columns)
+    placed = grouped.withColumn("_end", F.sum("_copies").over(within)).join(F.broadcast(shifts), "_bucket")  # at most BUCKETS rows
+    return copies(placed, F.col("_end") - F.col("_copies") + 1, F.col("_end"), "_nth").select(
+        (base + F.col("_shift") + F.col("_nth")).cast("bigint").alias(out), *columns
     )

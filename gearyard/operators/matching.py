@@ -215,7 +215,8 @@ def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
     """Needs of each plate's vehicle, from the first tier that has any.
 
     Tier 1: the exact code. Tier 2: needs whose brand and energy contain the
-    vehicle's (a blank one passes). Tier 3: the whole list.
+    vehicle's (a blank one passes, but not both). Tier 3: the whole list, which
+    is not written out for each plate: one row without a need stands for it.
     """
     ranked = ranked_needs(needs)
     profile = ["_code", "_brand", "_energy"]
@@ -244,7 +245,8 @@ def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
         return found.select(F.lit(field).alias("_field"), "_piece", "need_rank", "_need_energy")
 
     has_brand = F.col("_brand") != ""
-    asked = unmatched.select(
+    blank = (F.col("_brand") == "") & (F.col("_energy") == "")
+    asked = unmatched.filter(~blank).select(
         *profile,
         F.when(has_brand, "brand").otherwise("energy").alias("_asked_field"),
         F.when(has_brand, F.col("_brand")).otherwise(F.col("_energy")).alias("_asked_piece"),
@@ -255,15 +257,11 @@ def needs_for_plate(plates: DataFrame, needs: DataFrame) -> DataFrame:
         & (F.col("_piece") == F.col("_asked_piece"))
         & (F.contains(F.col("_need_energy"), F.col("_energy")) | (F.col("_energy") == ""))
     )
-    # A vehicle without a contained need gets the whole list: ranks run from 1 to its length.
-    whole_list = F.sequence(F.lit(1), listed.agg(F.count(F.lit(1)).cast("int")).scalar())
     by_vehicle = asked.join(index, contained, "left").select(
-        *profile,
-        F.when(F.col("need_rank").isNull(), 3).otherwise(2).alias("tier"),
-        F.explode(
-            F.when(F.col("need_rank").isNull(), whole_list).otherwise(F.array("need_rank"))
-        ).alias("need_rank"),
+        *profile, F.when(F.col("need_rank").isNull(), 3).otherwise(2).alias("tier"), "need_rank"
     )
-
-    found = by_code.unionByName(by_vehicle).join(ranked, "need_rank")
+    unknown = unmatched.filter(blank).select(
+        *profile, F.lit(3).alias("tier"), F.lit(None).cast(listed.schema["need_rank"].dataType).alias("need_rank")
+    )
+    found = by_code.unionByName(by_vehicle).unionByName(unknown).join(ranked, "need_rank", "left")
     return salted_join(vehicles, found, profile, "inner", spread=["plate"]).select("plate", "tier", *needs.columns)

@@ -86,12 +86,12 @@ def price_histogram(tables: Tables, bins: int = 40, rule: str = LATEST) -> DataF
     """Equal-width bins over the positive purchase prices of available items."""
     price = F.col("purchase_price").cast("double")
     prices = unsold_items(tables, tables["items"].filter(F.col("purchase_price") > 0), rule).select(price.alias("price"))
-    # Bins are taken on distinct prices with their counts, combined map-side.
-    counted = prices.groupBy("price").agg(F.count(F.lit(1)).alias("n"))
-    low, high = counted.agg(F.min("price")).scalar(), counted.agg(F.max("price")).scalar()
+    bounds = prices.agg(F.struct(F.min("price").alias("low"), F.max("price").alias("high"))).scalar()
+    low, high = bounds.getField("low"), bounds.getField("high")
     width = (high - low) / F.lit(float(bins))
     slot = F.coalesce(F.floor(F.try_divide(F.col("price") - low, width)), F.lit(0)) + 1
-    binned = counted.groupBy(F.least(slot, F.lit(bins)).cast("int").alias("bin")).agg(F.sum("n").alias("n"))
+    # Prices are almost all different: they are binned as they come, a few partial rows per task.
+    binned = prices.groupBy(F.least(slot, F.lit(bins)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return binned.select(
         "bin",
         (low + (F.col("bin") - 1) * width).alias("lo"),

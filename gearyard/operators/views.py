@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gearyard.functions.numbering import copies
 from gearyard.sources.tables import Tables
 
 _TYPE_COLUMNS = {
@@ -127,8 +128,8 @@ def availability_rows(tables: Tables, items: DataFrame | None = None) -> DataFra
     """Items with the default availability flag and their last dispatch, not enriched."""
     rows = tables["items"] if items is None else items
     joined = rows.join(latest_dispatches(tables), "item_id", "left")
-    copies = F.sequence(F.lit(1), F.coalesce(F.col("n_copies"), F.lit(1)))
-    return joined.withColumn("_copy", F.explode(copies)).select(
+    ties = F.coalesce(F.col("n_copies"), F.lit(1)).cast("bigint")
+    return copies(joined, F.lit(1).cast("bigint"), ties, "_copy").select(
         *rows.columns,
         F.when(F.col("n_copies").isNull(), 1).otherwise(0).alias("is_available"),
         "last_dispatch_at",

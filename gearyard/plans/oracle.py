@@ -390,13 +390,15 @@ _NEEDS_FOR_PLATE = """
 , candidates AS (
     SELECT p.plate, n.need_rank,
            CASE WHEN p.code <> '' AND upper(n.code) = upper(p.code) THEN 1
-                WHEN contains(upper(n.brand), upper(p.brand)) AND contains(upper(n.energy), upper(p.energy)) THEN 2
+                WHEN (p.brand <> '' OR p.energy <> '') AND contains(upper(n.brand), upper(p.brand))
+                     AND contains(upper(n.energy), upper(p.energy)) THEN 2
                 ELSE 3 END AS tier
     FROM plates p CROSS JOIN ranked_needs n
-)
-SELECT c.plate, c.tier, n.* EXCLUDE (need_rank, need_text)
-FROM candidates c JOIN ranked_needs n USING (need_rank)
-JOIN (SELECT plate, min(tier) AS best FROM candidates GROUP BY plate) b ON b.plate = c.plate AND b.best = c.tier"""
+), best AS (SELECT plate, min(tier) AS tier FROM candidates GROUP BY plate)
+SELECT p.plate, coalesce(b.tier, 3) AS tier, n.* EXCLUDE (need_rank, need_text)
+FROM plates p LEFT JOIN best b ON b.plate = p.plate
+LEFT JOIN candidates c ON c.plate = p.plate AND c.tier = b.tier AND b.tier < 3
+LEFT JOIN ranked_needs n ON n.need_rank = c.need_rank"""
 
 
 def _family() -> str:

@@ -41,7 +41,7 @@ def _export_names(spark: SparkSession, folder: str) -> list[str]:
 
 
 def ingest_exports(spark: SparkSession, in_folder: str, out_folder: str,
-                   schemas: dict[str, T.StructType] | None = None) -> DataFrame:
+                   schemas: dict[str, T.StructType | str] | None = None) -> DataFrame:
     """Store every export of a folder as a Parquet table, replacing older ones.
 
     Returns (table_name, n_rows, n_columns). An export may be one CSV file or a
@@ -62,6 +62,7 @@ def ingest_exports(spark: SparkSession, in_folder: str, out_folder: str,
         if schema is None:
             reader = reader.option("inferSchema", True)
         else:
+            schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
             header = spark.read.options(**_CSV).csv(f"{in_folder.rstrip('/')}/{name}").columns
             if sorted(header) != sorted(schema.names):
                 raise ValueError(f"{name} has columns {header}, its schema {schema.names}")

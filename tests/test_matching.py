@@ -194,15 +194,16 @@ def test_plate_tiers(spark, plates):
     needs = _needs(spark, [("K9K", "RENAULT", "DIESEL"), ("K9K", "DACIA", "DIESEL"), ("F4R", "RENAULT", "ESSENCE"), (None, "", "")])
     got: dict[str, list] = {}
     for plate, tier, sold in values(matching.needs_for_plate(plates, needs), "plate", "tier", "sold_3m"):
-        got.setdefault(plate, []).append((tier, 10 - sold))
+        got.setdefault(plate, []).append((tier, None if sold is None else 10 - sold))
     assert {p: sorted(v) for p, v in got.items()} == {
         "AB 123 CD": [(1, 0), (1, 1)],
         "zz-9": [(2, 0), (2, 2)],
         "yy-9": [(2, 2)],
-        "xx-9": [(3, 0), (3, 1), (3, 2), (3, 3)],
-        "ww-9": [(2, 0), (2, 1), (2, 2), (2, 3)],
+        "xx-9": [(3, None)],
+        "ww-9": [(3, None)],
     }
 
 
 def test_plate_without_any_need(spark, plates):
-    assert matching.needs_for_plate(plates, _needs(spark, [])).count() == 0
+    rows = matching.needs_for_plate(plates, _needs(spark, [])).collect()
+    assert {(r.tier, r.sold_3m) for r in rows} == {(3, None)} and len(rows) == plates.count()

@@ -89,3 +89,17 @@ def test_recent_offers_and_day_stats(spark):
     stats = values(offers.vendor_day_stats(t, "2024-01-15"), "vendor_id", "targeted", "free", "total")
     assert sorted(stats) == [(1, 0, 0, 0), (2, 1, 1, 2)]
     assert values(offers.vendor_day_stats(t, "2024-01-15", 1), "vendor_id", "total") == [(1, 0)]
+
+
+def test_offers_need_a_vendor_and_may_get_a_time(spark):
+    batch = spark.createDataFrame([(1, "k9k", None)], "vendor_id bigint, code string, created_at timestamp_ntz")
+    row = offers.targeted_batch(batch, as_of="2001-08-01").first()
+    assert str(row.created_at) == "2001-08-01 00:00:00"
+    with pytest.raises(Exception):
+        offers.targeted_batch(batch.withColumn("vendor_id", F.lit(None).cast("bigint"))).collect()
+
+
+def test_many_equal_offers_are_numbered(spark):
+    rows = spark.range(25_000).selectExpr("1 as vendor_id", "'k' as code")
+    got = dense_numbers(rows, F.col("code"), "id", start=F.lit(5))
+    assert got.agg(F.min("id"), F.max("id"), F.countDistinct("id")).first()[:] == (6, 25_005, 25_000)

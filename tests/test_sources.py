@@ -80,6 +80,48 @@ def test_csv_keeps_empty_text_and_null_apart(spark, tmp_path):
     assert sorted(values(back, "a", "b", "c"), key=str) == [("", 1, None), (None, None, 0.1)]
 
 
+def test_csv_keeps_line_breaks_and_quotes(spark, tmp_path):
+    rows = spark.createDataFrame([("a\nb", 1), ('c "d"\r\ne', 2), ("f", 3)], "type_moteur string, n int")
+    exports.write_csv(rows, str(tmp_path / "in" / "x.csv"))
+    back = exports.read_written_csv(spark, str(tmp_path / "in" / "x.csv"), rows.schema)
+    assert len(back.collect()) == 3 and ("a\nb", 1) in values(back, "type_moteur", "n")
+    assert exports.read_catalogue(spark, str(tmp_path / "in" / "x.csv")).count() == 3
+    got = exports.ingest_exports(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert got.first().n_rows == 3
+
+
+def test_ingest_finds_columns_by_name_and_refuses_what_does_not_fit(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.csv").write_text("b,a\n1,2\n")
+    exports.ingest_exports(spark, str(tmp_path / "in"), str(tmp_path / "out"), {"x": "a int, b int"})
+    row = spark.read.parquet(str(tmp_path / "out" / "x")).first()
+    assert (row.a, row.b) == (2, 1)
+    with pytest.raises(ValueError):
+        exports.ingest_exports(spark, str(tmp_path / "in"), str(tmp_path / "out"), {"x": "a int, c int"})
+    (tmp_path / "in" / "A b.csv").write_text("a\n1\n")
+    (tmp_path / "in" / "A_b.csv").write_text("a\n2\n")
+    with pytest.raises(ValueError):
+        exports.ingest_exports(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+
+
+def test_every_line_of_an_item_is_a_dispatch(spark):
+    sample = sample_tables(spark, FOLDER)
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").select("l_orderkey")
+    owned = lines.join(sample["items"], lines["l_orderkey"] == sample["items"]["item_id"], "left_semi").count()
+    assert sample["dispatches"].count() == owned
+    for rule in (views.LATEST, views.EXISTS):
+        assert views.live_stock(sample, rule=rule).count() > 0
+
+
+def test_a_query_cannot_write(spark, tmp_path):
+    spark.createDataFrame([(1,)], "n int").write.mode("overwrite").format("parquet").saveAsTable("wt")
+    with pytest.raises(Exception):
+        tb.run_query(spark, "WITH q AS (SELECT 5 AS n) INSERT INTO wt SELECT n FROM q")
+    assert spark.table("wt").count() == 1
+    assert tb.run_query(spark, "SELECT 2 AS n -- the end").first().n == 2
+    assert tb.run_query(spark, "SELECT 2 AS n;").first().n == 2
+
+
 def test_only_reads_are_allowed(spark):
     views.register_views(sample_tables(spark, FOLDER))
     for text in ("DROP TABLE items", "", "insert into x values (1)"):
