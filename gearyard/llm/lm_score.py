@@ -28,7 +28,7 @@ from gearyard.llm.hashing import blocks, mixed, utf8, word_hashes
 SEGMENT_BYTES = 16 << 20  # text that one segment's n-grams stand for
 BROADCAST_BYTES = 256 << 20
 PART_BYTES = 24 << 20  # of which so much goes through the driver at a time
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 1_500_000
 SCORE_BLOCK = 2 << 20
 BITS_PER_ITEM, PROBES = 8, 4
 LEVEL_BASE = 1.5
