@@ -23,24 +23,39 @@ BROADCAST_ROWS = 500_000
 
 # Letters counted one by one; an edit changes the counts by two in all at most.
 _LETTERS = ("eé", "aá", "oó", "t", "nñ", "h", "rl", "su")
-_NO_ID = 9223372036854775807
 
 
-def _order(doc_id: Column, line_no: Column) -> Column:
-    """Document order and place in the document as one number; NULL ids come last."""
-    return F.coalesce(doc_id, F.lit(_NO_ID)).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + line_no.cast("decimal(10,0)")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, t1, t2, copies): each different row once, with how often it comes.
 
-
-def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, line): the lines with a word; a document without any has one row, of NULLs."""
+    Only rows whose id and text hash come more than once are put together; the
+    others keep where they lie.
+    """
+    keyed = docs.select("doc_id", "text", *[h(F.coalesce(F.col("text"), F.lit(""))).alias(k) for k, h in (("t1", F.xxhash64), ("t2", F.hash))])
+    key = ["doc_id", "t1", "t2"]
+    again = stored(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key), "again")
+    n = again.limit(BROADCAST_ROWS + 1).count()
+    if not n:
+        return keyed.withColumn("copies", F.lit(1).cast("long"))
+    listed = (F.broadcast(again) if n <= BROADCAST_ROWS else again).alias("a")
+    same = F.col("k.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("k.t1") == F.col("a.t1")) & (F.col("k.t2") == F.col("a.t2"))
+    once = keyed.alias("k").join(listed, same, "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    more = keyed.alias("k").join(listed, same, "left_semi").withColumn("text", F.coalesce("text", F.lit("")))
+    return once.unionByName(more.groupBy("doc_id", "text", "t1", "t2").agg(F.count(F.lit(1)).alias("copies")))
+
+
+def line_rows(keyed: DataFrame) -> DataFrame:
+    """(doc_id, t1, t2, copies, line_no, line): the lines with a word; a text without any has one row, of NULLs.
+
+    No two rows share doc_id, t1, t2 and line_no; ``line_no`` counts all lines, from 0.
+    """
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
     worded = F.filter(
         F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
         lambda x: x.line.rlike(r"[^\x20\x09-\x0D]"),
     )
-    return docs.select("doc_id", F.explode_outer(worded).alias("l")).select(
-        "doc_id", F.when(F.col("l").isNotNull(), _order(F.col("doc_id"), F.col("l.i"))).cast("decimal(38,0)").alias("at"),
-        F.col("l.line").alias("line"),
+    return keyed.select("doc_id", "t1", "t2", "copies", F.explode_outer(worded).alias("l")).select(
+        "doc_id", "t1", "t2", "copies", F.col("l.i").alias("line_no"), F.col("l.line").alias("line")
     )
 
 
@@ -100,43 +115,58 @@ def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
     return told.filter(F.levenshtein("line_a", "line_b", edits) >= 1).select("a", "b")
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH) -> DataFrame:
-    """(doc_id, n_lines, n_equal, n_near, n_links, n_kept): one row per doc_id.
+def decide_lines(keyed: DataFrame, edits: int, least_length: int) -> DataFrame:
+    """The rows of ``line_rows`` with (leads, near, links).
 
-    Counts lines with a word. A line goes if an equal one comes before it
-    (``n_equal``), by doc_id, NULL last, then place; or else if one within
-    ``edits`` edits does (``n_near``; both of ``least_length`` characters at
-    least). All is judged on the input. ``n_links`` counts the different lines
-    within reach of the document's lines that are the first of their text. Rows
-    of one doc_id are one document; NULL and empty texts have no lines.
+    ``leads``: the line is the first of its text; ``near``, ``links``: what was
+    found for that text.
     """
-    rows = line_rows(docs)
-    distinct = rows.filter("line is not null").groupBy("line").agg(F.min("at").alias("first"))
+    rows = line_rows(keyed).withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
+    # Unique for each line of a text: by doc_id, NULL last, then hash of the text, then line number.
+    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2", "line_no")
+    heads = stored(rows.filter("line is not null").groupBy("h1", "h2").agg(F.min(at).alias("first")), "heads")
     counts = F.lit(0).cast("long")
     for k, letters in enumerate(_LETTERS):
         n = F.length(F.regexp_replace(F.lower("line"), f"[^{letters}]+", "")).cast("long").bitwiseAND(255)
         counts = counts.bitwiseOR(F.shiftleft(n, 8 * k))
-    lines = stored(distinct.filter(F.length("line") >= least_length).select(
-        "line", "first", F.length("line").alias("n"), counts.alias("counts"), F.monotonically_increasing_id().alias("id")
+    lines = stored(rows.filter(F.length("line") >= least_length).select("line", "h1", "h2").distinct().select(
+        "line", "h1", "h2", F.length("line").alias("n"), counts.alias("counts"), F.monotonically_increasing_id().alias("id")
     ), "lines")
     near = stored(near_pairs(lines, edits), "near")
-    when = lines.select("id", "first")
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    when = lines.select("id", "h1", "h2").join(both.select(F.col("a").alias("id")).distinct(), "id").join(heads, ["h1", "h2"])
+    when = stored(when.select("id", "h1", "h2", "first"), "when")
     linked = both.join(when.select(F.col("id").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(
         F.count(F.lit(1)).alias("links"), F.min("other").alias("earliest")
     )
-    # the line at which a text first comes is one place: decisions meet it there
-    decided = stored(linked.join(when.select(F.col("id").alias("a"), "first"), "a").select(
-        "first", "links", (F.col("earliest") < F.col("first")).alias("near")
-    ), "decided")
-    keys = [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")]
-    narrow = rows.select("doc_id", "at", *keys)
-    heads = narrow.filter("at is not null").groupBy("h1", "h2").agg(F.min("at").alias("first"))
-    heads = stored(heads.join(decided, "first", "left"), "heads")
-    told = narrow.join(heads, ["h1", "h2"], "left").withColumn("leads", F.col("at") == F.col("first"))
+    decided = linked.join(when.withColumnRenamed("id", "a"), "a").select(
+        "h1", "h2", "links", (F.col("earliest") < F.col("first")).alias("near")
+    )
+    heads = stored(heads.join(decided, ["h1", "h2"], "left"), "decided")
+    return rows.join(heads, ["h1", "h2"], "left").select(
+        *rows.columns[:6], (at == F.col("first")).alias("leads"),
+        F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+    )
+
+
+def dedup_lines(docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH) -> DataFrame:
+    """(doc_id, n_lines, n_equal, n_near, n_links, n_kept): one row per doc_id.
+
+    Counts lines with a word. A line goes if an equal one comes before it
+    (``n_equal``), by doc_id, NULL last, then hash of the text, then place; or
+    else if one within ``edits`` edits does (``n_near``; both of
+    ``least_length`` characters at least). All is judged on the input. Every
+    line but one of an equal set goes, also where rows share an id or repeat.
+    ``n_links`` counts the different lines within reach of the document's lines
+    that are the first of their text. Rows of one doc_id are one document; NULL
+    and empty texts have no lines.
+    """
+    told = decide_lines(_keyed(docs), edits, least_length)
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
     counted = told.groupBy("doc_id").agg(
-        F.count("at").alias("n_lines"), F.count_if(~F.col("leads")).alias("n_equal"),
-        F.count_if(F.col("leads") & F.coalesce("near", F.lit(False))).alias("n_near"),
-        F.coalesce(F.sum(F.when(F.col("leads"), F.col("links"))), F.lit(0)).cast("long").alias("n_links"),
+        total(F.when(F.col("leads").isNotNull(), F.col("copies"))).alias("n_lines"),
+        total(F.col("copies") - F.col("leads").cast("int")).alias("n_equal"),
+        F.count_if(F.col("leads") & F.col("near")).alias("n_near"),
+        total(F.when(F.col("leads"), F.col("links"))).alias("n_links"),
     )
     return counted.withColumn("n_kept", F.col("n_lines") - F.col("n_equal") - F.col("n_near"))

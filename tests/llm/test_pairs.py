@@ -169,3 +169,32 @@ def test_line_pairs_equal_all_pairs(spark, edits):
              for r in line_dedup.dedup_lines(once, edits).collect()}
     assert found == want and sum(x[2] for x in want.values()) > 5
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def _line_counts(given, edits=2):
+    """[n_lines, n_equal, n_near, n_links] over all rows, by comparing all distinct lines in pairs; n_near where no chains are."""
+    lines = [line for _, t in given for line in (t or "").split("\n") if WORD.search(line)]
+    distinct = sorted(set(lines))
+    links = [(a, b) for i, a in enumerate(distinct) for b in distinct[:i]
+             if min(len(a), len(b)) >= 24 and abs(len(a) - len(b)) <= edits and _distance(a, b) <= edits]
+    assert len({x for pair in links for x in pair}) == 2 * len(links)  # pairs only: one of each goes, in any order
+    return [len(lines), len(lines) - len(distinct), len(links), 2 * len(links)]
+
+
+def test_line_dedup_without_unique_ids(spark):
+    """NULL ids, repeated rows, and different texts under one id: a line leads once."""
+    a, b, c, d = (prose(900 + k, 8) for k in range(4))
+    near_a, near_c = a[:-1] + "!", c[:10] + "?" + c[10:]
+    given = [
+        (None, a), (None, a), (None, a + "\n" + b), (None, b), (None, near_a), (None, None), (None, ""),
+        (7, c), (7, d), (7, near_c), (7, c), (7, c), (8, c + "\n\n" + c), (9, None), (9, ""), (9, d + "\n" + prose(950, 8)),
+    ]
+    source = spark.createDataFrame(given, "doc_id bigint, text string").repartition(5)
+    got = line_dedup.dedup_lines(source).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 7, 8, 9]
+    found = [sum(r[k] for r in got) for k in ("n_lines", "n_equal", "n_near", "n_links")]
+    assert found == _line_counts(given)
+    assert sum(r.n_kept for r in got) == found[0] - found[1] - found[2]
+    lone = {r.doc_id: r for r in got}
+    assert (lone[None].n_lines, lone[None].n_equal, lone[None].n_near, lone[None].n_links) == (6, 3, 1, 2)
+    assert (lone[8].n_lines, lone[8].n_equal) == (2, 2)
