@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gearyard.functions.numbering import copies
 from gearyard.llm.common import stored
 
 EDITS = 2
@@ -23,6 +24,8 @@ BROADCAST_ROWS = 500_000
 
 # Letters counted one by one; an edit changes the counts by two in all at most.
 _LETTERS = ("eé", "aá", "oó", "t", "nñ", "h", "rl", "su")
+# A line with this is not blank.
+_WORDED = r"[^\x20\x09-\x0D]"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -44,16 +47,15 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return once.unionByName(more.groupBy("doc_id", "text", "t1", "t2").agg(F.count(F.lit(1)).alias("copies")))
 
 
-def line_rows(keyed: DataFrame) -> DataFrame:
+def line_rows(keyed: DataFrame, blank: bool = False) -> DataFrame:
     """(doc_id, t1, t2, copies, line_no, line): the lines with a word; a text without any has one row, of NULLs.
 
-    No two rows share doc_id, t1, t2 and line_no; ``line_no`` counts all lines, from 0.
+    No two rows share doc_id, t1, t2 and line_no; ``line_no`` counts all lines,
+    from 0. With ``blank`` lines without a word are rows, too.
     """
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
-    worded = F.filter(
-        F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
-        lambda x: x.line.rlike(r"[^\x20\x09-\x0D]"),
-    )
+    lines = F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i")))
+    worded = lines if blank else F.filter(lines, lambda x: x.line.rlike(_WORDED))
     return keyed.select("doc_id", "t1", "t2", "copies", F.explode_outer(worded).alias("l")).select(
         "doc_id", "t1", "t2", "copies", F.col("l.i").alias("line_no"), F.col("l.line").alias("line")
     )
@@ -115,11 +117,11 @@ def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
     return told.filter(F.levenshtein("line_a", "line_b", edits) >= 1).select("a", "b")
 
 
-def decide_lines(keyed: DataFrame, edits: int, least_length: int) -> DataFrame:
+def _decided(keyed: DataFrame, edits: int, least_length: int, blank: bool = False) -> DataFrame:
     """The rows of ``line_rows`` with (leads, near, links).
 
-    ``leads``: the line is the first of its text; ``near``, ``links``: what was
-    found for that text.
+    ``leads``: the line is the first of its text, NULL for a blank one; ``near``,
+    ``links``: what was found for that text.
     """
     rows = line_rows(keyed).withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
     # Unique for each line of a text: by doc_id, NULL last, then hash of the text, then line number.
@@ -143,12 +145,47 @@ def decide_lines(keyed: DataFrame, edits: int, least_length: int) -> DataFrame:
         "h1", "h2", "links", (F.col("earliest") < F.col("first")).alias("near")
     )
     heads = stored(heads.join(decided, ["h1", "h2"], "left"), "decided")
+    if blank:
+        worded = F.when(F.col("line").rlike(_WORDED), F.col("line"))
+        rows = line_rows(keyed, True).withColumns({"h1": F.xxhash64(worded), "h2": F.hash(worded)})
     return rows.join(heads, ["h1", "h2"], "left").select(
         *rows.columns[:6], (at == F.col("first")).alias("leads"),
         F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
 
 
+def line_decisions(docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH) -> DataFrame:
+    """(doc_id, t1, t2, copies, line_no, line, decision, links): a row for each line of each different row.
+
+    ``decision`` is ``keep``, ``equal`` or ``near``, as ``dedup_lines`` counts
+    them; ``blank`` lines have no word and stay. ``t1`` and ``t2`` are hashes of the
+    text. ``copies`` is how often the row comes: the decision is that of the
+    first, all lines of the others but blank ones are equal to its lines.
+    ``links`` counts the different lines within reach of the line's text. A NULL
+    or empty text has one blank line.
+    """
+    told = _decided(_keyed(docs), edits, least_length, True)
+    decision = F.when(F.col("leads").isNull(), "blank").when(~F.col("leads"), "equal").when(F.col("near"), "near").otherwise("keep")
+    return told.select("doc_id", "t1", "t2", "copies", "line_no", "line", decision.alias("decision"), "links")
+
+
+def clean_texts(docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH) -> DataFrame:
+    """(doc_id, text): every row with the lines that stay, in order.
+
+    Blank lines stay; a text of which no line with a word stays is empty, as a
+    NULL one is. Of repeated rows the first has the kept lines, the others none.
+    """
+    stays = F.col("decision").isin("keep", "blank")
+    line = F.when(stays, F.struct("line_no", "line"))
+    whole = line_decisions(docs, edits, least_length).groupBy("doc_id", "t1", "t2").agg(
+        F.max("copies").alias("copies"), F.max(F.col("decision") == "keep").alias("any"),
+        F.array_sort(F.collect_list(line)).alias("lines"),
+    )
+    text = F.when(F.col("any"), F.array_join(F.transform("lines", lambda x: x.line), "\n")).otherwise("")
+    numbered = copies(whole.select("doc_id", text.alias("text"), "copies"), F.lit(1).cast("long"), F.col("copies"), "copy")
+    return numbered.select("doc_id", F.when(F.col("copy") == 1, F.col("text")).otherwise("").alias("text"))
+
+
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_LENGTH) -> DataFrame:
     """(doc_id, n_lines, n_equal, n_near, n_links, n_kept): one row per doc_id.
 
@@ -161,7 +198,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_length: int = LEAST_L
     that are the first of their text. Rows of one doc_id are one document; NULL
     and empty texts have no lines.
     """
-    told = decide_lines(_keyed(docs), edits, least_length)
+    told = _decided(_keyed(docs), edits, least_length)
     total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
     counted = told.groupBy("doc_id").agg(
         total(F.when(F.col("leads").isNotNull(), F.col("copies"))).alias("n_lines"),

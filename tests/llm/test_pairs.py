@@ -198,3 +198,31 @@ def test_line_dedup_without_unique_ids(spark):
     lone = {r.doc_id: r for r in got}
     assert (lone[None].n_lines, lone[None].n_equal, lone[None].n_near, lone[None].n_links) == (6, 3, 1, 2)
     assert (lone[8].n_lines, lone[8].n_equal) == (2, 2)
+
+
+def test_line_dedup_gives_texts_and_decisions(spark):
+    a, b, c = (prose(960 + k, 8) for k in range(3))
+    near_a = a[:-1] + "!"
+    given = [
+        (1, a + "\n\n" + b + "\n" + a), (2, "\n" + near_a + "\n" + c + "\n"), (2, c + "\nshort"), (3, b), (4, None), (5, " \n "),
+        (None, "last\n" + c + "\nend"), (None, "last\n" + c + "\nend"), (None, "more"), (None, "more"),
+    ]
+    source = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    cleaned = line_dedup.clean_texts(source).collect()
+    texts_of = lambda d: sorted(r.text for r in cleaned if r.doc_id == d)
+    assert texts_of(1) == [a + "\n\n" + b] and texts_of(3) == texts_of(4) == texts_of(5) == [""]
+    assert texts_of(2) in (["\n" + c + "\n", "short"], ["", c + "\nshort"])  # the hash of the texts says which is first
+    assert texts_of(None) == ["", "", "last\nend", "more"]
+    told = line_dedup.line_decisions(source).collect()
+    assert {(r.doc_id, r.line_no, r.line): (r.decision, r.links) for r in told if r.doc_id == 1} == {
+        (1, 0, a): ("keep", 1), (1, 1, ""): ("blank", 0), (1, 2, b): ("keep", 0), (1, 3, a): ("equal", 1),
+    }
+    assert [(r.decision, r.links) for r in told if r.line == near_a] == [("near", 1)]
+    counts = {r.doc_id: r for r in line_dedup.dedup_lines(source).collect()}
+    for d in (1, 2, 3, 4, 5, None):
+        kept = [line for t in texts_of(d) for line in t.split("\n") if WORD.search(line)]
+        assert len(kept) == counts[d].n_kept
+        mine = [r for r in told if r.doc_id == d and r.decision != "blank"]
+        assert sum(r.copies for r in mine) == counts[d].n_lines
+        assert sum(r.copies - (r.decision != "equal") for r in mine) == counts[d].n_equal
+        assert sum(r.decision == "near" for r in mine) == counts[d].n_near
