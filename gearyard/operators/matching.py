@@ -1,6 +1,6 @@
 """Matching of search texts and licence plates against the needs list.
 
-The needs list is short, the table of searches is not. Containment tests are
+All needs are matched, however many. Containment tests are
 turned into equi-joins: every substring of a need's words goes into an index,
 and a search looks its own words up in it. No search meets a need it shares
 nothing with, and equal searches are matched once.
@@ -8,9 +8,10 @@ nothing with, and equal searches are matched once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gearyard.functions.numbering import numbered_in_order
 from gearyard.functions.skew import salted_join
 from gearyard.functions.text import (
     has_text,
@@ -22,6 +23,7 @@ from gearyard.functions.text import (
 )
 from gearyard.operators.needs import need_order
 from gearyard.operators.views import DESCRIPTORS, folded_code
+from gearyard.session import scratch_dir
 
 # Points per kind of hit, and the shortest word that counts.
 TEXT_POINTS, VARIANT_POINTS, WORD_POINTS, CODE_POINTS = 100, 50, 10, 200
@@ -63,11 +65,8 @@ def synonym_hits(searches: DataFrame) -> DataFrame:
 
 
 def ranked_needs(needs: DataFrame) -> DataFrame:
-    """Needs with their place in the list, which settles equal scores.
-
-    The list has a stated length, so one ordered window over it is small.
-    """
-    return needs.withColumn("need_rank", F.row_number().over(Window.orderBy(*need_order(needs))))
+    """Needs with their place in the list, which settles equal scores. Stored, since matching reads them several times."""
+    return numbered_in_order(needs, need_order(needs), "need_rank", f"{scratch_dir(needs.sparkSession)}/needs")
 
 
 def _need_texts(needs: DataFrame) -> DataFrame:
@@ -188,9 +187,12 @@ def smart_match(searches: DataFrame, needs: DataFrame) -> DataFrame:
         .groupBy("norm", "need_rank").agg(F.sum(_points()).alias("score"))
         .filter((F.col("score") > 0) | (F.col("norm") == ""))
     )
-    # At most one row per need and search text: the group is as long as the needs list.
-    place = Window.partitionBy("norm").orderBy(F.desc("score"), F.asc("need_rank"))
-    matched = scored.withColumn("rank", F.row_number().over(place)).join(ranked, "need_rank")
+    # A search text may match as many needs as there are: numbered over all texts, then from each text's first.
+    order = [F.asc("norm"), F.desc("score"), F.asc("need_rank")]
+    placed = numbered_in_order(scored, order, "_number", f"{scratch_dir(searches.sparkSession)}/scored")
+    starts = placed.groupBy("norm").agg(F.min("_number").alias("_start"))
+    placed = salted_join(placed, starts, ["norm"], "inner", spread=["need_rank"])
+    matched = placed.withColumn("rank", (F.col("_number") - F.col("_start") + 1).cast("int")).join(ranked, "need_rank")
     return salted_join(asked, matched, ["norm"], "inner", spread=["search_id"]).select(
         "search_id", *needs.columns, "score", "rank"
     )

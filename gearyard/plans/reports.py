@@ -18,9 +18,6 @@ from gearyard.sources.schema import OPTIONAL_OFFER_COLUMNS, TABLES
 
 Report = Callable[[SparkSession, str], DataFrame]
 
-# The longest needs list the vendor screen offers; matching runs against it.
-VENDOR_NEEDS = 200
-
 
 def comparable(table: DataFrame) -> DataFrame:
     """Types that read the same from any engine: no decimals, dates or flags."""
@@ -42,14 +39,6 @@ def _needs(t: tb.Tables, n: int | None = 50) -> DataFrame:
     return needs.needs_items(t, AS_OF, n)
 
 
-def _listed(t: tb.Tables) -> DataFrame:
-    """The vendor screen's needs list, stored because matching reads it twice."""
-    rows = _needs(t, VENDOR_NEEDS)
-    path = f"{scratch_dir(rows.sparkSession)}/needs"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _movers(t: tb.Tables, kind: str, window: int = 3, min_count: int = 5) -> DataFrame:
     return prices.price_movers(t, kind, AS_OF, window, prices.default_lookback(window), min_count)
 
@@ -178,10 +167,10 @@ _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     ),
     "synonyms": lambda t: matching.synonym_hits(t["searches"]),
     "search_variants": lambda t: matching.search_variants(t["searches"]),
-    "smart_match": lambda t: matching.smart_match(t["searches"], _listed(t)),
+    "smart_match": lambda t: matching.smart_match(t["searches"], _needs(t, None)),
     "describe_item": _describe,
     "plate_lookup": lambda t: matching.plate_lookup(t["plate_searches"], t["plates"]),
-    "needs_for_plate": lambda t: matching.needs_for_plate(t["plates"], _listed(t)),
+    "needs_for_plate": lambda t: matching.needs_for_plate(t["plates"], _needs(t, None)),
     "normalize_code": lambda t: t["items"].select(
         "item_id",
         tx.normalize_code(

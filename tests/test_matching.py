@@ -6,7 +6,8 @@ import pytest
 
 from gearyard.functions import text as tx
 from gearyard.operators import matching
-from tests.fixtures import column_of, values
+from gearyard.plans import reports
+from tests.fixtures import column_of, tables, values
 
 _NEED = (
     "code string, brand string, energy string, type_name string, type_model string, type_year string, "
@@ -207,3 +208,20 @@ def test_plate_tiers(spark, plates):
 def test_plate_without_any_need(spark, plates):
     rows = matching.needs_for_plate(plates, _needs(spark, [])).collect()
     assert {(r.tier, r.sold_3m) for r in rows} == {(3, None)} and len(rows) == plates.count()
+
+
+def test_reports_match_needs_of_any_rank(spark, monkeypatch):
+    """A need far down the list is found, by text and by plate."""
+    items = [{"item_id": k, "code": f"C{k:03d}X", "type_id": 1} for k in range(1, 252)]
+    sold = [{"item_id": k, "validated_at": "2001-07-20"} for k in range(1, 252) for _ in range(1 if k == 251 else 2)]
+    given = tables(spark, items=items, dispatches=sold)
+    given["searches"] = _searches(spark, ["C251X", ""])
+    given["plates"] = spark.createDataFrame(
+        [("p", "C251X", "B", "", "", "")], "plate string, code string, brand string, model string, year string, energy string"
+    )
+    monkeypatch.setattr(reports, "sample_tables", lambda *_: given)
+    found = reports.REPORTS["smart_match"](spark, "").collect()
+    assert [(r.code, r["rank"]) for r in found if r.search_id == 0] == [("C251X", 1)]
+    listed = sorted((r["rank"], r.code) for r in found if r.search_id == 1)
+    assert listed == [(k, f"C{k:03d}X") for k in range(1, 252)]
+    assert [(r.tier, r.code) for r in reports.REPORTS["needs_for_plate"](spark, "").collect()] == [(1, "C251X")]
