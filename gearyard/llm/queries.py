@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearyard.llm import decontam, kneser_ney, lang_id, line_dedup, lm_score, mixing, near_dup, quality_rules, sharding, suffix_dedup
+from gearyard.llm import (
+    decontam, kneser_ney, lang_id, line_dedup, lm_score, merkle, mixing, near_dup, quality_rules, sharding, suffix_dedup,
+)
 from gearyard.llm.common import crc_remainder, documents
 
 
@@ -67,6 +69,12 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "class_id")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    told = merkle.manifest(docs, merkle.tampered(F.col("doc_id")))
+    return told.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
@@ -78,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_id": op8_lang_id,
     "op9_mixing": op9_mixing,
     "op10_near_dup": op10_near_dup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
