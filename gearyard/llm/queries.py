@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearyard.llm import (
-    decontam, kneser_ney, lang_id, line_dedup, lm_score, merkle, mixing, near_dup, quality_rules, sharding, suffix_dedup,
+    decontam, kneser_ney, lang_id, line_dedup, lm_score, merkle, mixing, piece_codec, near_dup, quality_rules, sharding, suffix_dedup,
 )
 from gearyard.llm.common import crc_remainder, documents
 
@@ -69,6 +69,13 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "class_id")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    encoded = piece_codec.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return piece_codec.digests(encoded)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     told = merkle.manifest(docs, merkle.tampered(F.col("doc_id")))
@@ -86,5 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_id": op8_lang_id,
     "op9_mixing": op9_mixing,
     "op10_near_dup": op10_near_dup,
+    "op11_sentencepiece": op11_sentencepiece,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
