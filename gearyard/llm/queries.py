@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearyard.llm import (
-    decontam, kneser_ney, lang_id, line_dedup, lm_score, merkle, mixing, piece_codec, near_dup, quality_rules, sharding, suffix_dedup,
+    decontam, kneser_ney, lang_id, line_dedup, lm_score, merkle, mixing, periodic_runs, piece_codec, near_dup, quality_rules, sharding, suffix_dedup,
 )
 from gearyard.llm.common import crc_remainder, documents
 
@@ -76,6 +76,11 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(encoded)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect(documents(spark, sf_dir).select("doc_id", "text"), planted=True)
+    return periodic_runs.digests(found)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     told = merkle.manifest(docs, merkle.tampered(F.col("doc_id")))
@@ -94,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_near_dup": op10_near_dup,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
