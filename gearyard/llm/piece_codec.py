@@ -160,26 +160,33 @@ def model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, rows_per_batch: int = 256) -> DataFrame:
     """(``doc_id``, ``ids`` array<int> with the end id, ``decoded`` string,
-    ``agrees`` boolean: the library gave the same ids) for each row of ``docs``."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, ids array<int>, decoded string, agrees boolean"
+    ``agrees`` boolean: the library gave the same ids) for each row of ``docs``.
+
+    Ids travel as decimal text, so that no id type is narrowed on the way; the
+    results leave in parts of ``rows_per_batch`` rows, which bounds a worker's memory.
+    """
+    schema = "_id string, ids array<int>, decoded string, agrees boolean"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model(path)
         for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            own = [m.encode(t) for t in texts]
-            library = m.library.encode(texts, num_threads=1)
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"],
-                "ids": own,
-                "decoded": [m.decode(ids) for ids in own],
-                "agrees": [a[:-1] == b for a, b in zip(own, library)],
-            })
-
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+            for lo in range(0, len(batch), rows_per_batch):
+                part = batch.iloc[lo: lo + rows_per_batch]
+                texts = [t if isinstance(t, str) else "" for t in part["text"]]
+                own = [m.encode(t) for t in texts]
+                library = m.library.encode(texts, num_threads=1)
+                yield pd.DataFrame({
+                    "_id": [d if isinstance(d, str) else None for d in part["_id"]],
+                    "ids": own,
+                    "decoded": [m.decode(ids) for ids in own],
+                    "agrees": [a[:-1] == b for a, b in zip(own, library)],
+                })
+
+    id_type = docs.schema["doc_id"].dataType
+    encoded = docs.select(F.col("doc_id").cast("string").alias("_id"), "text").mapInPandas(run, schema)
+    return encoded.select(F.col("_id").cast(id_type).alias("doc_id"), "ids", "decoded", "agrees")
 
 
 def digests(encoded: DataFrame) -> DataFrame:
