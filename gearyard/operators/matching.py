@@ -1,9 +1,13 @@
 """Matching of search texts and licence plates against the needs list.
 
 All needs are matched, however many. Containment tests are
-turned into equi-joins: every substring of a need's words goes into an index,
-and a search looks its own words up in it. No search meets a need it shares
-nothing with, and equal searches are matched once.
+turned into equi-joins over a q-gram index: every substring of up to ``GRAM``
+characters of a need's text, code and words goes into it, so its rows grow
+linearly with the length. A search text or word looks up only its rarest gram
+(itself, if shorter), and every hit is verified by ``contains``; a need word
+inside a search word is keyed by its own rarest gram, which the search word
+gives among all its short substrings. No search meets a need it shares nothing
+with, and equal searches are matched once.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from gearyard.session import scratch_dir
 # Points per kind of hit, and the shortest word that counts.
 TEXT_POINTS, VARIANT_POINTS, WORD_POINTS, CODE_POINTS = 100, 50, 10, 200
 SHORTEST_WORD = 2
+# Grams of the containment index: every substring of up to this many characters.
+GRAM = 3
 
 
 def with_pieces(rows: DataFrame, word: str, longest: Column | None = None) -> DataFrame:
@@ -78,92 +84,85 @@ def _need_texts(needs: DataFrame) -> DataFrame:
     )
 
 
-def _word_index(texts: DataFrame) -> DataFrame:
-    """One row per (piece of a word, role, need).
+def grams(text: Column, q: int = GRAM) -> Column:
+    """Distinct substrings of ``text`` of at most ``q`` characters: at most ``q``
+    for each character, so linear in the length."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    pieces = F.flatten(F.transform(places, lambda i: F.array(*(F.substring(text, i, k) for k in range(1, q + 1)))))
+    return F.array_distinct(F.filter(pieces, lambda piece: piece != ""))
 
-    Role ``inside`` holds every piece, ``ends`` those that end a word of the text
-    or code, ``word`` those that are a text word. ``n_within`` and ``n_equal``
-    count the text words that contain the piece, or are it. A single space
-    stands for texts with several words, the empty piece for every need.
-    """
-    text_words = texts.select(
-        "need_rank", F.explode(words(F.col("need_text"))).alias("word"), F.lit(1).alias("in_text")
-    )
-    code_words = texts.select(
-        "need_rank", F.explode(words(F.col("need_code"))).alias("word"), F.lit(0).alias("in_text")
+
+def _rarest(rows: DataFrame, text: str, keep: list[str], counts: DataFrame) -> DataFrame:
+    """``rows`` (distinct on ``keep`` and ``text``) with ``key``: the text itself if
+    shorter than ``GRAM``, else the gram of it that fewest index rows hold (ties:
+    the smallest). Whatever contains the text holds that key."""
+    short = rows.filter(F.length(text) < GRAM).select(*keep, text, F.col(text).alias("key"))
+    places = F.sequence(F.lit(1), F.length(text) - GRAM + 1)
+    every = rows.filter(F.length(text) >= GRAM).select(
+        *keep, text, F.explode(F.array_distinct(F.transform(places, lambda i: F.substring(text, i, GRAM)))).alias("key")
     )
-    pieces = (
-        with_pieces(text_words.unionByName(code_words), "word")
-        .groupBy("piece", "need_rank")
-        .agg(
-            F.max(F.endswith("word", "piece")).alias("_ends"),
-            F.sum("in_text").alias("n_within"),
-            F.sum(F.when(F.col("word") == F.col("piece"), F.col("in_text")).otherwise(0)).alias("n_equal"),
-        )
+    counted = every.join(counts, "key", "left").select(
+        *keep, text, F.struct(F.coalesce("n_index", F.lit(0)).alias("n"), F.col("key").alias("key")).alias("_best")
     )
-    roles = F.array_compact(
-        F.array(F.lit("inside"), F.when(F.col("_ends"), "ends"), F.when(F.col("n_equal") > 0, "word"))
+    best = counted.groupBy(*keep, text).agg(F.min("_best").alias("_best")).select(*keep, text, F.col("_best.key").alias("key"))
+    return short.unionByName(best)
+
+
+def _counts(index: DataFrame) -> DataFrame:
+    return index.groupBy("key").agg(F.count(F.lit(1)).alias("n_index"))
+
+
+def _text_points(norms: DataFrame, texts: DataFrame) -> DataFrame:
+    """(norm, need_rank, points) of the spellings of each search that a need's
+    text or code holds: found by the rarest gram, then verified."""
+    index = texts.select(
+        "need_rank", F.explode(F.array_distinct(F.concat(grams(F.col("need_text")), grams(F.col("need_code"))))).alias("key")
     )
-    pieces = pieces.select("piece", "need_rank", "n_within", "n_equal", F.explode(roles).alias("role"))
-    spaced = F.contains(F.col("need_text"), F.lit(" ")) | F.contains(F.col("need_code"), F.lit(" "))
-    whole = texts.select(
-        F.explode(F.when(spaced, F.array(F.lit(""), F.lit(" "))).otherwise(F.array(F.lit("")))).alias("piece"),
-        "need_rank",
-        F.lit(0).cast("bigint").alias("n_within"),
-        F.lit(0).cast("bigint").alias("n_equal"),
-        F.lit("inside").alias("role"),
+    probes = norms.select("norm", F.explode(variants(F.col("norm"))).alias("probe")).filter(F.col("probe") != "").distinct()
+    hits = _rarest(probes, "probe", ["norm"], _counts(index)).join(index, "key").join(texts, "need_rank")
+    in_text = F.contains(F.col("need_text"), F.col("probe"))
+    in_code = F.contains(F.col("need_code"), F.col("probe"))
+    own = F.col("probe") == F.col("norm")
+    points = (
+        F.when(in_text, VARIANT_POINTS).otherwise(0)
+        + F.when(own & in_text, TEXT_POINTS).otherwise(0)
+        + F.when(own & in_code, CODE_POINTS).otherwise(0)
     )
-    return pieces.unionByName(whole)
+    return hits.select("norm", "need_rank", points.cast("long").alias("points"))
 
 
-def _probes(norms: DataFrame, longest_need_word: Column) -> DataFrame:
-    """What each normalised search looks up: (norm, piece, role, kind, probe, weight).
+def _word_points(norms: DataFrame, texts: DataFrame) -> DataFrame:
+    """(norm, need_rank, points): 10 for each pair of a search word (two
+    characters or more) and a need text word of which one contains the other.
 
-    ``text``: the first word of every variant, the variant itself to be
-    verified. With more words to follow it must end a need word; alone it may
-    lie anywhere in one. ``word``: a search word that need words may contain;
-    ``part``: a part of a search word that may be a need word.
+    A need word that contains the search word holds the search word's rarest
+    gram; a need word inside the search word is keyed by its own rarest gram,
+    which the search word, giving all its short substrings, then holds.
     """
-    probe = F.col("probe")
-    first = F.coalesce(F.try_element_at(words(probe), F.lit(1)), F.substring(probe, 1, 1))
-    texts = norms.select("norm", F.explode(variants(F.col("norm"))).alias("probe")).select(
-        "norm", first.alias("piece"), F.when(F.size(words(probe)) > 1, "ends").otherwise("inside").alias("role"),
-        F.lit("text").alias("kind"), "probe", F.lit(1).alias("weight"),
+    need_words = (
+        texts.select("need_rank", F.explode(words(F.col("need_text"))).alias("need_word"))
+        .groupBy("need_rank", "need_word").agg(F.count(F.lit(1)).alias("mult"))
     )
+    index = need_words.select("need_rank", "need_word", "mult", F.explode(grams(F.col("need_word"))).alias("key"))
+    counts = _counts(index)
     counted = (
         norms.select("norm", words(F.col("norm")).alias("all"))
         .select("norm", "all", F.explode(F.array_distinct("all")).alias("word"))
         .filter(F.length("word") >= SHORTEST_WORD)
         .select("norm", "word", F.size(F.filter("all", lambda w: w == F.col("word"))).alias("weight"))
     )
-    no_probe = F.lit(None).cast("string").alias("probe")
-    whole = counted.select(
-        "norm", F.col("word").alias("piece"), F.lit("inside").alias("role"), F.lit("word").alias("kind"), no_probe, "weight"
+    around = (
+        _rarest(counted, "word", ["norm", "weight"], counts).join(index, "key")
+        .filter(F.contains(F.col("need_word"), F.col("word")))
     )
-    parts = (
-        with_pieces(counted, "word", longest_need_word)
-        .filter(F.col("piece") != F.col("word"))
-        .select("norm", "piece", F.lit("word").alias("role"), F.lit("part").alias("kind"), no_probe, "weight")
-    )
-    return texts.unionByName(whole).unionByName(parts)
-
-
-def _points() -> Column:
-    """Points of one (probe, index piece) hit; text hits are verified here."""
-    in_text = F.contains(F.col("need_text"), F.col("probe"))
-    in_code = F.contains(F.col("need_code"), F.col("probe"))
-    own = F.col("probe") == F.col("norm")
-    text_hit = (
-        F.when(in_text, VARIANT_POINTS).otherwise(0)
-        + F.when(own & in_text, TEXT_POINTS).otherwise(0)
-        + F.when(own & in_code, CODE_POINTS).otherwise(0)
-    )
-    return (
-        F.when(F.col("kind") == "word", WORD_POINTS * F.col("weight") * F.col("n_within"))
-        .when(F.col("kind") == "part", WORD_POINTS * F.col("weight") * F.col("n_equal"))
-        .when(F.col("probe") == "", 0)
-        .otherwise(text_hit)
+    keyed = _rarest(need_words, "need_word", ["need_rank", "mult"], counts)
+    inside = (
+        counted.select("norm", "word", "weight", F.explode(grams(F.col("word"))).alias("key"))
+        .join(keyed, "key")
+        .filter((F.col("need_word") != F.col("word")) & F.contains(F.col("word"), F.col("need_word")))
     )
+    points = (WORD_POINTS * F.col("weight") * F.col("mult")).cast("long").alias("points")
+    return around.select("norm", "need_rank", points).unionByName(inside.select("norm", "need_rank", points))
 
 
 def smart_match(searches: DataFrame, needs: DataFrame) -> DataFrame:
@@ -177,14 +176,15 @@ def smart_match(searches: DataFrame, needs: DataFrame) -> DataFrame:
     """
     ranked = ranked_needs(needs)
     texts = _need_texts(ranked)
-    longest = texts.select(F.explode(words(F.col("need_text"))).alias("word")).agg(F.max(F.length("word"))).scalar()
     asked = searches.select("search_id", normalize_text(F.col("text")).alias("norm"))
     norms = asked.select("norm").distinct()
 
-    hits = _probes(norms, F.coalesce(longest, F.lit(1))).join(_word_index(texts), ["piece", "role"])
+    blank = texts.select(F.lit("").alias("norm"), "need_rank", F.lit(0).cast("long").alias("points"))
+    points = _text_points(norms, texts).unionByName(_word_points(norms, texts)).unionByName(
+        blank.join(norms, "norm", "left_semi")
+    )
     scored = (
-        hits.join(texts, "need_rank")
-        .groupBy("norm", "need_rank").agg(F.sum(_points()).alias("score"))
+        points.groupBy("norm", "need_rank").agg(F.sum("points").alias("score"))
         .filter((F.col("score") > 0) | (F.col("norm") == ""))
     )
     # A search text may match as many needs as there are: numbered over all texts, then from each text's first.

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gearyard.functions import text as tx
 from gearyard.operators import matching
@@ -225,3 +226,19 @@ def test_reports_match_needs_of_any_rank(spark, monkeypatch):
     listed = sorted((r["rank"], r.code) for r in found if r.search_id == 1)
     assert listed == [(k, f"C{k:03d}X") for k in range(1, 252)]
     assert [(r.tier, r.code) for r in reports.REPORTS["needs_for_plate"](spark, "").collect()] == [(1, "C251X")]
+
+
+def test_a_very_long_code_is_indexed_linearly(spark):
+    code = "".join("ABCDEFGHJK"[(i * 7 + i // 10) % 10] for i in range(20_000))
+    needs = [(code,), ("XK9K",)]
+    n_grams = spark.range(1).select(F.size(matching.grams(F.lit(code)))).first()[0]
+    assert n_grams <= 3 * len(code)
+    searches = [code[5_000:5_040], "K9K", code[:2]]
+    got = matching.smart_match(_searches(spark, searches), _needs(spark, needs))
+    by_search: dict[int, list] = {}
+    for i, sold, score, rank in values(got, "search_id", "sold_3m", "score", "rank"):
+        by_search.setdefault(i, []).append((rank, 10 - sold, score))
+    for i, search in enumerate(searches):
+        scores = _brute_scores(search, needs)
+        order = sorted((n for n in range(len(needs)) if scores[n] > 0), key=lambda n: (-scores[n], n))
+        assert sorted(by_search.get(i, [])) == [(place, n, scores[n]) for place, n in enumerate(order, 1)]
