@@ -129,3 +129,23 @@ def test_the_mix_holds_what_was_taken(spark):
     for r in taken.collect():
         want[r.doc_id] += r.taken
     assert +words == +want
+
+
+def test_repeat_count_is_exact_on_a_long_text(spark):
+    import random as _random
+
+    rng = _random.Random(11)
+    w = [f"w{rng.randrange(50_000)}" for _ in range(200_000)]
+    w[150_000:150_030] = w[1_000:1_030]
+    text = " ".join(w)
+    row = quality_rules.apply_rules(docs(spark, [text])).filter("doc_id = 0").first()
+    assert row.n_repeat_words == _base(text)[4]
+
+
+def test_a_plain_filter_on_the_verdict_ends(spark):
+    import time
+
+    started = time.time()
+    kept = quality_rules.apply_rules(docs(spark)).filter("kept").select("doc_id").collect()
+    assert time.time() - started < 120
+    assert {r.doc_id for r in kept} == {r.doc_id for r in quality_rules.apply_rules(docs(spark)).collect() if r.kept}
