@@ -190,7 +190,9 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, in the columns of ``docs``: a row for each pass over a
     document and one for each run of words taken once more, cut from its text.
 
-    A document of no words is in no block, so it is not in the mix.
+    A document of no words is in no block, so it is not in the mix. Every
+    column of ``docs`` comes back as it was, whatever its name; the texts of
+    runs taken once more are cut.
     """
     chosen = take(docs, **options)
     runs = chosen.select("doc_id", "row_hash", "passes", "size", F.when(F.size("spans") > 0, F.col("spans")).alias("spans"))
@@ -207,10 +209,15 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         "doc_id", "row_hash", "size",
         F.explode(F.concat(F.coalesce(whole, none), F.coalesce(F.when(F.col("spans").isNotNull(), cut), none))).alias("piece"),
     ).withColumnsRenamed({"doc_id": "_d", "row_hash": "_h"})
-    # rows that are equal in all columns are one here; their pieces are not
-    one = docs.withColumn("row_hash", row_hash(docs)).dropDuplicates(["doc_id", "row_hash"])
-    joined = pieces.join(one, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row_hash") == F.col("_h")))
+    # rows that are equal in all columns are one here; their pieces are not. The
+    # caller's columns are set aside under names of their own, so that none of
+    # theirs (row_hash, size, piece, ...) is replaced or clashes.
+    aside = {c: f"_in_{k}" for k, c in enumerate(docs.columns)}
+    hidden = docs.withColumnsRenamed(aside)
+    one = hidden.withColumn("_rh", F.xxhash64(*aside.values())).dropDuplicates([aside["doc_id"], "_rh"])
+    joined = pieces.join(one, F.col(aside["doc_id"]).eqNullSafe(F.col("_d")) & (F.col("_rh") == F.col("_h")))
     parts = joined.filter(F.col("piece.upto") - F.col("piece.start") < F.col("size"))
     full = joined.filter(F.col("piece.upto") - F.col("piece.start") == F.col("size"))
-    sliced = parts.withColumn("text", word_range("text", F.col("piece.start"), F.col("piece.upto")))
-    return full.select(*docs.columns).unionByName(sliced.select(*docs.columns))
+    sliced = parts.withColumn(aside["text"], word_range(aside["text"], F.col("piece.start"), F.col("piece.upto")))
+    back = [F.col(aside[c]).alias(c) for c in docs.columns]
+    return full.select(*back).unionByName(sliced.select(*back))

@@ -7,6 +7,7 @@ from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from gearyard.llm import mixing, quality_rules, sharding
 from tests.llm.corpus import docs, empty, texts
@@ -138,7 +139,7 @@ def test_repeat_count_is_exact_on_a_long_text(spark):
     w = [f"w{rng.randrange(50_000)}" for _ in range(200_000)]
     w[150_000:150_030] = w[1_000:1_030]
     text = " ".join(w)
-    row = quality_rules.apply_rules(docs(spark, [text])).filter("doc_id = 0").first()
+    row = quality_rules.apply_rules(docs(spark, [text, "x"])).filter("doc_id = 0").first()
     assert row.n_repeat_words == _base(text)[4]
 
 
@@ -149,3 +150,11 @@ def test_a_plain_filter_on_the_verdict_ends(spark):
     kept = quality_rules.apply_rules(docs(spark)).filter("kept").select("doc_id").collect()
     assert time.time() - started < 120
     assert {r.doc_id for r in kept} == {r.doc_id for r in quality_rules.apply_rules(docs(spark)).collect() if r.kept}
+
+
+def test_the_mix_keeps_clashing_columns(spark):
+    source = docs(spark).withColumn("size", F.lit(7)).withColumn("piece", F.lit("p"))
+    mix = mixing.mixed(source)
+    assert mix.schema == source.schema
+    rows = mix.collect()
+    assert rows and all(r.row_hash == 3 and r.size == 7 and r.piece == "p" for r in rows if r.doc_id is not None)
