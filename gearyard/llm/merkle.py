@@ -12,12 +12,15 @@ How it runs on Spark:
   task numbers its rows, and per (task, group) counts, a table bounded by the
   number of tasks plus groups, give each run its offset. A group that holds a
   third of all rows is spread over many tasks.
-* A level is one window over (group, parent): fixed-offset ``lag`` and
-  ``lead`` columns give each node its siblings, and the first child of each
-  parent hashes the parent. Window partitions hold at most ``FANOUT`` rows.
-* Proofs are carried down from the root: a node's path is its own siblings
+* A level is one window over (group, parent): on the first child of each
+  parent, fixed-offset ``lead`` columns, cut off where the run ends, give the
+  digests of all children; the parent keeps them as one string and is their
+  digest. A node's siblings are the parts of that string before and after its
+  slot. Window partitions hold at most ``FANOUT`` rows.
+* Proofs are carried down from the root: a parent's path is its own siblings
   followed by its parent's path. Each parent meets at most ``FANOUT`` children,
-  so no join key is hot.
+  so no join key is hot. The paths stop at the parents of leaves, where each
+  row gives the results of its children: no leaf carries a path.
 * Every level is written to the shared folder, so a lost executor costs only
   its tasks, and plans are made on measured sizes.
 
@@ -90,118 +93,171 @@ def _ranked(rows: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-def _levels(nodes: DataFrame, label: str) -> tuple[list[DataFrame], DataFrame]:
-    """Folds nodes (``_g``, ``_idx``, ``_h``, ``_size``) to one per group.
+def _levels(nodes: DataFrame, label: str, tampered: bool = False) -> tuple[list[DataFrame], DataFrame]:
+    """Folds nodes (``_g``, ``_idx``, ``_h``, ``_size``, and ``_t`` if ``tampered``)
+    to one per group.
 
-    Returns the levels, each a table of (``_g``, ``_idx``, ``_parent``, ``_left``,
-    ``_right``) for the nodes that had siblings to join, and the tops: one row
-    (``_g``, ``_h``, ``_depth``) per group.
+    Returns, level by level, the parents: (``_g``, ``_idx``, ``_children``: the
+    concatenated digests of its children, ``_size``: nodes of its group at its
+    level, and ``_tchildren`` from ``_t`` at the first level if ``tampered``); and
+    the tops: (``_g``, ``_h``, ``_depth``), one per group.
     """
-    spark = nodes.sparkSession
     largest = nodes.agg(F.max("_size")).first()[0] or 1
     depth, size = 0, largest
     while size > 1:
         size, depth = -(-size // FANOUT), depth + 1
     run = Window.partitionBy("_g", "_parent").orderBy("_idx")
-    levels, tops = [], []
+
+    def joined(column: str) -> Column:
+        return F.concat(F.col(column), F.concat_ws("", *(F.lead(column, j).over(run) for j in range(1, FANOUT))))
+
+    parents, tops = [], []
     for k in range(depth + 1):
         tops.append(nodes.filter("_size = 1").select("_g", "_h", F.lit(k).alias("_depth")))
         if k == depth:
             break
         active = nodes.filter("_size > 1").withColumn("_parent", F.floor(F.col("_idx") / FANOUT))
-        left = F.concat_ws("", *(F.lag("_h", j).over(run) for j in range(FANOUT - 1, 0, -1)))
-        right = F.concat_ws("", *(F.lead("_h", j).over(run) for j in range(1, FANOUT)))
+        extra = [joined("_t").alias("_tchildren")] if tampered and k == 0 else []
+        level = active.select(
+            "_g", "_idx", "_parent", joined("_h").alias("_children"), F.ceil(F.col("_size") / FANOUT).alias("_up"), *extra
+        ).filter(F.col("_idx") % FANOUT == 0)
         level = stored(
-            active.select(
-                "_g", "_idx", "_parent", "_size", "_h", left.alias("_left"), right.alias("_right")
-            ),
+            level.select("_g", F.col("_parent").alias("_idx"), "_children", F.col("_up").alias("_size"), *[e for e in ("_tchildren",) if extra]),
             f"merkle-{label}-{k}",
         )
-        levels.append(level.select("_g", "_idx", "_parent", "_left", "_right"))
-        nodes = level.filter(F.col("_idx") % FANOUT == 0).select(
-            "_g",
-            F.col("_parent").alias("_idx"),
-            digest(F.col("_h"), F.col("_right")).alias("_h"),
-            F.ceil(F.col("_size") / FANOUT).alias("_size"),
-        )
+        parents.append(level)
+        nodes = level.select("_g", "_idx", digest(F.col("_children")).alias("_h"), "_size")
     top = tops[0]
     for more in tops[1:]:
         top = top.unionByName(more)
-    return levels, stored(top, f"merkle-{label}-tops")
+    return parents, stored(top, f"merkle-{label}-tops")
+
+
+def _sides(children: Column, slot: Column) -> Column:
+    """(left, right): the digests before and after the child at ``slot``."""
+    width = 64
+    return F.struct(
+        F.substring(children, F.lit(1), slot * width).alias("left"),
+        F.substring(children, (slot + 1) * width + 1, F.lit(1 << 30)).alias("right"),
+    )
+
 
+def _paths_down(parents: list[DataFrame], tops: DataFrame) -> DataFrame | None:
+    """The first level's parents with ``_path``: the (left, right) siblings of the
+    parent, level by level upwards, ending with its group top's ``_path``."""
+    above = None
+    for k in range(len(parents) - 1, -1, -1):
+        rows = parents[k]
+        ending = rows.filter("_size = 1").join(
+            tops.select(F.col("_g").alias("_tg"), "_path"), F.col("_g").eqNullSafe(F.col("_tg"))
+        ).drop("_tg")
+        if above is not None:
+            up = above.select(
+                F.col("_g").alias("_ag"), F.col("_idx").alias("_ai"),
+                F.col("_children").alias("_ac"), F.col("_path").alias("_ap"),
+            )
+            inner = rows.filter("_size > 1").join(
+                up, F.col("_g").eqNullSafe(F.col("_ag")) & (F.floor(F.col("_idx") / FANOUT) == F.col("_ai"))
+            )
+            step = F.array(_sides(F.col("_ac"), F.col("_idx") % FANOUT))
+            ending = ending.unionByName(
+                inner.withColumn("_path", F.concat(step, F.col("_ap"))).drop("_ag", "_ai", "_ac", "_ap")
+            )
+        above = stored(ending, f"merkle-path-{k}")
+    return above
 
-def _paths_down(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """(``_g``, ``_idx``, ``_path``) of the lowest nodes: each path lists, level by
-    level upwards, the (left, right) siblings, ending with the top's path."""
-    with_path = tops.filter(F.col("_depth") == len(levels)).select("_g", F.lit(0).cast("long").alias("_idx"), "_path")
-    for k in range(len(levels) - 1, -1, -1):
-        above = with_path.select(F.col("_g").alias("_ag"), F.col("_idx").alias("_ai"), F.col("_path").alias("_ap"))
-        level = levels[k].join(above, F.col("_g").eqNullSafe(F.col("_ag")) & (F.col("_parent") == F.col("_ai")))
-        step = F.array(F.struct(F.col("_left").alias("left"), F.col("_right").alias("right")))
-        own = level.select("_g", "_idx", F.concat(step, F.col("_ap")).alias("_path"))
-        ending = tops.filter(F.col("_depth") == k).select("_g", F.lit(0).cast("long").alias("_idx"), "_path")
-        with_path = stored(own.unionByName(ending), f"merkle-path-{k}")
-    return with_path
+
+def _top_paths(parents: list[DataFrame], tops: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes`` (level 0 of a tree, ``_g``, ``_idx``) with ``_path`` up to the
+    top of their group, whose own path ``tops`` gives."""
+    lone = nodes.join(tops.filter("_depth = 0").select(F.col("_g").alias("_tg"), "_path"), F.col("_g").eqNullSafe(F.col("_tg"))).drop("_tg")
+    first = _paths_down(parents, tops)
+    if first is None:
+        return lone
+    up = first.select(F.col("_g").alias("_ag"), F.col("_idx").alias("_ai"), F.col("_children").alias("_ac"), F.col("_path").alias("_ap"))
+    inner = nodes.join(up, F.col("_g").eqNullSafe(F.col("_ag")) & (F.floor(F.col("_idx") / FANOUT) == F.col("_ai")))
+    step = F.array(_sides(F.col("_ac"), F.col("_idx") % FANOUT))
+    return lone.unionByName(inner.withColumn("_path", F.concat(step, F.col("_ap"))).drop("_ag", "_ai", "_ac", "_ap"))
+
+
+def _proof(path: Column, left: Column, right: Column) -> Column:
+    return F.sha2(F.concat(left, right, F.aggregate(path, F.lit(""), lambda acc, x: F.concat(acc, x["left"], x["right"]))), 256)
+
+
+def _fold(path: Column, start: Column) -> Column:
+    return F.aggregate(path, start, lambda acc, x: digest(x["left"], acc, x["right"]))
 
 
 def manifest(docs: DataFrame, tamper: Column | None = None) -> DataFrame:
     """One row per input row: ``doc_id``, ``source``, ``leaf``, ``subroot``,
     ``root``, ``proof_sha256`` (digest of all siblings, level by level up to the
-    root, left to right) and, if ``tamper`` (a boolean over the input) is given,
-    ``folded_root``: the root folded up from the leaf of the row with its text's
-    A-Z lower-cased where ``tamper`` holds, and ``verified`` (it equals ``root``).
+    root, left to right), ``folded_root``: the root folded up from the leaf of
+    the row, with its text's A-Z lower-cased where ``tamper`` (a boolean over the
+    input) holds, and the original siblings; ``verified``: it equals ``root``.
 
-    Reads the columns named in ``FIELDS``; other columns are left out.
+    Reads the columns named in ``FIELDS``; other columns are left out. Proofs
+    are made where the parents of leaves are: each of those rows gives the
+    results of its children, so no leaf carries the path of its ancestors.
     """
     tamper = F.lit(False) if tamper is None else tamper
-    text = F.col("text")
     rows = docs.select(
         F.col("doc_id").alias("_doc"),
         F.col("source").alias("_g"),
         leaf(*(F.col(c) for c in FIELDS)).alias("_h"),
-        F.when(F.coalesce(tamper, F.lit(False)), leaf(*(F.col(c) for c in FIELDS[:4]), lower_ascii(text)))
+        F.when(F.coalesce(tamper, F.lit(False)), leaf(*(F.col(c) for c in FIELDS[:4]), lower_ascii(F.col("text"))))
         .otherwise(leaf(*(F.col(c) for c in FIELDS)))
         .alias("_t"),
     )
     leaves = _ranked(rows, [F.col("_doc").asc_nulls_first(), F.col("_h")])
-    levels, subroots = _levels(leaves.select("_g", "_idx", "_h", "_size"), "source")
+    parents, subroots = _levels(leaves.select("_g", "_idx", "_h", "_size", "_t"), "source", tampered=True)
 
     upper = _ranked(
         subroots.select(F.col("_g").alias("_source"), "_h", "_depth").withColumn("_g", F.lit(0)),
         [F.col("_source").asc_nulls_first()],
     )
-    upper_levels, top = _levels(upper.select("_g", "_idx", "_h", "_size"), "root")
+    upper_parents, top = _levels(upper.select("_g", "_idx", "_h", "_size"), "root")
     root = top.select("_h").first()
     if root is None:
         empty = "doc_id {0}, source string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
         return docs.sparkSession.createDataFrame([], empty.format(docs.schema["doc_id"].dataType.simpleString()))
-    root = root[0]
+    root = F.lit(root[0])
 
     no_path = F.array().cast("array<struct<left:string,right:string>>")
-    upper_paths = _paths_down(upper_levels, top.withColumn("_path", no_path))
-    source_tops = upper.join(
-        upper_paths.select(F.col("_idx").alias("_pi"), "_path"), F.col("_idx") == F.col("_pi")
-    ).select(F.col("_source").alias("_g"), F.col("_h").alias("_subroot"), "_depth", "_path")
-    source_tops = stored(source_tops, "merkle-subroots")
-    paths = _paths_down(levels, source_tops)
-
-    told = leaves.join(
-        paths.select(F.col("_g").alias("_pg"), F.col("_idx").alias("_pi"), "_path"),
-        F.col("_g").eqNullSafe(F.col("_pg")) & (F.col("_idx") == F.col("_pi")),
-    ).join(
+    upper_paths = _top_paths(upper_parents, top.withColumn("_path", no_path), upper.select("_g", "_idx", "_source", "_h", "_depth"))
+    source_tops = stored(
+        upper_paths.select(F.col("_source").alias("_g"), F.col("_h").alias("_subroot"), "_depth", "_path"),
+        "merkle-subroots",
+    )
+
+    # Leaves that are their group's subroot, then the children of every first-level parent.
+    results = leaves.filter("_size = 1").join(
+        source_tops.select(F.col("_g").alias("_sg"), "_path"), F.col("_g").eqNullSafe(F.col("_sg"))
+    ).select("_g", "_idx", _proof(F.col("_path"), F.lit(""), F.lit("")).alias("proof_sha256"), _fold(F.col("_path"), F.col("_t")).alias("folded_root"))
+    first = _paths_down(parents, source_tops)
+    if first is not None:
+        slots = F.sequence(F.lit(0), (F.length("_children") / 64).cast("int") - 1)
+        each = first.select("_g", "_idx", "_children", "_tchildren", "_path", F.explode(slots).alias("_slot"))
+        sides = _sides(F.col("_children"), F.col("_slot"))
+        own_t = F.substring(F.col("_tchildren"), F.col("_slot") * 64 + 1, F.lit(64))
+        results = results.unionByName(each.select(
+            "_g",
+            (F.col("_idx") * FANOUT + F.col("_slot")).alias("_idx"),
+            _proof(F.col("_path"), sides["left"], sides["right"]).alias("proof_sha256"),
+            _fold(F.col("_path"), digest(sides["left"], own_t, sides["right"])).alias("folded_root"),
+        ))
+    results = results.select(F.col("_g").alias("_rg"), F.col("_idx").alias("_ri"), "proof_sha256", "folded_root")
+    told = leaves.join(results, F.col("_g").eqNullSafe(F.col("_rg")) & (F.col("_idx") == F.col("_ri"))).join(
         source_tops.select(F.col("_g").alias("_sg"), "_subroot"), F.col("_g").eqNullSafe(F.col("_sg"))
     )
-    siblings = F.aggregate("_path", F.lit(""), lambda acc, x: F.concat(acc, x["left"], x["right"]))
-    folded = F.aggregate("_path", F.col("_t"), lambda acc, x: digest(x["left"], acc, x["right"]))
     return told.select(
         F.col("_doc").alias("doc_id"),
         F.col("_g").alias("source"),
         F.col("_h").alias("leaf"),
         F.col("_subroot").alias("subroot"),
-        F.lit(root).alias("root"),
-        F.sha2(siblings, 256).alias("proof_sha256"),
-        folded.alias("folded_root"),
-        (folded == F.lit(root)).alias("verified"),
+        root.alias("root"),
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
     )
 
 
