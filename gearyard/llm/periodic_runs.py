@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-MIN_LENGTH = 12
+MIN_LENGTH = 12  # at least 6: the search asks for three equal places in a row
 MODULI = (1_000_000_007, 998_244_353)
 BASES = (911_382_323, 972_663_749)
 # Periods looked at together: bounds the arrays of one step of the search.
@@ -62,11 +62,12 @@ def tamper(words: list[str], doc_id) -> list[str]:
     return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
 
 
-def repair(seq: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Re-Pair in rounds. Returns the top sequence and, for symbols from
-    ``first`` on, their left and right parts."""
+def repair(seq: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Re-Pair in rounds. Returns the top sequence, for symbols from ``first``
+    on their left and right parts, and the length of every symbol's expansion."""
     lefts: list[np.ndarray] = []
     rights: list[np.ndarray] = []
+    size = np.ones(first, dtype=np.int64)
     nxt = first
     while len(seq) >= 2:
         codes = seq[:-1] * (1 << 31) + seq[1:]
@@ -90,6 +91,7 @@ def repair(seq: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         new_id[taken] = np.arange(nxt, nxt + len(taken))
         lefts.append(uniq[taken] >> 31)
         rights.append(uniq[taken] & ((1 << 31) - 1))
+        size = np.concatenate((size, size[lefts[-1]] + size[rights[-1]]))
         nxt += len(taken)
         mark = new_id[inv] >= 0
         # Runs of marked places only come from pairs of equal symbols: take every other.
@@ -104,8 +106,8 @@ def repair(seq: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         keep[at + 1] = False
         seq = out[keep]
     if lefts:
-        return seq, np.concatenate(lefts), np.concatenate(rights)
-    return seq, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return seq, np.concatenate(lefts), np.concatenate(rights), size
+    return seq, np.zeros(0, np.int64), np.zeros(0, np.int64), size
 
 
 class _Hashes:
@@ -114,8 +116,33 @@ class _Hashes:
     def __init__(self, ids: np.ndarray):
         self.n = len(ids)
         self.ids = ids
-        self.fwd = [self._prefix(ids, m, b) for m, b in zip(MODULI, BASES)]
-        self.bwd = [self._prefix(ids[::-1], m, b) for m, b in zip(MODULI, BASES)]
+        self._tables: tuple | None = None
+
+    def _made(self) -> tuple:
+        """The tables, made when first needed: most texts never need them."""
+        if self._tables is None:
+            ids = self.ids
+            self._tables = (
+                [self._prefix(ids, m, b) for m, b in zip(MODULI, BASES)],
+                [self._prefix(ids[::-1], m, b) for m, b in zip(MODULI, BASES)],
+            )
+        return self._tables
+
+    def same(self, j: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether words j and j + q are equal; False where either is outside."""
+        last = self.n - 1
+        inside = (j >= 0) & (j + q <= last)
+        a = np.minimum(np.maximum(j, 0), last)
+        b = np.minimum(j + q, last)
+        return inside & (self.ids[a] == self.ids[b])
+
+    def three(self, j: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether j lies in three consecutive places k with words k, k + q equal."""
+        ok = self.same(j, q)
+        j, q = j[ok], q[ok]
+        m2, m1, p1, p2 = (self.same(j + d, q) for d in (-2, -1, 1, 2))
+        ok[ok] = (p1 & p2) | (m1 & p1) | (m2 & m1)
+        return ok
 
     @staticmethod
     def _prefix(ids: np.ndarray, m: int, base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +169,10 @@ class _Hashes:
     def extend(self, i: np.ndarray, j: np.ndarray, most: np.ndarray, backward: bool = False) -> np.ndarray:
         """Largest k <= most with words i.. and j.. equal for k places (to the
         left of i and j if ``backward``)."""
-        tables = self.bwd if backward else self.fwd
+        if not len(i):
+            return np.zeros(0, np.int64)
+        fwd, bwd = self._made()
+        tables = bwd if backward else fwd
         if backward:
             i, j = self.n - i, self.n - j
         lo, hi = np.zeros(len(i), np.int64), most.astype(np.int64)
@@ -173,8 +203,9 @@ def _crossing(hashes: _Hashes, pos: np.ndarray, length: np.ndarray, cut: np.ndar
         p, ln, b = pos[w], length[w], cut[w]
         for side in (0, 1):
             if side == 0:
+                # the stretch holds at least max(q, MIN_LENGTH - q) >= 6 places: three in a row around the first
                 ok = q <= b
-                ok[ok] = hashes.ids[(p + b - q)[ok]] == hashes.ids[(p + b)[ok]]  # the first step
+                ok[ok] = hashes.three((p + b - q)[ok], q[ok])
                 ww, qq, pp, ll, bb = w[ok], q[ok], p[ok], ln[ok], b[ok]
                 right = hashes.extend(pp + bb - qq, pp + bb, ll - bb)
                 left = hashes.extend(pp + bb - qq, pp + bb, bb - qq, backward=True)
@@ -182,8 +213,9 @@ def _crossing(hashes: _Hashes, pos: np.ndarray, length: np.ndarray, cut: np.ndar
                 s, e = pp + bb - qq - left, pp + bb + right
             else:
                 ok = (q < ln - b) & (b >= 1)
-                at = (p + b)[ok]
-                ok[ok] = (hashes.ids[at] == hashes.ids[at + q[ok]]) & (hashes.ids[at - 1] == hashes.ids[at - 1 + q[ok]])
+                at = p + b
+                ok[ok] = hashes.same(at[ok] - 1, q[ok])
+                ok[ok] = hashes.three(at[ok], q[ok])
                 ww, qq, pp, ll, bb = w[ok], q[ok], p[ok], ln[ok], b[ok]
                 right = hashes.extend(pp + bb, pp + bb + qq, ll - bb - qq)
                 left = hashes.extend(pp + bb, pp + bb + qq, bb, backward=True)
@@ -207,13 +239,10 @@ def find_runs(words: list[str]) -> list[tuple[int, int, int]]:
     n = len(words)
     if n < MIN_LENGTH:
         return []
-    vocab, ids = np.unique(np.array(words, dtype=object), return_inverse=True)
-    ids = ids.astype(np.int64)
+    vocab = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    ids = np.fromiter(map(vocab.__getitem__, words), dtype=np.int64, count=n)
     v = len(vocab)
-    top, lefts, rights = repair(ids, v)
-    size = np.ones(v + len(lefts), dtype=np.int64)
-    for k in range(len(lefts)):  # parts always come before the symbol they make
-        size[v + k] = size[lefts[k]] + size[rights[k]]
+    top, lefts, rights, size = repair(ids, v)
 
     # Places of every nonterminal in the derivation.
     sym, at = top, np.concatenate(([0], np.cumsum(size[top])[:-1]))
