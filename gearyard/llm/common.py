@@ -59,3 +59,36 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo the divisor; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def bottom_k(rows: DataFrame, group: str, order: str, k: int, spare: float = 4.0) -> DataFrame:
+    """The rows whose ``order`` (a 64-bit hash, distinct within ``group``) is
+    among the ``k`` smallest of their group: exact, without a window over a
+    whole group.
+
+    Each group is counted; a cut at ``spare * k / n`` of the hash range leaves
+    some ``spare * k`` of its n rows, which a window then ranks. A group left
+    with fewer than ``min(k, n)`` is cut again with four times the range. A
+    NULL group is a group of its own.
+    """
+    from pyspark.sql import Window
+
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    place = (F.col(order).cast("double") + 9.223372036854775808e18) / 1.8446744073709551616e19
+    kept, wanted = None, counts
+    while True:
+        cut = wanted.select(F.col(group).alias("_g"), "_n", F.least(F.lit(1.0), spare * k / F.col("_n")).alias("_cut"))
+        near = rows.join(cut, rows[group].eqNullSafe(F.col("_g"))).filter(place <= F.col("_cut"))
+        ranked = near.withColumn("_rank", F.row_number().over(Window.partitionBy("_g").orderBy(order)))
+        part = ranked.filter(F.col("_rank") <= k)
+        got = part.groupBy("_g").agg(F.count(F.lit(1)).alias("_got"), F.first("_n").alias("_n"), F.first("_cut").alias("_cut"))
+        short = got.filter(F.col("_got") < F.least(F.lit(k), F.col("_n")))
+        missing = cut.join(got.select(F.col("_g").alias("_h")), F.col("_g").eqNullSafe(F.col("_h")), "left_anti")
+        again = short.select("_g", "_n", "_cut").unionByName(missing.select("_g", "_n", "_cut")).filter(F.col("_cut") < 1.0)
+        done = part.join(again.select(F.col("_g").alias("_a")), F.col("_g").eqNullSafe(F.col("_a")), "left_anti")
+        done = done.drop("_g", "_n", "_cut", "_rank")
+        kept = done if kept is None else kept.unionByName(done)
+        if again.isEmpty():
+            return kept
+        wanted = again.select(F.col("_g").alias(group), "_n")
+        spare *= 4

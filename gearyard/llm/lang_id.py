@@ -17,17 +17,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gearyard.llm.common import bottom_k
 from gearyard.llm.hashing import blocks, utf8
 
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 # The sample: at most so many texts of each language, by the hash of their words.
 SAMPLE_PER_LANG = 600
-# Languages told apart at most: the sample, and so the driver's share, is bounded.
-MAX_LANGS = 200
 DIMENSIONS, EPOCHS, RATE = 16, 12, 0.5
 CALIBRATION_SHARE = 0.2
 REJECTED_RIGHT = 0.005
@@ -117,17 +116,15 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 0) -> Mod
 def train(docs: DataFrame, learn: Column, per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Fit on at most ``per_lang`` texts with a letter of each language.
 
-    The ``MAX_LANGS`` most frequent languages are learnt. The sample is drawn
+    Every language is learnt. The sample is drawn
     by text hash, so reruns agree; only bucket counts come to the driver.
     """
     told = docs.select("text", "lang", F.coalesce(learn, F.lit(False)).alias("learn")).filter(
         "learn and lang is not null"
     ).filter(F.col("text").rlike(r"\p{L}")).withColumn("order", F.xxhash64("text"))
-    top = told.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
-    # which texts: ranked by their hashes alone, cut in every task before the shuffle
-    in_lang = Window.partitionBy("lang").orderBy("order")
-    chosen = told.select("lang", "order").distinct().withColumn("_rank", F.row_number().over(in_lang)).filter(F.col("_rank") <= per_lang)
-    last = F.broadcast(chosen.join(F.broadcast(top), "lang").groupBy("lang").agg(F.max("order").alias("_last")))
+    # which texts: the smallest hashes of each language, without a window over a whole language
+    chosen = bottom_k(told.select("lang", "order").distinct(), "lang", "order", per_lang)
+    last = chosen.groupBy("lang").agg(F.max("order").alias("_last"))
     sampled = told.join(last, "lang").filter(F.col("order") <= F.col("_last")).dropDuplicates(["lang", "order"])
     rows = sampled.select("lang", "order", "text").mapInArrow(
         _histograms, "lang string, order bigint, buckets array<int>, counts array<bigint>"
