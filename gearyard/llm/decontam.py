@@ -68,9 +68,39 @@ def sketches(listed: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     )
 
 
+def _short_items(docs: DataFrame, items: DataFrame, width: int) -> DataFrame | None:
+    """(_k1, _k2, item_id, n_shared, n_shingles) for items of 1 to ``width - 1``
+    words: such an item is one shingle, its words, and a text holds it if they
+    stand in it in a row. Texts probe with windows of the lengths such items have."""
+    w = words(F.lower("text"))
+    told = items.select("item_id", F.size(w).alias("_n"), F.array_join(w, " ").alias("_key")).filter(
+        (F.col("_n") >= 1) & (F.col("_n") < width)
+    )
+    short = stored(told.groupBy("_key", "_n").agg(F.min("item_id").alias("item_id")), "short-items")
+    lengths = sorted(r._n for r in short.select("_n").distinct().collect())  # at most width - 1 values
+    if not lengths:
+        return None
+    found = None
+    rows = docs.select(*text_key(F.col("text")), words(F.lower("text")).alias("_w"))
+    for k in lengths:
+        places = F.when(F.size("_w") >= k, F.sequence(F.lit(1), F.size("_w") - k + 1)).otherwise(F.array().cast("array<int>"))
+        grams = F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice("_w", i, k), " ")))
+        hits = rows.select("_k1", "_k2", F.explode(grams).alias("_key")).join(
+            _bounded(short.filter(F.col("_n") == k).select("_key", "item_id")), "_key"
+        )
+        hits = hits.select("_k1", "_k2", "item_id")
+        found = hits if found is None else found.unionByName(hits)
+    return found.distinct().select(
+        "_k1", "_k2", "item_id", F.lit(1).cast("long").alias("n_shared"), F.lit(1).alias("n_shingles")
+    )
+
+
 def contaminated_texts(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT,
                        width: int = WIDTH) -> DataFrame:
-    """(_k1, _k2, item_id, n_shared, n_shingles): which texts hold which items, each text once."""
+    """(_k1, _k2, item_id, n_shared, n_shingles): which texts hold which items, each text once.
+
+    Items of fewer words than a shingle are one shingle each: their words, in a row.
+    """
     listed = stored(item_shingles(items, width), "items")
     probes = _bounded(stored(sketches(listed, containment), "sketches"))
     rows = docs.select(*text_key(F.col("text")), shingles(F.col("text"), width).alias("_s"))
@@ -88,18 +118,21 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, containment: float = C
         "_k1", "_k2", "_item", "item_id", "n_shingles", "hash"
     ).distinct()
     counted = shared.groupBy("_k1", "_k2", "_item", "item_id", "n_shingles").agg(F.count(F.lit(1)).alias("n_shared"))
-    return counted.filter(F.col("n_shared") >= F.col("n_shingles") * containment - 1e-9).join(
+    long = counted.filter(F.col("n_shared") >= F.col("n_shingles") * containment - 1e-9).join(
         candidates, ["_k1", "_k2", "_item"], "left_semi"
     ).drop("_item")
+    short = _short_items(docs, items, width)
+    return long if short is None else long.unionByName(short.withColumn("n_shingles", F.col("n_shingles").cast(long.schema["n_shingles"].dataType)))
 
 
 def find_items(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, width: int = WIDTH) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment) for every document that holds an item.
 
     Containment is the share of an item's distinct shingles found in the text.
-    NULL and empty texts hold nothing; items of fewer words than a shingle are
-    never reported. Each of several equal rows gets its result; equal items are
-    one. Other columns of either table are not looked at.
+    NULL and empty texts hold nothing; an item of fewer words than a shingle
+    is one shingle, found where its words stand in a row; an item without a
+    word is never found. Each of several equal rows gets its result; equal
+    items are one. Other columns of either table are not looked at.
     """
     found = stored(contaminated_texts(docs.select("text"), items.select("item_id", "text"), containment, width), "leaks")
     return docs.select("doc_id", *text_key(F.col("text"))).join(found, ["_k1", "_k2"]).select(

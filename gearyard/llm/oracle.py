@@ -63,11 +63,17 @@ with items as (
   group by w
 ), shingles as (
   select item_id, s, count(*) over (partition by item_id) as n_shingles
-  from (select distinct item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4])) as s from items)
+  from (select distinct item_id, unnest(case when len(w) between 1 and 4 then [w]
+                                            else list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4]) end) as s from items)
 ), docs as (
   select doc_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
 ), held as (
-  select distinct doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4])) as s from docs
+  select distinct doc_id, s from (
+    select doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4])) as s from docs
+    union all
+    select doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])) as s
+    from docs, (select distinct len(w) as k from items where len(w) between 1 and 4)
+  )
 )
 select doc_id, item_id, count(*) as n_shared, n_shingles, count(*) / n_shingles::double as containment
 from held join shingles using (s)

@@ -27,18 +27,26 @@ def test_containment_equals_plain_python(spark):
     most = part[:37] + ["x", "y", "z"]
     items = spark.createDataFrame(
         [(1, " ".join(part)), (2, " ".join(half)), (3, None), (4, "too short"), (5, " ".join(part).upper()), (6, " ".join(most)),
-         (None, prose(101, 80)), (1, " ".join(part)), (9, "")], "item_id bigint, text string",
+         (None, prose(101, 80)), (1, " ".join(part)), (9, ""), (10, "rain River"), (11, "THE"), (12, " ".join(part[3:7]))],
+        "item_id bigint, text string",
     ).selectExpr("*", "'z' as shard", "1 as hash")
     source = docs(spark)
     got = {(r.doc_id, r.item_id): (r.n_shared, r.n_shingles) for r in decontam.find_items(source, items).collect()}
     want = {}
     for r in source.collect():
         mine = set(_shingles(r.text, True))
+        low = WORD.findall((r.text or "").lower())
         for item in items.collect():
+            short = WORD.findall((item.text or "").lower())
+            if 1 <= len(short) < 5:
+                if any(low[i:i + len(short)] == short for i in range(len(low) - len(short) + 1)):
+                    want[r.doc_id, item.item_id] = (1, 1)
+                continue
             s = set(_shingles(item.text, True))
             if s and len(s & mine) >= 0.8 * len(s) - 1e-9 and item.item_id != 5:  # 5 is 1 in capitals
                 want[r.doc_id, item.item_id] = (len(s & mine), len(s))
     assert got == want and len(want) >= 4
+    assert {i for _, i in want} >= {10, 11, 12}  # items of fewer than five words are found
     clean = decontam.drop_contaminated(source, items)
     assert clean.schema == source.schema
     dirty = {d for d, _ in want}
