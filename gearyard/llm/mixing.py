@@ -150,11 +150,16 @@ def take(docs: DataFrame, seed: int = 0, cycle: tuple[int, ...] = (1, 2, 3), rep
     # The stream of a shard: its documents in seeded order, cut every block_words words.
     cell = Window.partitionBy("source", "shard")
     stream = cell.orderBy(_draw("row_hash", seed=seed), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    # A shard is cut into equal blocks of about block_words words; its quota,
+    # counted in blocks of block_words, is turned into words and then into its own blocks.
     blocks = F.greatest(F.lit(1), F.ceil(F.col("shard_size") / F.col("block_words")))
+    own = F.round(F.col("quota") * F.col("block_words") * F.col("_blocks") / F.greatest(F.col("shard_size"), F.lit(1)))
     placed = cells.withColumns({"_end": F.sum("size").over(stream), "_blocks": blocks}).withColumns({
         "_start": F.col("_end") - F.col("size"),
-        "passes": F.floor(F.col("quota") / F.col("_blocks")),
-        "_extra": F.pmod(F.col("quota"), F.col("_blocks")),
+        "_take": F.least(own.cast("long"), F.col("_blocks") * repeats),
+    }).withColumns({
+        "passes": F.floor(F.col("_take") / F.col("_blocks")),
+        "_extra": F.pmod(F.col("_take"), F.col("_blocks")),
     })
     return placed.withColumn("_first", _draw("source", "shard", seed=seed)).withColumn(
         "spans", F.expr(_SPANS)
@@ -164,14 +169,17 @@ def take(docs: DataFrame, seed: int = 0, cycle: tuple[int, ...] = (1, 2, 3), rep
 
 
 # Word ranges of a document in the blocks taken once more: of its shard's
-# blocks, _extra ones from a drawn one on, cyclically.
+# _blocks equal blocks (block b from word floor(b * shard_size / _blocks) on),
+# _extra ones from a drawn one on, cyclically.
 _SPANS = """
 transform(
   filter(
-    if(size > 0, sequence(_start div block_words, (_end - 1) div block_words), cast(array() as array<bigint>)),
+    if(size > 0, sequence(((_start + 1) * _blocks - 1) div shard_size, (_end * _blocks - 1) div shard_size),
+       cast(array() as array<bigint>)),
     b -> pmod(b + _first, _blocks) < _extra
   ),
-  b -> struct(greatest(b * block_words, _start) - _start as start, least((b + 1) * block_words, _end) - _start as upto)
+  b -> struct(greatest((b * shard_size) div _blocks, _start) - _start as start,
+              least(((b + 1) * shard_size) div _blocks, _end) - _start as upto)
 )
 """
 

@@ -158,3 +158,19 @@ def test_the_mix_keeps_clashing_columns(spark):
     assert mix.schema == source.schema
     rows = mix.collect()
     assert rows and all(r.row_hash == 3 and r.size == 7 and r.piece == "p" for r in rows if r.doc_id is not None)
+
+
+def test_small_sources_reach_their_targets(spark):
+    rows = [(k, " ".join(f"b{k}x{i}" for i in range(1000)), "en", "big", 1) for k in range(300)]
+    rows += [(1000 + k, " ".join(f"s{k}x{i}" for i in range(245)), "en", f"small{k}", 1) for k in range(6)]
+    source = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = mixing.take(source).collect()
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.taken
+        assert 0 <= r.taken <= 3 * r.size
+    for k in range(6):
+        target = next(r.target for r in got if r.source == f"small{k}")
+        assert target == pytest.approx(735.0)
+        assert abs(taken[f"small{k}"] - target) <= 0.05 * target
+    assert sorted(map(str, got)) == sorted(map(str, mixing.take(source).collect()))
