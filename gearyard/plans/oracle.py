@@ -10,7 +10,6 @@ from gearyard.functions.text import ENERGY_FAMILIES, SYNONYMS
 from gearyard.sources.sample import AS_OF, OFFER_DAY
 
 # Fixed values, written out so that a wrong one in the library shows.
-VENDOR_NEEDS = 200
 TARGET_MARGIN, URGENCY_BONUS, OVERSTOCK_MALUS = 0.35, 0.08, 0.05
 
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
@@ -210,7 +209,6 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(gearbox_id AS VARCHAR) AS gearbox_code, count(*) AS n_sold
         FROM gearbox_dispatches WHERE validated_at >= {_back(3)} GROUP BY ALL"""),
     "needs50": (("dispatches", "items", "receipts", "available"), _needs(50)),
-    "needs200": (("dispatches", "items", "receipts", "available"), _needs(VENDOR_NEEDS)),
     "needs_all": (("dispatches", "items", "receipts", "available"), _needs(None)),
     "type_needs": (("dispatches", "items", "receipts", "available"), _needs(50, by_type=True)),
     "strict_type_needs": (
@@ -293,10 +291,10 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT search_id, norm, norm AS variant FROM norms
         UNION SELECT search_id, norm, replace(norm, word, term) FROM norms JOIN pairs ON contains(norm, word)
         UNION SELECT search_id, norm, replace(norm, term, word) FROM norms JOIN pairs ON contains(norm, term)"""),
-    "ranked_needs": (("needs200",), f"""
+    "ranked_needs": (("needs_all",), f"""
         SELECT *, row_number() OVER (ORDER BY urgency DESC, sold_3m DESC, code ASC NULLS LAST) AS need_rank,
                {_normalised("coalesce(code, '') || ' ' || brand || ' ' || energy || ' ' || type_name || ' ' || type_model || ' ' || type_year")} AS need_text
-        FROM needs200"""),
+        FROM needs_all"""),
     "plates": ((), """
         SELECT 'p-' || p_partkey AS plate, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_name END AS code,
                p_brand AS brand, p_name AS model, CAST(p_size + 1980 AS VARCHAR) AS year,
