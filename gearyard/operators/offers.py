@@ -15,19 +15,30 @@ from gearyard.sources.tables import Tables
 ALTERNATIVE_PREFIX = "Alternative pour "
 
 
-def resolve_vendors(registry: DataFrame, names: DataFrame) -> DataFrame:
-    """The registry (id, name) with an entry for every name, new ones numbered on.
+def resolve_vendors(registry: DataFrame, names: DataFrame, as_of=None) -> DataFrame:
+    """The registry (id, name, created_at) with an entry for every name, new
+    ones numbered on and created at ``as_of`` (NULL if not given).
 
-    Names are compared stripped and exactly; a blank name is an error.
+    Names are compared stripped and exactly; a blank name is an error. A
+    registry without ``created_at`` has NULL there.
     """
     name = strip(F.col("name"))
     checked = names.select(
         F.when(name != "", name).otherwise(F.raise_error(F.lit("vendor name is blank"))).alias("name")
     )
-    known = registry.select("id", "name")
+    kind = TABLES["vendors"]["created_at"]
+    made = F.col("created_at") if "created_at" in registry.columns else F.lit(None)
+    known = registry.select("id", "name", made.cast(kind).alias("created_at"))
     new = checked.distinct().join(known, "name", "left_anti")
     numbered = dense_numbers(new, F.col("name"), "id", start=known.agg(F.max("id")).scalar())
-    return known.unionByName(numbered)
+    when = F.lit(None) if as_of is None else F.lit(as_of)
+    return known.unionByName(numbered.select("id", "name", when.cast(kind).alias("created_at")))
+
+
+def store_vendors(registry: DataFrame, names: DataFrame, path: str, as_of=None) -> None:
+    """Append the vendors that ``names`` adds to a stored Parquet registry."""
+    resolved = resolve_vendors(registry, names, as_of)
+    resolved.join(registry.select("id"), "id", "left_anti").write.mode("append").parquet(path)
 
 
 def _typed(rows: DataFrame, table: str) -> DataFrame:

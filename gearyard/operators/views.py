@@ -196,12 +196,17 @@ def gearboxes_available(tables: Tables) -> DataFrame:
 
 
 def register_views(tables: Tables) -> dict[str, DataFrame]:
-    """Register base tables and derived views for SQL; returns the derived views."""
+    """Register base tables and derived views for SQL; returns the derived views.
+
+    ``items_available`` follows the default rule (the latest dispatch decides),
+    ``items_available_strict`` the strict one (any dispatch ends availability).
+    """
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
     views = {
         "items_enriched": items_enriched(tables),
         "items_available": availability_latest(tables),
+        "items_available_strict": availability_exists(tables),
         "gearboxes_available": gearboxes_available(tables),
     }
     for name, view in views.items():

@@ -493,8 +493,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'tbl_Plaques', count(*), CAST(6 AS INTEGER) FROM part""",
     "run_query": _with(("enriched",), """
         SELECT item_id, code, brand FROM enriched WHERE upper(code) = 'RED BOLT' AND type_year >= '2000'"""),
-    "register_views": _with(("available", "gearbox_view"), """
+    "register_views": _with(("available", "strictly_available", "gearbox_view"), """
         SELECT 'items' AS view_name, is_available, count(*) AS n FROM available GROUP BY is_available
+        UNION ALL SELECT 'items_strict', is_available, count(*) FROM strictly_available GROUP BY is_available
         UNION ALL SELECT 'gearboxes', is_available, count(*) FROM gearbox_view GROUP BY is_available"""),
     # derived views
     "items_enriched": _with(("enriched",), f"SELECT {_plain(f'{_ITEM_COLUMNS}, {_TYPE_COLUMNS}')} FROM enriched"),
@@ -628,10 +629,11 @@ ORACLE: dict[str, str] = {
         WHEN item_id % 3 = 1 THEN item_id || ',50' ELSE coalesce(upper(trim(code)), '') END AS result FROM items"""),
     "clean_text": _with(("items",), "SELECT item_id, coalesce(nullif(trim(code), ''), '—') AS result FROM items"),
     # ledger
-    "resolve_vendors": _with(("vendors",), """
-        SELECT id, name FROM vendors
+    "resolve_vendors": _with(("vendors",), f"""
+        SELECT id, name, created_at FROM vendors
         UNION ALL
-        SELECT (SELECT max(id) FROM vendors) + row_number() OVER (ORDER BY substr(md5(name), 1, 3), name), name
+        SELECT (SELECT max(id) FROM vendors) + row_number() OVER (ORDER BY substr(md5(name), 1, 3), name), name,
+               CAST('{AS_OF}' AS TIMESTAMP) AS created_at
         FROM (SELECT DISTINCT trim(s_name) AS name FROM supplier) WHERE name NOT IN (SELECT name FROM vendors)"""),
     "append_targeted_offers": _with(
         ("targeted_offers",), _appended("targeted_offers", _TARGETED_COLUMNS, _TARGETED_BATCH, "code")),

@@ -181,7 +181,7 @@ _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     ),
     "clean_text": lambda t: t["items"].select("item_id", tx.clean_text(F.col("code")).alias("result")),
     # ledger
-    "resolve_vendors": lambda t: offers.resolve_vendors(t["vendors"], t["vendor_names"]),
+    "resolve_vendors": lambda t: offers.resolve_vendors(t["vendors"], t["vendor_names"], AS_OF),
     "append_targeted_offers": lambda t: offers.append_targeted_offers(t["targeted_offers"], t["targeted_batch"]),
     "append_free_offers": lambda t: offers.append_free_offers(t["free_offers"], t["free_batch"]),
     "recent_targeted_offers": offers.recent_targeted_offers,
@@ -195,6 +195,8 @@ def _registered_views(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(tb.run_query(spark, """
         SELECT 'items' AS view_name, is_available, count(*) AS n FROM items_available GROUP BY is_available
         UNION ALL
+        SELECT 'items_strict', is_available, count(*) FROM items_available_strict GROUP BY is_available
+        UNION ALL
         SELECT 'gearboxes', is_available, count(*) FROM gearboxes_available GROUP BY is_available
     """))
 

@@ -103,3 +103,19 @@ def test_many_equal_offers_are_numbered(spark):
     rows = spark.range(25_000).selectExpr("1 as vendor_id", "'k' as code")
     got = dense_numbers(rows, F.col("code"), "id", start=F.lit(5))
     assert got.agg(F.min("id"), F.max("id"), F.countDistinct("id")).first()[:] == (6, 25_005, 25_000)
+
+
+def test_vendors_keep_their_time_and_can_be_stored(spark, tmp_path):
+    import datetime as dt
+
+    made = dt.datetime(2020, 5, 1, 8, 0)
+    known = spark.createDataFrame([(4, "Ada", made)], "id long, name string, created_at timestamp_ntz")
+    got = {r.name: (r.id, r.created_at) for r in offers.resolve_vendors(known, _names(spark, ["Ada", "Bo"]), "2024-01-15 09:30:00").collect()}
+    assert got == {"Ada": (4, made), "Bo": (5, dt.datetime(2024, 1, 15, 9, 30))}
+    untimed = offers.resolve_vendors(known.select("id", "name"), _names(spark, ["Bo"]))
+    assert {r.name: r.created_at for r in untimed.collect()} == {"Ada": None, "Bo": None}
+    path = str(tmp_path / "vendors")
+    known.write.parquet(path)
+    offers.store_vendors(spark.read.parquet(path), _names(spark, ["Bo", "Ada"]), path, "2024-01-15 09:30:00")
+    stored = sorted((r.id, r.name) for r in spark.read.parquet(path).collect())
+    assert stored == [(4, "Ada"), (5, "Bo")]
