@@ -426,7 +426,7 @@ _TARGETED_BATCH = f"""
            CASE WHEN event_id % 3 <> 0 THEN 'n' || event_id END AS note,
            CAST(NULL AS VARCHAR) AS registration, CAST(NULL AS VARCHAR) AS vin,
            CAST(NULL AS VARCHAR) AS photo_engine_path, CAST(NULL AS VARCHAR) AS photo_plate_path,
-           CAST(NULL AS VARCHAR) AS audio_path, ts AS created_at
+           CAST(NULL AS VARCHAR) AS audio_path, coalesce(ts, TIMESTAMP '{AS_OF}') AS created_at
     FROM events WHERE event_type = 'view'"""
 
 _FREE_BATCH = f"""
@@ -437,7 +437,7 @@ _FREE_BATCH = f"""
            CASE WHEN event_id % 3 <> 0 THEN 'n' || event_id END AS note,
            CAST(NULL AS VARCHAR) AS registration, CAST(NULL AS VARCHAR) AS vin,
            CAST(NULL AS VARCHAR) AS photo_engine_path, CAST(NULL AS VARCHAR) AS photo_plate_path,
-           CAST(NULL AS VARCHAR) AS audio_path, ts AS created_at
+           CAST(NULL AS VARCHAR) AS audio_path, coalesce(ts, TIMESTAMP '{AS_OF}') AS created_at
     FROM events WHERE event_type IN ('error', 'signup') AND event_id % 13 <> 0"""
 
 _TARGETED_COLUMNS = (

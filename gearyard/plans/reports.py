@@ -182,8 +182,9 @@ _TABLE_REPORTS: dict[str, Callable[[tb.Tables], DataFrame]] = {
     "clean_text": lambda t: t["items"].select("item_id", tx.clean_text(F.col("code")).alias("result")),
     # ledger
     "resolve_vendors": lambda t: offers.resolve_vendors(t["vendors"], t["vendor_names"], AS_OF),
-    "append_targeted_offers": lambda t: offers.append_targeted_offers(t["targeted_offers"], t["targeted_batch"]),
-    "append_free_offers": lambda t: offers.append_free_offers(t["free_offers"], t["free_batch"]),
+    # an offer submitted without a time is taken in at the report's time, as the source's column default does
+    "append_targeted_offers": lambda t: offers.append_targeted_offers(t["targeted_offers"], t["targeted_batch"], AS_OF),
+    "append_free_offers": lambda t: offers.append_free_offers(t["free_offers"], t["free_batch"], AS_OF),
     "recent_targeted_offers": offers.recent_targeted_offers,
     "recent_free_offers": offers.recent_free_offers,
     "vendor_day_stats": lambda t: offers.vendor_day_stats(t, OFFER_DAY),
