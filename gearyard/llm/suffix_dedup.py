@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gearyard.llm.common import stored
@@ -245,6 +245,39 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _packed(sizes: DataFrame, capacity: int) -> DataFrame:
+    """(a, bucket): anchors packed in order into buckets of about ``capacity``
+    contexts, by the running sum of their counts ``n``.
+
+    The anchors are sorted by ranges; each task sums its own, the tasks' totals
+    (a row for each) give the offsets. A bucket holds at most ``capacity`` plus
+    one anchor's contexts.
+    """
+    spark = sizes.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    local = sizes.repartitionByRange(parts, "a").sortWithinPartitions("a").withColumn("_part", F.spark_partition_id())
+    local = stored(local.mapInArrow(_running, "a bigint, n bigint, _part int, _before bigint"), "anchor-sums")
+    totals = local.groupBy("_part").agg(F.sum("n").alias("_total"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    offsets = totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+    return local.join(F.broadcast(offsets), "_part").select(
+        "a", F.floor((F.col("_offset") + F.col("_before")) / capacity).cast("bigint").alias("bucket")
+    )
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of the anchors before each one in its task (rows come sorted)."""
+    done = 0
+    for batch in batches:
+        n = batch.column("n").to_numpy()
+        before = done + np.cumsum(n) - n
+        done += int(n.sum())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("n"), batch.column("_part"), pa.array(before, pa.int64())],
+            names=["a", "n", "_part", "_before"],
+        )
+
+
 def repeated_parts(docs: DataFrame, length: int, anchor: int) -> tuple[DataFrame, DataFrame]:
     """Stored (tid, _k1, _k2, first, n): the distinct texts in document order with
     their first doc_id; and (tid, spans): the parts of them that also start earlier."""
@@ -273,10 +306,11 @@ def repeated_parts(docs: DataFrame, length: int, anchor: int) -> tuple[DataFrame
     varied = contexts.filter("varied").select(
         "a", F.col("head_tid").alias("tid"), F.col("head_low").alias("low"), F.col("head_high").alias("high")
     )
-    n_buckets = max(1, -(-varied.count() // ARRAY_CONTEXTS))
-    hot = stored(varied.groupBy("a").count().filter(F.col("count") > HOT_CONTEXTS).select("a", F.lit(True).alias("hot")), "hot")
-    wanted = varied.join(hot, "a", "left").select(
-        "tid", F.struct("low", "high", F.pmod(F.col("a"), F.lit(n_buckets)).alias("bucket"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("w")
+    sizes = stored(varied.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "anchor-sizes")
+    hot = sizes.filter(F.col("n") > HOT_CONTEXTS).select("a", F.lit(True).alias("hot"), F.lit(None).cast("bigint").alias("bucket"))
+    packed = _packed(sizes.filter(F.col("n") <= HOT_CONTEXTS), ARRAY_CONTEXTS)
+    wanted = varied.join(hot.unionByName(packed.select("a", F.lit(False).alias("hot"), "bucket")), "a").select(
+        "tid", F.struct("low", "high", "bucket", "hot").alias("w")
     ).groupBy("tid").agg(F.collect_list("w").alias("wanted"))
     pieces = stored(one.join(wanted, "tid").mapInArrow(
         lambda it: _context_bytes(it, length), "bucket bigint, tid bigint, start bigint, bytes binary"
