@@ -12,6 +12,9 @@ No vocabulary piece has the space mark after another character, so merges
 never cross the start of a run of space marks that follows a character. Texts
 are cut there into chunks, each chunk is merged alone and the ids of a chunk
 are kept in a bounded cache: words repeat, so most chunks are looked up.
+The agenda works on ids: every split of a piece into two symbols (pieces, or
+single characters of pieces) is a pair in a table, with the joined piece's id
+and score.
 
 On Spark, ``encode`` runs in Arrow batches (``mapInPandas``); each batch is
 also encoded by the sentencepiece library and ``agrees`` tells whether both
@@ -37,6 +40,7 @@ MARK = "▁"
 # Kinds of pieces in a model (sentencepiece's ModelProto): which can be merged.
 NORMAL, USER_DEFINED = 1, 4
 CACHE_ENTRIES = 1 << 18
+PAIR_KEY = 1 << 32  # symbol ids are below this: a pair is one integer
 
 
 class PieceModel:
@@ -62,6 +66,7 @@ class PieceModel:
         self.byte_fallback = proto.trainer_spec.byte_fallback
         self.unk_id = proto.trainer_spec.unk_id
         self.eos_id = proto.trainer_spec.eos_id
+        self.vocab_size = len(proto.pieces)
         self.score: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.byte_ids: dict[int, int] = {}
@@ -71,10 +76,26 @@ class PieceModel:
                 self.score[piece.piece] = piece.score
             elif piece.type == model_pb2.ModelProto.SentencePiece.BYTE:
                 self.byte_ids[int(piece.piece[3:5], 16)] = i
+        # Symbols are ids: pieces keep theirs, single characters of pieces that
+        # are no piece get more; every split of a piece into two symbols is a pair.
+        self.symbol = dict(self.ids)
+        for piece in self.ids:
+            for ch in piece:
+                self.symbol.setdefault(ch, len(proto.pieces) + len(self.symbol))
+        self.text_of = {i: p for p, i in self.symbol.items()}
+        self.pairs: dict[int, tuple[float, int]] = {}
+        for piece, i in self.ids.items():
+            for cut in range(1, len(piece)):
+                a, b = self.symbol.get(piece[:cut]), self.symbol.get(piece[cut:])
+                if a is not None and b is not None:
+                    self.pairs[a * PAIR_KEY + b] = (-self.score[piece], i)
         # Chunks may be merged alone only if no piece joins a character to a following mark.
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if not crossing else r"(?s).+")
+        # Two halves: when the newer is full it becomes the older, and what is
+        # looked up there moves back; chunks still in use stay, memory is bounded.
         self.cache: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
 
     def normalise(self, text: str) -> str:
@@ -84,59 +105,72 @@ class PieceModel:
             text = text.replace(" ", MARK)
         return MARK + text if self.dummy_prefix else text
 
-    def merge(self, chunk: str) -> list[str]:
-        """The pieces of a chunk by the agenda of adjacent pairs."""
-        syms = list(chunk)
+    def merge(self, chunk: str) -> list[int]:
+        """The symbols of a chunk by the agenda of adjacent pairs: the pair whose
+        joined piece scores highest first, the leftmost among equals."""
+        symbol, unknown = self.symbol, -1
+        syms = [symbol.get(ch, unknown) for ch in chunk]
         n = len(syms)
         if n < 2:
             return syms
         prev = list(range(-1, n - 1))
         nxt = [*range(1, n), -1]
-        score = self.score.get
+        pairs = self.pairs.get
         push, pop = heapq.heappush, heapq.heappop
         agenda = []
         for i in range(1, n):
-            s = score(syms[i - 1] + syms[i])
-            if s is not None:
-                agenda.append((-s, i - 1, i, 2))
+            hit = pairs(syms[i - 1] * PAIR_KEY + syms[i])
+            if hit is not None:
+                agenda.append((hit[0], i - 1, i, syms[i - 1], syms[i], hit[1]))
         heapq.heapify(agenda)
         while agenda:
-            _, left, right, size = pop(agenda)
-            a, b = syms[left], syms[right]
-            if not a or not b or nxt[left] != right or len(a) + len(b) != size:
+            _, left, right, a, b, joined = pop(agenda)
+            if syms[left] != a or syms[right] != b or nxt[left] != right:
                 continue  # one side has changed since the pair was pushed
-            joined = syms[left] = a + b
-            syms[right] = ""
+            syms[left], syms[right] = joined, None
             after = nxt[left] = nxt[right]
             if after >= 0:
                 prev[after] = left
-                s = score(joined + syms[after])
-                if s is not None:
-                    push(agenda, (-s, left, after, len(joined) + len(syms[after])))
+                hit = pairs(joined * PAIR_KEY + syms[after])
+                if hit is not None:
+                    push(agenda, (hit[0], left, after, joined, syms[after], hit[1]))
             before = prev[left]
             if before >= 0:
-                s = score(syms[before] + joined)
-                if s is not None:
-                    push(agenda, (-s, before, left, len(syms[before]) + len(joined)))
-        return [s for s in syms if s]
+                hit = pairs(syms[before] * PAIR_KEY + joined)
+                if hit is not None:
+                    push(agenda, (hit[0], before, left, syms[before], joined, hit[1]))
+        return [x for x in syms if x is not None]
 
     def chunk_ids(self, chunk: str) -> list[int]:
         ids = self.cache.get(chunk)
+        if ids is None and (ids := self.older.get(chunk)) is not None:
+            self.cache[chunk] = ids  # still in use: kept in the newer half
         if ids is None:
             ids = []
-            for piece in self.merge(chunk):
-                known = self.ids.get(piece)
-                if known is not None:
-                    ids.append(known)
-                elif self.byte_fallback:
+            vocab = self.vocab_size
+            merged = self.merge(chunk)
+            for k, x in enumerate(merged):
+                if 0 <= x < vocab:
+                    ids.append(x)
+                    continue
+                # a character that is no piece: only unmerged symbols are such
+                piece = self.text_of.get(x) if x >= 0 else None
+                piece = piece if piece is not None else self._unknown_char(chunk, merged, k)
+                if self.byte_fallback:
                     ids.extend(self.byte_ids[b] for b in piece.encode("utf-8"))
                 else:
                     ids.append(self.unk_id)
             if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
+                self.older, self.cache = self.cache, {}
             self.cache[chunk] = ids
         return ids
 
+    def _unknown_char(self, chunk: str, merged: list[int], k: int) -> str:
+        """The character of the k-th symbol when it is unknown: symbols before
+        it stand for so many characters."""
+        at = sum(len(self.text_of[x]) if x >= 0 else 1 for x in merged[:k])
+        return chunk[at]
+
     def encode(self, text: str | None, end: bool = True) -> list[int]:
         """Ids of a text (NULL as empty), with the end id last if ``end``."""
         ids = []
