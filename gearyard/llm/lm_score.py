@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,12 +102,31 @@ def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.Re
         yield from flush()
 
 
-def _summed(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    key, count = np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(counts), np.int64)
-    distinct, place = np.unique(key, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, place, count)
-    return distinct, total
+def _values(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
+    """The values of a binary column, end to end, as one array: read from the
+    Arrow buffers, without a Python object for each row."""
+    parts = []
+    for chunk in column.chunks:
+        if not len(chunk):
+            continue
+        width = 8 if pa.types.is_large_binary(chunk.type) else 4
+        offsets = np.frombuffer(
+            chunk.buffers()[1], np.int64 if width == 8 else np.int32, len(chunk) + 1, chunk.offset * width
+        )
+        start, end = int(offsets[0]), int(offsets[-1])
+        parts.append(np.frombuffer(chunk.buffers()[2], np.uint8, end - start, start).view(dtype))
+    return np.concatenate(parts) if parts else np.zeros(0, dtype)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with their summed counts: one sort, no inverse."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    del order
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[starts], np.add.reduceat(counts, starts)
 
 
 def bit_places(keys: np.ndarray, level: np.ndarray | int, n_bits: np.ndarray | int) -> Iterator[np.ndarray]:
@@ -119,10 +139,11 @@ def bit_places(keys: np.ndarray, level: np.ndarray | int, n_bits: np.ndarray | i
 
 def _segment(table: pa.Table) -> pa.Table:
     """One segment's filter, its exact word counts, and their totals."""
-    columns = {c: table.column(c).to_pylist() for c in ("segment", "pair", "keys", "counts")}
-    pick = lambda c, pair: [x for x, p in zip(columns[c], columns["pair"]) if p == pair]
-    words, word_counts = _summed(pick("keys", False), pick("counts", False))
-    pairs, pair_counts = _summed(pick("keys", True), pick("counts", True))
+    pair = table.column("pair")
+    words, word_counts = _summed(*(_values(table.filter(pc.invert(pair)).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.int64))))
+    pairs, pair_counts = _summed(*(_values(table.filter(pair).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.int64))))
+    segment = table.column("segment")[0].as_py()
+    del table, pair
     keys = np.concatenate([words, pairs])
     levels = np.searchsorted(level_bounds(), np.concatenate([word_counts, pair_counts]), side="right")
     n_bits = max(64, -(-int(levels.sum()) * BITS_PER_ITEM // 8) * 8)
@@ -132,7 +153,7 @@ def _segment(table: pa.Table) -> pa.Table:
         for place in bit_places(keys, level, n_bits):
             bits[place.astype(np.int64)] = True
     return pa.table({
-        "segment": pa.array(columns["segment"][:1], pa.int32()),
+        "segment": pa.array([segment], pa.int32()),
         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
         "words": pa.array([words.tobytes()], pa.binary()),
         "word_counts": pa.array([word_counts.tobytes()], pa.binary()),
