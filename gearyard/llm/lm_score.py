@@ -27,8 +27,8 @@ from gearyard.llm.common import stored
 from gearyard.llm.hashing import blocks, mixed, utf8, word_hashes
 
 SEGMENT_BYTES = 16 << 20  # text that one segment's n-grams stand for
-BROADCAST_BYTES = 256 << 20
-PART_BYTES = 24 << 20  # of which so much goes through the driver at a time
+BROADCAST_BYTES = 64 << 20  # of the model held by each Python worker in one pass
+PART_BYTES = 16 << 20  # of which so much goes through the driver at a time
 FLUSH_TOKENS = 1_500_000
 SCORE_BLOCK = 2 << 20
 BITS_PER_ITEM, PROBES = 8, 4
