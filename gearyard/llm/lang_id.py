@@ -126,11 +126,18 @@ def train(docs: DataFrame, learn: Column, per_lang: int = SAMPLE_PER_LANG) -> Mo
     chosen = bottom_k(told.select("lang", "order").distinct(), "lang", "order", per_lang)
     last = chosen.groupBy("lang").agg(F.max("order").alias("_last"))
     sampled = told.join(last, "lang").filter(F.col("order") <= F.col("_last")).dropDuplicates(["lang", "order"])
-    rows = sampled.select("lang", "order", "text").mapInArrow(
+    # collected as Arrow, each text's histogram a view of one array: no Python number for each bucket
+    table = sampled.select("lang", "order", "text").mapInArrow(
         _histograms, "lang string, order bigint, buckets array<int>, counts array<bigint>"
-    ).collect()
-    rows.sort(key=lambda r: (r.lang, r.order))
-    return fit([(r.lang, np.array(r.buckets), np.array(r.counts)) for r in rows])
+    ).toArrow().sort_by([("lang", "ascending"), ("order", "ascending")])
+    if not table.num_rows:
+        return fit([])
+    langs = table.column("lang").to_pylist()
+    found, counted = table.column("buckets").combine_chunks(), table.column("counts").combine_chunks()
+    at, where = found.offsets.to_numpy(), found.values.to_numpy().astype(np.int64)
+    ct, count = counted.offsets.to_numpy(), counted.values.to_numpy().astype(np.int64)
+    del table, found, counted
+    return fit([(lang, where[at[i]:at[i + 1]], count[ct[i]:ct[i + 1]]) for i, lang in enumerate(langs)])
 
 
 def _labelled(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
