@@ -4,8 +4,10 @@ A line within tau edits of another keeps at least one of the other's tau + 1
 segments whole, shifted by few places. Every distinct line is indexed by its
 segments; it probes with the substrings at the places that a segment of a line
 of each near length can have moved to, so that a pair meets in an equi-join.
-What meets is compared by letter counts in the join and by banded edit
-distance after it. Equal lines are one throughout.
+Only keys are dealt for all lines; where a key belongs to a single line, its
+rows end there. The lines left are compared by letter counts and banded edit
+distance in the join, so that no pair further apart becomes a row. Equal lines
+are one throughout.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ LEAST_LENGTH = 24
 BROADCAST_ROWS = 500_000
 
 # Letters counted one by one; an edit changes the counts by two in all at most.
-_LETTERS = ("eé", "aá", "oó", "t", "nñ", "h", "rl", "su")
+_LETTERS = (("eé", "aá", "oó", "t", "nñ", "h", "rl", "su"), ("ií", "dq", "wk", "yj", "gx", "cz", "bv", "mfp"))
 # A line with this is not blank.
 _WORDED = r"[^\x20\x09-\x0D]"
 
@@ -81,40 +83,52 @@ def _probes(edits: int) -> list[tuple[int, int, int]]:
     ]
 
 
+def _letter_counts(line: Column, classes: tuple[str, ...]) -> Column:
+    """How often the letters of each class come, modulo 256, in a byte each."""
+    counts = F.lit(0).cast("long")
+    for k, letters in enumerate(classes):
+        n = F.length(F.regexp_replace(F.lower(line), f"[^{letters}]+", "")).cast("long").bitwiseAND(255)
+        counts = counts.bitwiseOR(F.shiftleft(n, 8 * k))
+    return counts
+
+
 def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """(a, b): ids of lines at edit distance 1 to ``edits``, from (id, line, n, counts)."""
+    """(a, b): ids of lines at edit distance 1 to ``edits``, from (id, line, n)."""
     which = F.explode(F.array(*[F.struct(*[F.lit(x).alias(k) for k, x in zip(("i", "less", "shift"), p)]) for p in _probes(edits)]))
     i = F.explode(F.sequence(F.lit(0), F.lit(edits)))
     start, size = _segment(F.col("n"), F.col("i"), edits)
-    index = lines.select("id", "n", "counts", "line", i.alias("i")).select(
-        F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("counts_a"),
-        F.xxhash64("i", "n", F.substring(F.col("line"), start + 1, size)).alias("key"),
+    index = lines.select("id", "n", "line", i.alias("i")).select(
+        F.xxhash64("i", "n", F.substring(F.col("line"), start + 1, size)).alias("key"), "id"
     )
     other = F.col("n") - F.col("p.less")
     start, size = _segment(other, F.col("p.i"), edits)
     place = start + F.col("p.shift")
-    probe = lines.select("id", "n", "counts", "line", which.alias("p")).filter(
-        (place >= 0) & (place + size <= F.col("n"))
-    ).select(
-        F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b"),
-        F.xxhash64("p.i", other.cast("int"), F.substring(F.col("line"), place + 1, size)).alias("key"),
+    probe = lines.select("id", "n", "line", which.alias("p")).filter((place >= 0) & (place + size <= F.col("n"))).select(
+        F.xxhash64("p.i", other.cast("int"), F.substring(F.col("line"), place + 1, size)).alias("key"), "id"
     )
+    # what can meet another line than itself
+    holders = index.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    asked = stored(probe.join(holders, "key").filter((F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))).select("key", "id"), "asked")
+    keys = asked.select("key").distinct()
+    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    held = stored(index.join(F.broadcast(keys) if few else keys, "key", "left_semi"), "held")
+    wanted = stored(asked.select("id").union(held.select("id")).distinct(), "wanted")
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    text = stored(lines.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").select(
+        "id", "n", "line", *[_letter_counts(F.col("line"), classes).alias(f"counts{g}") for g, classes in enumerate(_LETTERS)]
+    ), "compared")
+    one, two = (side.join(text, "id").select("key", *[F.col(c).alias(f"{c}_{x}") for c in text.columns])
+                for side, x in ((held, "a"), (asked, "b")))
     # counts hold a letter in each byte, modulo 256: differences are taken byte by byte
     apart = sum(
         F.least(F.pmod(d, F.lit(256)), F.pmod(-d, F.lit(256)))
-        for k in range(len(_LETTERS))
-        for d in [F.shiftrightunsigned("counts_a", 8 * k).bitwiseAND(255) - F.shiftrightunsigned("counts_b", 8 * k).bitwiseAND(255)]
-    )
-    may = ((F.col("n_a") < F.col("n_b")) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) & (apart <= 2 * edits)
-    met = stored(index.join(probe, "key").filter(may).select("a", "b").distinct(), "met")
-    wanted = stored(met.select(F.col("a").alias("id")).union(met.select("b")).distinct(), "wanted")
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    text = lines.select("id", "line").join(F.broadcast(wanted) if few else wanted, "id")
-    told = met.join(text.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(
-        text.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b"
+        for g, classes in enumerate(_LETTERS) for k in range(len(classes))
+        for d in [F.shiftrightunsigned(f"counts{g}_a", 8 * k).bitwiseAND(255) - F.shiftrightunsigned(f"counts{g}_b", 8 * k).bitwiseAND(255)]
     )
+    may = ((F.col("n_a") < F.col("n_b")) | (F.col("id_a") < F.col("id_b"))) & (F.col("id_a") != F.col("id_b")) & (apart <= 2 * edits)
     # with a threshold the edit distance is computed in a band around the diagonal
-    return told.filter(F.levenshtein("line_a", "line_b", edits) >= 1).select("a", "b")
+    near = F.when(may, F.levenshtein("line_a", "line_b", edits) >= 1)
+    return one.join(two, "key").filter(near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def _decided(keyed: DataFrame, edits: int, least_length: int, blank: bool = False) -> DataFrame:
@@ -127,12 +141,8 @@ def _decided(keyed: DataFrame, edits: int, least_length: int, blank: bool = Fals
     # Unique for each line of a text: by doc_id, NULL last, then hash of the text, then line number.
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2", "line_no")
     heads = stored(rows.filter("line is not null").groupBy("h1", "h2").agg(F.min(at).alias("first")), "heads")
-    counts = F.lit(0).cast("long")
-    for k, letters in enumerate(_LETTERS):
-        n = F.length(F.regexp_replace(F.lower("line"), f"[^{letters}]+", "")).cast("long").bitwiseAND(255)
-        counts = counts.bitwiseOR(F.shiftleft(n, 8 * k))
     lines = stored(rows.filter(F.length("line") >= least_length).select("line", "h1", "h2").distinct().select(
-        "line", "h1", "h2", F.length("line").alias("n"), counts.alias("counts"), F.monotonically_increasing_id().alias("id")
+        "line", "h1", "h2", F.length("line").alias("n"), F.monotonically_increasing_id().alias("id")
     ), "lines")
     near = stored(near_pairs(lines, edits), "near")
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -234,3 +234,22 @@ def test_line_dedup_gives_texts_and_decisions(spark):
         assert sum(r.copies for r in mine) == counts[d].n_lines
         assert sum(r.copies - (r.decision != "equal") for r in mine) == counts[d].n_equal
         assert sum(r.decision == "near" for r in mine) == counts[d].n_near
+
+
+def test_line_dedup_stores_no_row_for_pairs_that_are_apart(spark, monkeypatch):
+    """Lines that differ in a word of the same letters: what is stored grows with the lines, not with their pairs."""
+    rng = random.Random(11)
+    words = sorted({"".join(rng.sample("thernosi", 8)) for _ in range(220)})
+    lines = [f"the river runs by the old mill and {w} over stones to the quiet sea" for w in words]
+    rows, stored = [], line_dedup.stored
+
+    def counted(df, name, *more):
+        kept = stored(df, name, *more)
+        rows.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    source = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    found = sum(r.n_links for r in line_dedup.dedup_lines(source).collect())
+    assert found == 2 * sum(_distance(a, b) <= 2 for i, a in enumerate(lines) for b in lines[:i])
+    assert max(rows) <= 12 * len(lines)
