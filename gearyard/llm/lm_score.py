@@ -9,7 +9,8 @@ interpolated: p(w|v) = (c(vw) + mu * p(w)) / (c(v) + mu), with p(w) add-one.
 The filter is built in segments by n-gram hash, as many as the corpus needs.
 Segments are broadcast in groups of at most ``BROADCAST_BYTES``. If all fit
 into one group, documents are scored in one pass; else levels are looked up
-group by group, with the levels found so far kept beside the documents.
+group by group, with the levels found so far kept beside the documents; each
+n-gram is looked up in one pass, the one of its hash.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ from pyspark.sql import functions as F
 from gearyard.llm.common import stored
 from gearyard.llm.hashing import blocks, mixed, utf8, word_hashes
 
-SEGMENT_BYTES = 16 << 20  # text that one segment's n-grams stand for
+SEGMENT_BYTES = 4 << 20  # text that one segment's n-grams stand for: its counts are held at once by one worker
 BROADCAST_BYTES = 64 << 20  # of the model held by each Python worker in one pass
 PART_BYTES = 16 << 20  # of which so much goes through the driver at a time
 FLUSH_TOKENS = 1_500_000
-SCORE_BLOCK = 2 << 20
-BITS_PER_ITEM, PROBES = 8, 4
+SCORE_BLOCK = 1 << 20
+KEYS_BLOCK = 1 << 18  # n-grams put into a filter at a time
+BITS_PER_ITEM, PROBES = 10, 4  # some 1.2 % false positives at each level
 LEVEL_BASE = 1.5
 MU = 300.0
 
@@ -82,7 +84,7 @@ def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.Re
     def flush() -> Iterator[pa.RecordBatch]:
         for pair in (False, True):
             keys, counts = np.unique(np.concatenate([h[pair] for h in held]), return_counts=True)
-            segment, counts = segment_of(keys, segments), counts.astype(np.int64)
+            segment, counts = segment_of(keys, segments), counts.astype(np.uint32)  # far fewer tokens than 2**32 are held
             cuts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
             rows = [(int(segment[a]), pair, keys[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
             for i in range(0, len(rows), 64):
@@ -121,12 +123,12 @@ def _values(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, with their summed counts: one sort, no inverse."""
     if not len(keys):
-        return keys, counts
+        return keys, counts.astype(np.int64)
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     del order
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[starts], np.add.reduceat(counts, starts)
+    return keys[starts], np.add.reduceat(counts, starts, dtype=np.int64)
 
 
 def bit_places(keys: np.ndarray, level: np.ndarray | int, n_bits: np.ndarray | int) -> Iterator[np.ndarray]:
@@ -140,24 +142,27 @@ def bit_places(keys: np.ndarray, level: np.ndarray | int, n_bits: np.ndarray | i
 def _segment(table: pa.Table) -> pa.Table:
     """One segment's filter, its exact word counts, and their totals."""
     pair = table.column("pair")
-    words, word_counts = _summed(*(_values(table.filter(pc.invert(pair)).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.int64))))
-    pairs, pair_counts = _summed(*(_values(table.filter(pair).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.int64))))
+    words, word_counts = _summed(*(_values(table.filter(pc.invert(pair)).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.uint32))))
+    pairs, pair_counts = _summed(*(_values(table.filter(pair).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.uint32))))
     segment = table.column("segment")[0].as_py()
     del table, pair
     keys = np.concatenate([words, pairs])
-    levels = np.searchsorted(level_bounds(), np.concatenate([word_counts, pair_counts]), side="right")
-    n_bits = max(64, -(-int(levels.sum()) * BITS_PER_ITEM // 8) * 8)
+    levels = np.concatenate([np.searchsorted(level_bounds(), c, side="right").astype(np.uint8) for c in (word_counts, pair_counts)])
+    n_tokens = int(word_counts.sum())
+    word_counts, words, n_words = word_counts.tobytes(), words.tobytes(), len(words)
+    del pairs, pair_counts
+    n_bits = max(64, -(-int(levels.sum(dtype=np.int64)) * BITS_PER_ITEM // 8) * 8)
     bits = np.zeros(n_bits, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         keys, levels = keys[levels >= level], levels[levels >= level]
-        for place in bit_places(keys, level, n_bits):
-            bits[place.astype(np.int64)] = True
+        for i in range(0, len(keys), KEYS_BLOCK):
+            for place in bit_places(keys[i:i + KEYS_BLOCK], level, n_bits):
+                bits[place.astype(np.int64)] = True
     return pa.table({
         "segment": pa.array([segment], pa.int32()),
         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-        "words": pa.array([words.tobytes()], pa.binary()),
-        "word_counts": pa.array([word_counts.tobytes()], pa.binary()),
-        "n_words": pa.array([len(words)], pa.int64()), "n_tokens": pa.array([int(word_counts.sum())], pa.int64()),
+        "words": pa.array([words], pa.binary()), "word_counts": pa.array([word_counts], pa.binary()),
+        "n_words": pa.array([n_words], pa.int64()), "n_tokens": pa.array([n_tokens], pa.int64()),
     })
 
 
@@ -215,6 +220,19 @@ def _exact(part: dict, keys: np.ndarray) -> np.ndarray:
     return np.where(part["words"][place] == keys, part["counts"][place], 0)
 
 
+def _mine(group: list[dict], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[dict, int, int]]]:
+    """The places of the n-grams that a group's segments can hold, their distinct keys, the key of
+    each place, and each part's range of the keys: a pass looks up no other group's n-grams."""
+    group = [part for part in group if len(part["ids"])]
+    if not group:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+    segment = segment_of(keys, group[0]["segments"])
+    at = np.flatnonzero((segment >= group[0]["ids"][0]) & (segment <= group[-1]["ids"][-1]))
+    distinct, place = np.unique(keys[at], return_inverse=True)  # ascending, as segments are
+    starts = np.searchsorted(segment_of(distinct, group[0]["segments"]), [part["ids"][0] for part in group])
+    return at, distinct, place, list(zip(group, starts, [*starts[1:], len(distinct)]))
+
+
 def _scorer(parts: list[Broadcast], last: bool, n_tokens: int, n_words: int, n_docs: int) -> Callable:
     """A pass over the documents with one group of the model's segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,14 +244,14 @@ def _scorer(parts: list[Broadcast], last: bool, n_tokens: int, n_words: int, n_d
             for a, b in blocks(texts, SCORE_BLOCK):
                 single, pair, bounds = tokens(texts[a:b])
                 owner, count[a:b] = np.repeat(np.arange(a, b), np.diff(bounds)), np.diff(bounds)
-                words, place = np.unique(single, return_inverse=True)
-                exact = sum(_exact(part, words) for part in group)[place]
-                known += np.bincount(owner, exact > 0, len(texts)).astype(np.int64)
-                base += np.bincount(owner, np.log10(exact + 1.0), len(texts))
-                pairs, pair_place = np.unique(pair, return_inverse=True)
-                levels = np.stack([
-                    sum(_levels(part, words) for part in group)[place], sum(_levels(part, pairs) for part in group)[pair_place]
-                ])
+                levels = np.zeros((2, len(single)), np.uint8)
+                for k, keys in enumerate((single, pair)):
+                    at, distinct, place, ranges = _mine(group, keys)
+                    levels[k, at] = np.concatenate([np.zeros(0, np.uint8), *[_levels(part, distinct[s:e]) for part, s, e in ranges]])[place]
+                    if k == 0:
+                        exact = np.concatenate([np.zeros(0, np.int64), *[_exact(part, distinct[s:e]) for part, s, e in ranges]])
+                        known += np.bincount(owner[at], (exact > 0)[place], len(texts)).astype(np.int64)
+                        base += np.bincount(owner[at], np.log10(exact + 1.0)[place], len(texts))
                 for i in range(a, b):
                     if before[i] is not None:
                         part = levels[:, bounds[i - a]:bounds[i - a + 1]]
@@ -302,7 +320,10 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
         else:
             schema = "doc_id bigint, learn boolean, text string, levels binary, n_known bigint, log_sum double"
         state = state.mapInArrow(_scorer(sent, last, n_tokens, n_words, n_docs), schema)
-        state = state if last else stored(state, "levels")
+        if not last:
+            state = stored(state, "levels", "zstd")
+            for part in sent:
+                part.unpersist()  # executors hold one group at a time
     return state.select(
         "doc_id", "learn", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )

@@ -5,10 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +110,43 @@ def test_language_model_base_and_score(spark, monkeypatch, group, part, segment)
     assert all(r.n_known == 0 for r in lm_score.score(source, F.lit(False)).collect())
 
 
+def test_language_model_builds_a_segment_in_little_memory():
+    """Counts of as much text as one segment stands for, in words of some four bytes, most of them different."""
+    rng = np.random.default_rng(5)
+    n = lm_score.SEGMENT_BYTES // 4
+    keys = [rng.integers(0, 1 << 63, n // 4, dtype=np.uint64) for _ in range(8)]
+    rows = list(lm_score._counted(iter([pa.RecordBatch.from_pydict({"text": ["a b a", None]})]), 1))
+    counts = rows[0].schema.field("counts").type
+    width = len(rows[0].column("counts")[0].as_py()) // (len(rows[0].column("keys")[0].as_py()) // 8)
+    table = pa.table({
+        "segment": pa.array([0] * 8, pa.int32()), "pair": [k % 2 == 1 for k in range(8)],
+        "keys": pa.array([np.sort(k).tobytes() for k in keys], pa.binary()),
+        "counts": pa.array([np.ones(len(k), f"u{width}").tobytes() for k in keys], counts),
+    })
+    tracemalloc.start()
+    try:
+        built = lm_score._segment(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert built.column("n_tokens")[0].as_py() == sum(len(k) for k in keys[::2])
+    assert peak < 120 << 20
+
+
+def test_language_model_filter_seldom_finds_what_is_not_there():
+    keys = np.random.default_rng(6).integers(0, 1 << 63, 400_000, dtype=np.uint64)
+    there, absent = np.sort(keys[:200_000]), keys[200_000:]
+    table = pa.table({
+        "segment": pa.array([0], pa.int32()), "pair": [True],
+        "keys": pa.array([there.tobytes()], pa.binary()),
+        "counts": pa.array([np.ones(len(there), np.uint32).tobytes()], pa.binary()),
+    })
+    rows = [SimpleNamespace(**r) for r in lm_score._segment(table).to_pylist()]
+    model = lm_score._packed(rows, 1)
+    assert (lm_score._levels(model, there) >= 1).all()
+    assert (lm_score._levels(model, absent) >= 1).mean() < 0.015
+
+
 def test_kneser_ney_is_a_distribution(spark):
     train = spark.createDataFrame([(prose(k, 50),) for k in range(30)] + [(None,), ("",)], "text string")
     model, unknown = kneser_ney.train(train)
