@@ -4,9 +4,11 @@ A text is normalised as the model asks (here: a space mark in front and every
 space written as the mark ``▁``), split into characters, and then the
 adjacent pair whose joined piece is in the vocabulary with the highest score
 is merged, again and again; among equal scores the leftmost pair goes first.
-The agenda is a heap of candidate pairs; a pair whose sides changed since it
-was pushed is skipped when it comes up. Characters left outside the
-vocabulary become their UTF-8 bytes as byte pieces.
+The agenda of a long chunk is a heap of candidate pairs; a pair whose sides
+changed since it was pushed is skipped when it comes up. Short chunks (words,
+mostly) are merged many at a time: their agendas are one array, and each round
+takes the first pair off every one. Characters left outside the vocabulary
+become their UTF-8 bytes as byte pieces.
 
 No vocabulary piece has the space mark after another character, so merges
 never cross the start of a run of space marks that follows a character. Texts
@@ -16,7 +18,7 @@ The agenda works on ids: every split of a piece into two symbols (pieces, or
 single characters of pieces) is a pair in a table, with the joined piece's id
 and score.
 
-On Spark, ``encode`` runs in Arrow batches (``mapInPandas``); each batch is
+On Spark, ``encode`` runs in Arrow batches (``mapInArrow``); each batch is
 also encoded by the sentencepiece library and ``agrees`` tells whether both
 gave the same ids. ``decoded`` is the library's decoding of the ids.
 
@@ -30,9 +32,11 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,48 @@ MARK = "▁"
 NORMAL, USER_DEFINED = 1, 4
 CACHE_ENTRIES = 1 << 18
 PAIR_KEY = 1 << 32  # symbol ids are below this: a pair is one integer
+SHORT = 32  # characters of chunks merged many at a time; a round reads all symbols of theirs
+TOGETHER = 1 << 16  # chunks looked up at a time
+NO_PAIR = np.iinfo(np.int32).max
+
+
+class _Places(dict):
+    """Chunks numbered as they come; ``new`` are those not yet told of."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        place = self[chunk] = len(self)
+        return place
+
+
+def _taken(ids: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some rows of ids that lie end to end, again end to end, and their sizes."""
+    sizes = starts[at + 1] - starts[at]
+    first = np.repeat(starts[at] - (np.cumsum(sizes) - sizes), sizes)
+    return ids[first + np.arange(len(first))], sizes
+
+
+class _Chunks:
+    """Ids of chunks, end to end in one array."""
+
+    def __init__(self):
+        self.place = _Places()
+        self.starts, self.ids = array("q", [0]), array("i")
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of the new chunks."""
+        self.starts.frombytes((len(self.ids) + np.cumsum(sizes)).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
+        self.place.new = []
+
+    def at(self, chunks: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+
+    def get(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _taken(np.frombuffer(self.ids, np.int32), np.frombuffer(self.starts, np.int64), at)
 
 
 class PieceModel:
@@ -89,13 +135,29 @@ class PieceModel:
                 a, b = self.symbol.get(piece[:cut]), self.symbol.get(piece[cut:])
                 if a is not None and b is not None:
                     self.pairs[a * PAIR_KEY + b] = (-self.score[piece], i)
+        # The same as arrays: a hash table of the pairs, with ranks by score (equal scores share one).
+        ranks = np.unique(np.array([x[0] for x in self.pairs.values()]), return_inverse=True)[1]
+        bits = max(4, (4 * len(self.pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.pair_keys = np.full((1 << bits) + len(self.pairs) + 1, -1, np.int64)  # -1: free; a probe never wraps
+        self.pair_rank = np.full(len(self.pair_keys), NO_PAIR, np.int32)
+        self.pair_joined = np.full(len(self.pair_keys), -1, np.int32)
+        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
+        for key, slot, rank, hit in zip(keys.tolist(), self._slots(keys).tolist(), ranks.tolist(), self.pairs.values()):
+            while self.pair_keys[slot] >= 0:
+                slot += 1
+            self.pair_keys[slot], self.pair_rank[slot], self.pair_joined[slot] = key, rank, hit[1]
+        self.symbol_of_char = -1 - np.arange(0x110000, dtype=np.int32)  # below 0: not in any piece
+        for piece, i in self.symbol.items():
+            if len(piece) == 1:
+                self.symbol_of_char[ord(piece)] = i
         # Chunks may be merged alone only if no piece joins a character to a following mark.
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if not crossing else r"(?s).+")
+        self.by_space = self.escape and self.dummy_prefix and not crossing
         # Two halves: when the newer is full it becomes the older, and what is
         # looked up there moves back; chunks still in use stay, memory is bounded.
-        self.cache: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.cache, self.older = _Chunks(), _Chunks()
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
 
     def normalise(self, text: str) -> str:
@@ -105,6 +167,12 @@ class PieceModel:
             text = text.replace(" ", MARK)
         return MARK + text if self.dummy_prefix else text
 
+    def cut(self, text: str) -> list[str]:
+        """The chunks of a text."""
+        if self.by_space and text and text[0] != " " and "  " not in text and MARK not in text:
+            return [MARK + word for word in text.split(" ")]  # every mark begins a chunk
+        return self.chunks.findall(self.normalise(text))
+
     def merge(self, chunk: str) -> list[int]:
         """The symbols of a chunk by the agenda of adjacent pairs: the pair whose
         joined piece scores highest first, the leftmost among equals."""
@@ -141,44 +209,152 @@ class PieceModel:
                     push(agenda, (hit[0], before, left, syms[before], joined, hit[1]))
         return [x for x in syms if x is not None]
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        ids = self.cache.get(chunk)
-        if ids is None and (ids := self.older.get(chunk)) is not None:
-            self.cache[chunk] = ids  # still in use: kept in the newer half
-        if ids is None:
-            ids = []
-            vocab = self.vocab_size
-            merged = self.merge(chunk)
-            for k, x in enumerate(merged):
-                if 0 <= x < vocab:
-                    ids.append(x)
-                    continue
-                # a character that is no piece: only unmerged symbols are such
-                piece = self.text_of.get(x) if x >= 0 else None
-                piece = piece if piece is not None else self._unknown_char(chunk, merged, k)
-                if self.byte_fallback:
-                    ids.extend(self.byte_ids[b] for b in piece.encode("utf-8"))
-                else:
-                    ids.append(self.unk_id)
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.older, self.cache = self.cache, {}
-            self.cache[chunk] = ids
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def _paired(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and joined piece of pairs of symbols, ``NO_PAIR`` where they don't join."""
+        keys = left.astype(np.int64) * PAIR_KEY + right
+        keys[(left < 0) | (right < 0)] = -1
+        slots = self._slots(keys)
+        found = self.pair_keys[slots]
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slots[open_] += 1
+            found = self.pair_keys[slots[open_]]
+            open_ = open_[(found != keys[open_]) & (found >= 0)]
+        return self.pair_rank[slots], self.pair_joined[slots]
+
+    def merge_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of short chunks as ``merge`` gives them, end to end, and the chunk of each
+        (a character in no piece is -1 less its code point here).
+
+        Every round joins in each chunk the pair that is first on its agenda;
+        a chunk with none left is done.
+        """
+        syms = self.symbol_of_char[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        owner = np.repeat(np.arange(len(chunks), dtype=np.int32), [len(chunk) for chunk in chunks])
+        rank, joined = np.full(len(syms), NO_PAIR, np.int32), np.full(len(syms), -1, np.int32)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inner], joined[inner] = self._paired(syms[inner], syms[inner + 1])
+        done = []
+        while len(syms):
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            sizes = np.diff(np.r_[starts, len(syms)])
+            best = np.minimum.reduceat(rank, starts)
+            if (best == NO_PAIR).any():
+                left = np.repeat(best != NO_PAIR, sizes)
+                done.append((syms[~left], owner[~left]))
+                syms, owner, rank, joined = syms[left], owner[left], rank[left], joined[left]
+                sizes, best = sizes[best != NO_PAIR], best[best != NO_PAIR]
+                if not len(syms):
+                    break
+            at = np.flatnonzero(rank == np.repeat(best, sizes))
+            at = at[np.r_[True, owner[at[1:]] != owner[at[:-1]]]]  # the leftmost of each chunk
+            syms[at] = joined[at]
+            kept = np.ones(len(syms), bool)
+            kept[at + 1] = False
+            syms, owner, rank, joined = syms[kept], owner[kept], rank[kept], joined[kept]
+            at = at - np.arange(len(at))  # one symbol has gone from each chunk before
+            rank[at], joined[at] = NO_PAIR, -1
+            changed = np.concatenate([at, at[at > 0] - 1])
+            changed = changed[changed + 1 < len(syms)]
+            changed = changed[owner[changed] == owner[changed + 1]]
+            rank[changed], joined[changed] = self._paired(syms[changed], syms[changed + 1])
+        if not done:
+            return syms, owner
+        syms, owner = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(owner, kind="stable")
+        return syms[order], owner[order]
+
+    def _ids(self, chunk: str, merged: list[int]) -> list[int]:
+        """The ids of a chunk's symbols; characters that are no piece in bytes."""
+        ids = []
+        for k, x in enumerate(merged):
+            if 0 <= x < self.vocab_size:
+                ids.append(x)
+                continue
+            # a character that is no piece: only unmerged symbols are such
+            piece = self.text_of.get(x) if x >= 0 else None
+            piece = piece if piece is not None else self._unknown_char(chunk, merged, k)
+            if self.byte_fallback:
+                ids.extend(self.byte_ids[b] for b in piece.encode("utf-8"))
+            else:
+                ids.append(self.unk_id)
         return ids
 
+    def _ids_many(self, syms: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the symbols of ``merge_many``: ids end to end, and how many each of the n chunks has."""
+        odd = (syms < 0) | (syms >= self.vocab_size)
+        if odd.any():
+            distinct, which = np.unique(syms[odd], return_inverse=True)
+            chars = [self.text_of[x] if x >= 0 else chr(-1 - x) for x in distinct.tolist()]
+            ids = [[self.byte_ids[b] for b in c.encode("utf-8")] if self.byte_fallback else [self.unk_id] for c in chars]
+            times = np.ones(len(syms), np.int64)
+            times[odd] = np.array([len(x) for x in ids])[which]
+            syms, owner, odd = np.repeat(syms, times), np.repeat(owner, times), np.repeat(odd, times)
+            syms[odd] = np.concatenate([ids[k] for k in which.tolist()])
+        return syms, np.bincount(owner, minlength=n)
+
+    def _look_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks, end to end, and how many each has; kept in the cache's newer half."""
+        if len(self.cache.place) >= CACHE_ENTRIES:
+            self.older, self.cache = self.cache, _Chunks()
+        at, new = self.cache.at(chunks), self.cache.place.new
+        if new:
+            older, kinds, ids, sizes = self.older.place, [[], [], []], [], []
+            for k, chunk in enumerate(new):
+                kinds[0 if chunk in older else 1 if len(chunk) <= SHORT else 2].append(k)
+            if kinds[0]:  # still in use
+                ids, sizes = ([x] for x in self.older.get(self.older.at([new[k] for k in kinds[0]])))
+            if kinds[1]:
+                short = [new[k] for k in kinds[1]]
+                merged = self._ids_many(*self.merge_many(short), len(short))
+                ids, sizes = [*ids, merged[0]], [*sizes, merged[1]]
+            for k in kinds[2]:
+                ids.append(np.array(self._ids(new[k], self.merge(new[k])), np.int32))
+                sizes.append(np.array([len(ids[-1])]))
+            order = np.argsort(np.concatenate([np.array(k, np.int64) for k in kinds]))
+            self.cache.add(*_taken(np.concatenate(ids), np.r_[0, np.cumsum(np.concatenate(sizes))], order))
+        return self.cache.get(at)
+
     def _unknown_char(self, chunk: str, merged: list[int], k: int) -> str:
         """The character of the k-th symbol when it is unknown: symbols before
         it stand for so many characters."""
         at = sum(len(self.text_of[x]) if x >= 0 else 1 for x in merged[:k])
         return chunk[at]
 
-    def encode(self, text: str | None, end: bool = True) -> list[int]:
-        """Ids of a text (NULL as empty), with the end id last if ``end``."""
-        ids = []
-        for chunk in self.chunks.findall(self.normalise(text or "")):
-            ids.extend(self.chunk_ids(chunk))
+    def encode_many(self, texts: list[str | None], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts (NULL as empty), end to end, each with the end id last if ``end``; and their bounds."""
+        found, sizes, held, parts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), [], []
+
+        def flush() -> None:
+            ids, counts = self._look_up(held)
+            found.append(ids)
+            ends = np.cumsum([n for _, n in parts])
+            total = np.r_[0, np.cumsum(counts)]
+            np.add.at(sizes, [i for i, _ in parts], total[ends] - total[np.r_[0, ends[:-1]]])
+            held.clear()
+            parts.clear()
+
+        for i, text in enumerate(texts):
+            chunks = self.cut(text or "")
+            for k in range(0, len(chunks), TOGETHER):
+                part = chunks[k:k + TOGETHER]
+                held.extend(part)
+                parts.append((i, len(part)))
+                if len(held) >= TOGETHER:
+                    flush()
+        if held:
+            flush()
+        ids, bounds = np.concatenate(found), np.r_[0, np.cumsum(sizes)]
         if end:
-            ids.append(self.eos_id)
-        return ids
+            ids, bounds = np.insert(ids, bounds[1:], self.eos_id), bounds + np.arange(len(bounds))
+        return ids, bounds
+
+    def encode(self, text: str | None, end: bool = True) -> list[int]:
+        """Ids of one text."""
+        return self.encode_many([text], end)[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -198,29 +374,30 @@ def encode(docs: DataFrame, path: str, rows_per_batch: int = 256) -> DataFrame:
     """(``doc_id``, ``ids`` array<int> with the end id, ``decoded`` string,
     ``agrees`` boolean: the library gave the same ids) for each row of ``docs``.
 
-    Ids travel as decimal text, so that no id type is narrowed on the way; the
-    results leave in parts of ``rows_per_batch`` rows, which bounds a worker's memory.
+    Ids keep their type; the results leave in parts of ``rows_per_batch`` rows,
+    which bounds a worker's memory.
     """
-    schema = "_id string, ids array<int>, decoded string, agrees boolean"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in batches:
             for lo in range(0, len(batch), rows_per_batch):
-                part = batch.iloc[lo: lo + rows_per_batch]
-                texts = [t if isinstance(t, str) else "" for t in part["text"]]
-                own = [m.encode(t) for t in texts]
+                part = batch.slice(lo, rows_per_batch)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                ids, bounds = m.encode_many(texts)
+                flat, cuts = ids.tolist(), bounds.tolist()
+                own = [flat[a:b] for a, b in zip(cuts, cuts[1:])]
                 library = m.library.encode(texts, num_threads=1)
-                yield pd.DataFrame({
-                    "_id": [d if isinstance(d, str) else None for d in part["_id"]],
-                    "ids": own,
-                    "decoded": [m.decode(ids) for ids in own],
-                    "agrees": [a[:-1] == b for a, b in zip(own, library)],
-                })
-
-    id_type = docs.schema["doc_id"].dataType
-    encoded = docs.select(F.col("doc_id").cast("string").alias("_id"), "text").mapInPandas(run, schema)
-    return encoded.select(F.col("_id").cast(id_type).alias("doc_id"), "ids", "decoded", "agrees")
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"),
+                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
+                    pa.array(m.library.decode(own, num_threads=1), pa.string()),
+                    pa.array([a[:-1] == b for a, b in zip(own, library)], pa.bool_()),
+                ], names=["doc_id", "ids", "decoded", "agrees"])
+
+    doc_id = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {doc_id}, ids array<int>, decoded string, agrees boolean"
+    )
 
 
 def digests(encoded: DataFrame) -> DataFrame:
