@@ -1,13 +1,13 @@
 """Line dedup by a segment-partition edit join.
 
 A line within tau edits of another keeps at least one of the other's tau + 1
-segments whole, shifted by few places. Every distinct line is indexed by its
-segments; it probes with the substrings at the places that a segment of a line
-of each near length can have moved to, so that a pair meets in an equi-join.
-Only keys are dealt for all lines; where a key belongs to a single line, its
-rows end there. The lines left are compared by letter counts and banded edit
-distance in the join, so that no pair further apart becomes a row. Equal lines
-are one throughout.
+segments whole, shifted by few places. Every line is indexed by its segments;
+it probes with the substrings at the places that a segment of a line of each
+near length can have moved to, so that a pair meets in an equi-join. Only keys
+are dealt for all lines, with a hash of the line and not its text; where a key
+belongs to a single line, its rows end there. The lines left are compared by
+letter counts and banded edit distance in the join, so that no pair further
+apart becomes a row. Equal lines have the same keys and hash, and are one there.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ EDITS = 2
 LEAST_LENGTH = 24
 # Lists of lines to verify up to this many rows (some dozen MB) are broadcast.
 BROADCAST_ROWS = 500_000
+# At most so many lines that come often are broadcast, so that each is dealt once.
+OFTEN_ROWS = 100_000
 
 # Letters counted one by one; an edit changes the counts by two in all at most.
 _LETTERS = (("eé", "aá", "oó", "t", "nñ", "h", "rl", "su"), ("ií", "dq", "wk", "yj", "gx", "cz", "bv", "mfp"))
@@ -93,31 +95,37 @@ def _letter_counts(line: Column, classes: tuple[str, ...]) -> Column:
 
 
 def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """(a, b): ids of lines at edit distance 1 to ``edits``, from (id, line, n)."""
+    """(a1, a2, b1, b2): hashes of lines at edit distance 1 to ``edits``, from (h1, h2, line, n).
+
+    Lines may come repeatedly. Keys are dealt with h1 alone; lines that share it
+    are told apart by h2 when they are compared.
+    """
     which = F.explode(F.array(*[F.struct(*[F.lit(x).alias(k) for k, x in zip(("i", "less", "shift"), p)]) for p in _probes(edits)]))
     i = F.explode(F.sequence(F.lit(0), F.lit(edits)))
     start, size = _segment(F.col("n"), F.col("i"), edits)
-    index = lines.select("id", "n", "line", i.alias("i")).select(
-        F.xxhash64("i", "n", F.substring(F.col("line"), start + 1, size)).alias("key"), "id"
+    index = lines.select("h1", "n", "line", i.alias("i")).select(
+        F.xxhash64("i", "n", F.substring(F.col("line"), start + 1, size)).alias("key"), "h1"
     )
     other = F.col("n") - F.col("p.less")
     start, size = _segment(other, F.col("p.i"), edits)
     place = start + F.col("p.shift")
-    probe = lines.select("id", "n", "line", which.alias("p")).filter((place >= 0) & (place + size <= F.col("n"))).select(
-        F.xxhash64("p.i", other.cast("int"), F.substring(F.col("line"), place + 1, size)).alias("key"), "id"
+    probe = lines.select("h1", "n", "line", which.alias("p")).filter((place >= 0) & (place + size <= F.col("n"))).select(
+        F.xxhash64("p.i", other.cast("int"), F.substring(F.col("line"), place + 1, size)).alias("key"), "h1"
     )
     # what can meet another line than itself
-    holders = index.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    asked = stored(probe.join(holders, "key").filter((F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))).select("key", "id"), "asked")
+    holders = index.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+    asked = probe.join(holders, "key").filter((F.col("low") != F.col("h1")) | (F.col("high") != F.col("h1")))
+    asked = stored(asked.select("key", "h1").distinct(), "asked")
     keys = asked.select("key").distinct()
     few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    held = stored(index.join(F.broadcast(keys) if few else keys, "key", "left_semi"), "held")
-    wanted = stored(asked.select("id").union(held.select("id")).distinct(), "wanted")
+    held = stored(index.join(F.broadcast(keys) if few else keys, "key", "left_semi").distinct(), "held")
+    wanted = stored(asked.select("h1").union(held.select("h1")).distinct(), "wanted")
     few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    text = stored(lines.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").select(
-        "id", "n", "line", *[_letter_counts(F.col("line"), classes).alias(f"counts{g}") for g, classes in enumerate(_LETTERS)]
+    text = lines.join(F.broadcast(wanted) if few else wanted, "h1", "left_semi").select("h1", "h2", "n", "line").distinct()
+    text = stored(text.select(
+        "h1", "h2", "n", "line", *[_letter_counts(F.col("line"), classes).alias(f"counts{g}") for g, classes in enumerate(_LETTERS)]
     ), "compared")
-    one, two = (side.join(text, "id").select("key", *[F.col(c).alias(f"{c}_{x}") for c in text.columns])
+    one, two = (side.join(text, "h1").select("key", *[F.col(c).alias(f"{c}_{x}") for c in text.columns])
                 for side, x in ((held, "a"), (asked, "b")))
     # counts hold a letter in each byte, modulo 256: differences are taken byte by byte
     apart = sum(
@@ -125,10 +133,13 @@ def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
         for g, classes in enumerate(_LETTERS) for k in range(len(classes))
         for d in [F.shiftrightunsigned(f"counts{g}_a", 8 * k).bitwiseAND(255) - F.shiftrightunsigned(f"counts{g}_b", 8 * k).bitwiseAND(255)]
     )
-    may = ((F.col("n_a") < F.col("n_b")) | (F.col("id_a") < F.col("id_b"))) & (F.col("id_a") != F.col("id_b")) & (apart <= 2 * edits)
-    # with a threshold the edit distance is computed in a band around the diagonal
+    before = (F.col("h1_a") < F.col("h1_b")) | ((F.col("h1_a") == F.col("h1_b")) & (F.col("h2_a") < F.col("h2_b")))
+    may = ((F.col("n_a") < F.col("n_b")) | before) & (apart <= 2 * edits)
+    # with a threshold the edit distance is computed in a band around the diagonal; equal lines have 0
     near = F.when(may, F.levenshtein("line_a", "line_b", edits) >= 1)
-    return one.join(two, "key").filter(near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    return one.join(two, "key").filter(near).select(
+        F.col("h1_a").alias("a1"), F.col("h2_a").alias("a2"), F.col("h1_b").alias("b1"), F.col("h2_b").alias("b2")
+    ).distinct()
 
 
 def _decided(keyed: DataFrame, edits: int, least_length: int, blank: bool = False) -> DataFrame:
@@ -140,21 +151,24 @@ def _decided(keyed: DataFrame, edits: int, least_length: int, blank: bool = Fals
     rows = line_rows(keyed).withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
     # Unique for each line of a text: by doc_id, NULL last, then hash of the text, then line number.
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2", "line_no")
-    heads = stored(rows.filter("line is not null").groupBy("h1", "h2").agg(F.min(at).alias("first")), "heads")
-    lines = stored(rows.filter(F.length("line") >= least_length).select("line", "h1", "h2").distinct().select(
-        "line", "h1", "h2", F.length("line").alias("n"), F.monotonically_increasing_id().alias("id")
-    ), "lines")
+    found = F.min(at).alias("first"), F.count(F.lit(1)).alias("n_rows")
+    heads = stored(rows.filter("line is not null").groupBy("h1", "h2").agg(*found), "heads")
+    # Of a line that comes often only the first is compared; there can't be more than OFTEN_ROWS of them.
+    often = F.greatest(F.lit(1), F.lit(heads.agg(F.sum("n_rows")).first()[0] or 0) / OFTEN_ROWS)
+    often = heads.filter(F.col("n_rows") > often).select("h1", "h2", F.col("first").alias("lone"))
+    lines = rows.filter(F.length("line") >= least_length).join(F.broadcast(often), ["h1", "h2"], "left")
+    lines = lines.filter(F.col("lone").isNull() | (at == F.col("lone")))
+    lines = stored(lines.select("h1", "h2", "line", F.length("line").alias("n")), "lines")
     near = stored(near_pairs(lines, edits), "near")
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    when = lines.select("id", "h1", "h2").join(both.select(F.col("a").alias("id")).distinct(), "id").join(heads, ["h1", "h2"])
-    when = stored(when.select("id", "h1", "h2", "first"), "when")
-    linked = both.join(when.select(F.col("id").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(
+    both = near.unionByName(near.select(*[F.col(x).alias(y) for x, y in (("b1", "a1"), ("b2", "a2"), ("a1", "b1"), ("a2", "b2"))]))
+    when = heads.join(both.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).distinct(), ["h1", "h2"])
+    when = stored(when.select("h1", "h2", "first"), "when")
+    linked = both.join(when.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other")), ["b1", "b2"])
+    linked = linked.groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(
         F.count(F.lit(1)).alias("links"), F.min("other").alias("earliest")
     )
-    decided = linked.join(when.withColumnRenamed("id", "a"), "a").select(
-        "h1", "h2", "links", (F.col("earliest") < F.col("first")).alias("near")
-    )
-    heads = stored(heads.join(decided, ["h1", "h2"], "left"), "decided")
+    decided = linked.join(when, ["h1", "h2"]).select("h1", "h2", "links", (F.col("earliest") < F.col("first")).alias("near"))
+    heads = stored(heads.drop("n_rows").join(decided, ["h1", "h2"], "left"), "decided")
     if blank:
         worded = F.when(F.col("line").rlike(_WORDED), F.col("line"))
         rows = line_rows(keyed, True).withColumns({"h1": F.xxhash64(worded), "h2": F.hash(worded)})

@@ -253,3 +253,26 @@ def test_line_dedup_stores_no_row_for_pairs_that_are_apart(spark, monkeypatch):
     found = sum(r.n_links for r in line_dedup.dedup_lines(source).collect())
     assert found == 2 * sum(_distance(a, b) <= 2 for i, a in enumerate(lines) for b in lines[:i])
     assert max(rows) <= 12 * len(lines)
+
+
+@pytest.mark.parametrize("often", [1, 1_000_000])
+def test_line_dedup_deals_texts_only_of_lines_that_meet(spark, monkeypatch, often):
+    """Lines that share no key with another are shuffled as hashes; repeated lines are one, listed as frequent or not."""
+    a, b = prose(970, 9), prose(971, 9)
+    lines = [prose(1_000 + k, 9) for k in range(150)]
+    lines += [a, a[:-1] + "!", b, b[:5] + "?" + b[5:]] + [a] * 40 + [lines[0]] * 30
+    random.Random(4).shuffle(lines)
+    texts_dealt, stored = [], line_dedup.stored
+
+    def noted(df, name, *more):
+        kept = stored(df, name, *more)
+        if re.search(r"hashpartitioning\([^)]*\bline#", df._jdf.queryExecution().executedPlan().toString()):
+            texts_dealt.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(line_dedup, "stored", noted)
+    monkeypatch.setattr(line_dedup, "OFTEN_ROWS", often, raising=False)  # 1: no line is frequent
+    source = spark.createDataFrame([(k // 3, line) for k, line in enumerate(lines)], "doc_id bigint, text string")
+    got = line_dedup.dedup_lines(source).collect()
+    assert [sum(r[k] for r in got) for k in ("n_lines", "n_equal", "n_near", "n_links")] == _line_counts(list(enumerate(lines)))
+    assert 0 < sum(texts_dealt) < len(set(lines)) // 2
