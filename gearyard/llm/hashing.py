@@ -88,8 +88,8 @@ def window_hashes(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.nda
     return hashes, owner
 
 
-def blocks(texts: list[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about so many bytes together."""
+def blocks(texts: list[bytes] | list[str], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many bytes (characters of strings) together."""
     start, size = 0, 0
     for i, text in enumerate(texts):
         if size and size + len(text) > most:

@@ -6,8 +6,8 @@ adjacent pair whose joined piece is in the vocabulary with the highest score
 is merged, again and again; among equal scores the leftmost pair goes first.
 The agenda of a long chunk is a heap of candidate pairs; a pair whose sides
 changed since it was pushed is skipped when it comes up. Short chunks (words,
-mostly) are merged many at a time: their agendas are one array, and each round
-takes the first pair off every one. Characters left outside the vocabulary
+mostly) are merged many at a time: those of equal length are one table, and each
+round takes the first pair off every agenda. Characters left outside the vocabulary
 become their UTF-8 bytes as byte pieces.
 
 No vocabulary piece has the space mark after another character, so merges
@@ -34,34 +34,27 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import compress, count, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gearyard.llm.hashing import blocks
+
 MARK = "▁"
 # Kinds of pieces in a model (sentencepiece's ModelProto): which can be merged.
 NORMAL, USER_DEFINED = 1, 4
 CACHE_ENTRIES = 1 << 18
 PAIR_KEY = 1 << 32  # symbol ids are below this: a pair is one integer
-SHORT = 32  # characters of chunks merged many at a time; a round reads all symbols of theirs
+SHORT = 32  # characters of chunks merged many at a time; a round reads all symbols of those still as long
 TOGETHER = 1 << 16  # chunks looked up at a time
+BLOCK_CHARS = 1 << 22  # of texts cut into chunks at a time; a longer text is cut alone
 NO_PAIR = np.iinfo(np.int32).max
 
 
-class _Places(dict):
-    """Chunks numbered as they come; ``new`` are those not yet told of."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, chunk: str) -> int:
-        self.new.append(chunk)
-        place = self[chunk] = len(self)
-        return place
-
-
 def _taken(ids: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Some rows of ids that lie end to end, again end to end, and their sizes."""
     sizes = starts[at + 1] - starts[at]
@@ -70,20 +63,21 @@ def _taken(ids: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndar
 
 
 class _Chunks:
-    """Ids of chunks, end to end in one array."""
+    """Chunks numbered as they come, and their ids end to end in one array."""
 
     def __init__(self):
-        self.place = _Places()
+        self.place: dict[str, int] = {}
         self.starts, self.ids = array("q", [0]), array("i")
 
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """The ids of the new chunks."""
+    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Different new chunks."""
         self.starts.frombytes((len(self.ids) + np.cumsum(sizes)).astype(np.int64).tobytes())
         self.ids.frombytes(ids.astype(np.int32).tobytes())
-        self.place.new = []
+        self.place.update(zip(chunks, count(len(self.place))))
 
     def at(self, chunks: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        """Places of chunks, -1 if not there."""
+        return np.fromiter(map(self.place.get, chunks, repeat(-1)), np.int64, len(chunks))
 
     def get(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _taken(np.frombuffer(self.ids, np.int32), np.frombuffer(self.starts, np.int64), at)
@@ -155,6 +149,7 @@ class PieceModel:
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if not crossing else r"(?s).+")
         self.by_space = self.escape and self.dummy_prefix and not crossing
+        self.lead = MARK if self.by_space else ""  # what every chunk begins with
         # Two halves: when the newer is full it becomes the older, and what is
         # looked up there moves back; chunks still in use stay, memory is bounded.
         self.cache, self.older = _Chunks(), _Chunks()
@@ -167,9 +162,13 @@ class PieceModel:
             text = text.replace(" ", MARK)
         return MARK + text if self.dummy_prefix else text
 
+    def plain(self, text: str) -> bool:
+        """Whether the chunks of a text are its words, each after a mark."""
+        return text != "" and text[0] != " " and "  " not in text and MARK not in text
+
     def cut(self, text: str) -> list[str]:
         """The chunks of a text."""
-        if self.by_space and text and text[0] != " " and "  " not in text and MARK not in text:
+        if self.by_space and self.plain(text):
             return [MARK + word for word in text.split(" ")]  # every mark begins a chunk
         return self.chunks.findall(self.normalise(text))
 
@@ -229,43 +228,50 @@ class PieceModel:
         """The symbols of short chunks as ``merge`` gives them, end to end, and the chunk of each
         (a character in no piece is -1 less its code point here).
 
-        Every round joins in each chunk the pair that is first on its agenda;
-        a chunk with none left is done.
+        Chunks of as many symbols are the columns of one table, the longest first. A round joins in
+        each the pair that is first on its agenda, so all become one symbol shorter and meet the
+        next shorter ones; a chunk with no pair left is done.
         """
-        syms = self.symbol_of_char[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        owner = np.repeat(np.arange(len(chunks), dtype=np.int32), [len(chunk) for chunk in chunks])
-        rank, joined = np.full(len(syms), NO_PAIR, np.int32), np.full(len(syms), -1, np.int32)
-        inner = np.flatnonzero(owner[1:] == owner[:-1])
-        rank[inner], joined[inner] = self._paired(syms[inner], syms[inner + 1])
-        done = []
-        while len(syms):
-            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            sizes = np.diff(np.r_[starts, len(syms)])
-            best = np.minimum.reduceat(rank, starts)
+        given = self.symbol_of_char[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        first, of_length = np.cumsum(lengths) - lengths, np.argsort(lengths, kind="stable")
+        cuts = np.searchsorted(lengths[of_length], np.arange(lengths.max(initial=0) + 2))
+        size, done = np.zeros(len(chunks), np.int64), []
+        owner = np.zeros(0, np.int64)
+        for n in range(len(cuts) - 2, 0, -1):
+            new = of_length[cuts[n]:cuts[n + 1]]
+            fresh = given[first[new] + np.arange(n)[:, None]]
+            if not len(owner):  # what is left of longer chunks has n symbols now
+                syms, rank, joined = (np.zeros((k, 0), np.int32) for k in (n, n - 1, n - 1))
+            owner, syms = np.concatenate([owner, new]), np.hstack([syms, fresh])
+            pairs = self._paired(fresh[:-1].ravel(), fresh[1:].ravel())
+            rank, joined = (np.hstack([x, y.reshape(n - 1, len(new))]) for x, y in zip((rank, joined), pairs))
+            best, at = np.full(len(owner), NO_PAIR, np.int32), np.zeros(len(owner), np.int32)
+            for k, row in enumerate(rank):  # the leftmost of each chunk's best
+                at = np.where(row < best, np.int32(k), at)
+                best = np.minimum(best, row)
             if (best == NO_PAIR).any():
-                left = np.repeat(best != NO_PAIR, sizes)
-                done.append((syms[~left], owner[~left]))
-                syms, owner, rank, joined = syms[left], owner[left], rank[left], joined[left]
-                sizes, best = sizes[best != NO_PAIR], best[best != NO_PAIR]
-                if not len(syms):
-                    break
-            at = np.flatnonzero(rank == np.repeat(best, sizes))
-            at = at[np.r_[True, owner[at[1:]] != owner[at[:-1]]]]  # the leftmost of each chunk
-            syms[at] = joined[at]
-            kept = np.ones(len(syms), bool)
-            kept[at + 1] = False
-            syms, owner, rank, joined = syms[kept], owner[kept], rank[kept], joined[kept]
-            at = at - np.arange(len(at))  # one symbol has gone from each chunk before
-            rank[at], joined[at] = NO_PAIR, -1
-            changed = np.concatenate([at, at[at > 0] - 1])
-            changed = changed[changed + 1 < len(syms)]
-            changed = changed[owner[changed] == owner[changed + 1]]
-            rank[changed], joined[changed] = self._paired(syms[changed], syms[changed + 1])
-        if not done:
-            return syms, owner
-        syms, owner = (np.concatenate(x) for x in zip(*done))
-        order = np.argsort(owner, kind="stable")
-        return syms[order], owner[order]
+                over, left = np.flatnonzero(best == NO_PAIR), np.flatnonzero(best != NO_PAIR)
+                size[owner[over]] = n
+                done.append((owner[over], syms.take(over, 1)))
+                owner, at = owner[left], at[left]
+                syms, rank, joined = (x.take(left, 1) for x in (syms, rank, joined))
+            if not len(owner):
+                continue
+            every = np.arange(len(owner))
+            one = joined[at, every]
+            place = np.arange(n - 1, dtype=np.int32)[:, None]
+            syms = np.where(place <= at, syms[:-1], syms[1:])
+            syms[at, every] = one
+            rank, joined = (np.where(place[:-1] < at, x[:-1], x[1:]) for x in (rank, joined))
+            before, after = np.flatnonzero(at > 0), np.flatnonzero(at < n - 2)  # pairs with the joined symbol
+            gap, column = np.r_[at[before] - 1, at[after]], np.r_[before, after]
+            rank[gap, column], joined[gap, column] = self._paired(syms[gap, column], syms[gap + 1, column])
+        ends = np.cumsum(size)
+        out = np.empty(int(size.sum()), np.int32)
+        for which, found in done:
+            out[(ends - size)[which] + np.arange(len(found))[:, None]] = found
+        return out, np.repeat(np.arange(len(chunks), dtype=np.int32), size)
 
     def _ids(self, chunk: str, merged: list[int]) -> list[int]:
         """The ids of a chunk's symbols; characters that are no piece in bytes."""
@@ -296,26 +302,30 @@ class PieceModel:
             syms[odd] = np.concatenate([ids[k] for k in which.tolist()])
         return syms, np.bincount(owner, minlength=n)
 
-    def _look_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of chunks, end to end, and how many each has; kept in the cache's newer half."""
+    def _look_up(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different chunks, end to end, and how many each has; kept in the cache's newer
+        half. A key is a chunk without ``lead``, which all of them begin with."""
         if len(self.cache.place) >= CACHE_ENTRIES:
             self.older, self.cache = self.cache, _Chunks()
-        at, new = self.cache.at(chunks), self.cache.place.new
-        if new:
-            older, kinds, ids, sizes = self.older.place, [[], [], []], [], []
-            for k, chunk in enumerate(new):
-                kinds[0 if chunk in older else 1 if len(chunk) <= SHORT else 2].append(k)
-            if kinds[0]:  # still in use
-                ids, sizes = ([x] for x in self.older.get(self.older.at([new[k] for k in kinds[0]])))
-            if kinds[1]:
-                short = [new[k] for k in kinds[1]]
-                merged = self._ids_many(*self.merge_many(short), len(short))
+        at = self.cache.at(keys)
+        missing = at < 0
+        if missing.any():
+            new = list(compress(keys, missing.tolist()))
+            at[missing] = len(self.cache.place) + np.arange(len(new))
+            old = self.older.at(new)
+            short = np.fromiter(map(len, new), np.int64, len(new)) <= SHORT - len(self.lead)
+            known, many, long = (np.flatnonzero(x) for x in (old >= 0, (old < 0) & short, (old < 0) & ~short))
+            ids, sizes = ([x] for x in self.older.get(old[known]))  # still in use
+            if len(many):
+                chunks = [self.lead + new[k] for k in many.tolist()]
+                merged = self._ids_many(*self.merge_many(chunks), len(chunks))
                 ids, sizes = [*ids, merged[0]], [*sizes, merged[1]]
-            for k in kinds[2]:
-                ids.append(np.array(self._ids(new[k], self.merge(new[k])), np.int32))
+            for k in long.tolist():
+                chunk = self.lead + new[k]
+                ids.append(np.array(self._ids(chunk, self.merge(chunk)), np.int32))
                 sizes.append(np.array([len(ids[-1])]))
-            order = np.argsort(np.concatenate([np.array(k, np.int64) for k in kinds]))
-            self.cache.add(*_taken(np.concatenate(ids), np.r_[0, np.cumsum(np.concatenate(sizes))], order))
+            order = np.argsort(np.concatenate([known, many, long]))
+            self.cache.add(new, *_taken(np.concatenate(ids), np.r_[0, np.cumsum(np.concatenate(sizes))], order))
         return self.cache.get(at)
 
     def _unknown_char(self, chunk: str, merged: list[int], k: int) -> str:
@@ -324,30 +334,39 @@ class PieceModel:
         at = sum(len(self.text_of[x]) if x >= 0 else 1 for x in merged[:k])
         return chunk[at]
 
+    def _keys(self, texts: list[str]) -> pa.ListArray:
+        """The chunks of texts without ``lead``."""
+        if not self.lead:
+            return pa.array([self.cut(text) for text in texts], pa.list_(pa.string()))
+        spaced = [
+            None if not text else text if self.plain(text) else " ".join([c[1:] for c in self.cut(text)]) for text in texts
+        ]
+        return pc.split_pattern(pa.array(spaced, pa.string()), " ")  # no chunk holds a space
+
     def encode_many(self, texts: list[str | None], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts (NULL as empty), end to end, each with the end id last if ``end``; and their bounds."""
-        found, sizes, held, parts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), [], []
-
-        def flush() -> None:
-            ids, counts = self._look_up(held)
-            found.append(ids)
-            ends = np.cumsum([n for _, n in parts])
-            total = np.r_[0, np.cumsum(counts)]
-            np.add.at(sizes, [i for i, _ in parts], total[ends] - total[np.r_[0, ends[:-1]]])
-            held.clear()
-            parts.clear()
-
-        for i, text in enumerate(texts):
-            chunks = self.cut(text or "")
-            for k in range(0, len(chunks), TOGETHER):
-                part = chunks[k:k + TOGETHER]
-                held.extend(part)
-                parts.append((i, len(part)))
-                if len(held) >= TOGETHER:
-                    flush()
-        if held:
-            flush()
-        ids, bounds = np.concatenate(found), np.r_[0, np.cumsum(sizes)]
+        found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        texts = [text or "" for text in texts]
+        for a, b in blocks(texts, BLOCK_CHARS):
+            keys = self._keys(texts[a:b])
+            coded = keys.flatten().dictionary_encode()
+            different = coded.dictionary
+            if self.lead and len(different):  # one string, cut again: faster than a string each
+                different = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different), " ")[0].as_py().split(" ")
+            else:
+                different = different.to_pylist()
+            parts = [self._look_up(different[k:k + TOGETHER]) for k in range(0, len(different), TOGETHER)]
+            which = coded.indices.to_numpy()
+            if parts:
+                ids, each = (np.concatenate(x) for x in zip(*parts))
+                ids, each = _taken(ids, np.r_[0, np.cumsum(each)], which)
+                found.append(ids)
+            else:
+                each = np.zeros(0, np.int64)
+            total = np.r_[0, np.cumsum(each)]
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False))
+            sizes.append(np.diff(total[np.r_[0, ends]]))
+        ids, bounds = np.concatenate(found), np.r_[0, np.cumsum(np.concatenate(sizes))]
         if end:
             ids, bounds = np.insert(ids, bounds[1:], self.eos_id), bounds + np.arange(len(bounds))
         return ids, bounds
@@ -370,28 +389,28 @@ def model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, path: str, rows_per_batch: int = 256) -> DataFrame:
+def encode(docs: DataFrame, path: str, rows_per_batch: int = 1024) -> DataFrame:
     """(``doc_id``, ``ids`` array<int> with the end id, ``decoded`` string,
     ``agrees`` boolean: the library gave the same ids) for each row of ``docs``.
 
-    Ids keep their type; the results leave in parts of ``rows_per_batch`` rows,
-    which bounds a worker's memory.
+    Ids keep their type; the results leave in parts of ``rows_per_batch`` rows
+    and ``BLOCK_CHARS`` characters (a longer text alone) at most, which bounds a
+    worker's memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in batches:
-            for lo in range(0, len(batch), rows_per_batch):
-                part = batch.slice(lo, rows_per_batch)
-                texts = [t or "" for t in part.column("text").to_pylist()]
+        for rows in (batch.slice(lo, rows_per_batch) for batch in batches for lo in range(0, len(batch), rows_per_batch)):
+            read = [t or "" for t in rows.column("text").to_pylist()]
+            for lo, hi in blocks(read, BLOCK_CHARS):
+                part, texts = rows.slice(lo, hi - lo), read[lo:hi]
                 ids, bounds = m.encode_many(texts)
-                flat, cuts = ids.tolist(), bounds.tolist()
-                own = [flat[a:b] for a, b in zip(cuts, cuts[1:])]
-                library = m.library.encode(texts, num_threads=1)
+                own = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+                library = m.library.encode(texts, num_threads=1, return_type="numpy")
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
                     pa.array(m.library.decode(own, num_threads=1), pa.string()),
-                    pa.array([a[:-1] == b for a, b in zip(own, library)], pa.bool_()),
+                    pa.array([np.array_equal(a[:-1], b) for a, b in zip(own, library)], pa.bool_()),
                 ], names=["doc_id", "ids", "decoded", "agrees"])
 
     doc_id = docs.select("doc_id").schema["doc_id"].dataType.simpleString()

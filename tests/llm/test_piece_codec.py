@@ -56,6 +56,17 @@ def test_lookups_in_small_parts_and_full_caches(monkeypatch):
     assert _lists(*m.encode_many([])) == [] and m.encode(None) == [2] and m.encode("", end=False) == []
 
 
+def test_a_block_looks_each_different_chunk_up_once(monkeypatch):
+    """Words repeat over the texts of a block: they are counted as one lookup, odd spaces or not."""
+    m = piece_codec.PieceModel(PATH)
+    asked, at = [], piece_codec._Chunks.at
+    monkeypatch.setattr(piece_codec._Chunks, "at", lambda self, chunks: asked.extend(chunks) or at(self, chunks))
+    given = [" ".join(f"word{(k * j) % 50}{' ' * (j % 9 == k)}" for j in range(200)) for k in range(100)] + [None, "", " word1"]
+    assert _lists(*m.encode_many(given, end=False)) == m.library.encode([t or "" for t in given])
+    # each is asked for once in either half of the cache, not 20,000 times
+    assert len(asked) <= 2 * len(set(asked)) < 200
+
+
 def test_encode_on_spark_with_digests(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     given = [*texts(), *ODD]
