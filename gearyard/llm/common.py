@@ -40,15 +40,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None, group_rows: int | None = None) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     What follows is planned on measured sizes, runs the work above once, and
-    outlives any executor.
+    outlives any executor. ``group_rows``: the most rows of a row group.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=codec)
+    writer = df.write if group_rows is None else df.write.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
