@@ -6,21 +6,24 @@ once for each level up to its own. A scorer probes level after level until one
 is missing; the last one present gives the count back. Word probabilities are
 interpolated: p(w|v) = (c(vw) + mu * p(w)) / (c(v) + mu), with p(w) add-one.
 
-The filter is built in segments by n-gram hash, as many as the corpus needs.
-Segments are broadcast in groups of at most ``BROADCAST_BYTES``. If all fit
-into one group, documents are scored in one pass; else levels are looked up
-group by group, with the levels found so far kept beside the documents; each
-n-gram is looked up in one pass, the one of its hash.
+The filter is built in segments by n-gram hash, as many as the corpus needs, and
+looked up where it is built. Documents are stored once in parts, as numbers of
+each part's distinct words. A part sends its distinct n-grams to their segments,
+with their counts in the documents to learn from. A segment sums the counts,
+builds its filter, looks all these n-grams up and answers with their levels, in
+their order; a part's answers, end to end, are its scores' input. So every text
+is read once and every n-gram sent once, whatever the size of the model.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +31,11 @@ from gearyard.llm.common import stored
 from gearyard.llm.hashing import blocks, mixed, utf8, word_hashes
 
 SEGMENT_BYTES = 4 << 20  # text that one segment's n-grams stand for: its counts are held at once by one worker
-BROADCAST_BYTES = 64 << 20  # of the model held by each Python worker in one pass
-PART_BYTES = 16 << 20  # of which so much goes through the driver at a time
-FLUSH_TOKENS = 1_500_000
-SCORE_BLOCK = 1 << 20
+BROADCAST_BYTES = 64 << 20  # no longer read (nothing is broadcast); kept for callers that set it
+PART_BYTES = 16 << 20  # text of a part of the documents at most, but for one longer text
+FLUSH_TOKENS = 1_500_000  # tokens of a part at which it ends
+PART_ROWS = 8  # parts in a row group of the stored table
+BATCH_KEYS = 1 << 22  # n-grams in an Arrow batch, about
 KEYS_BLOCK = 1 << 18  # n-grams put into a filter at a time
 BITS_PER_ITEM, PROBES = 10, 4  # some 1.2 % false positives at each level
 LEVEL_BASE = 1.5
@@ -58,18 +62,25 @@ def level_values() -> np.ndarray:
     return np.r_[0.0, (low + np.r_[low[1:] - 1, low[-1]]) / 2]
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of words in lower case (A-Z) and of an end for each text; of the
-    pairs they end; and each text's bounds. Pairs begin with a start."""
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words in lower case (A-Z) and of an end for each text, and each text's bounds."""
     words, bounds = word_hashes([t.lower() for t in texts])
     ends = bounds[1:] + np.arange(len(texts))
     single = np.empty(len(words) + len(texts), np.uint64)
     is_end = np.zeros(len(single), bool)
     is_end[ends] = True
     single[is_end], single[~is_end] = _END, words
-    before = np.r_[_START, single[:-1]].astype(np.uint64)
-    before[np.flatnonzero(is_end[:-1]) + 1] = _START
-    return single, mixed(before * _PAIR + single), np.r_[0, ends + 1]
+    return single, np.r_[0, ends + 1]
+
+
+def pairs_of(single: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Hashes of the pairs that tokens end; a text's first pair begins with a start."""
+    before = np.empty(len(single), np.uint64)
+    before[1:] = single[:-1]
+    before[bounds[:-1]] = _START
+    before *= _PAIR
+    before += single
+    return mixed(before)
 
 
 def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
@@ -77,31 +88,149 @@ def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
-    """Counts of n-grams per few million tokens: a row for each segment, arrays packed as bytes."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for pair in (False, True):
-            keys, counts = np.unique(np.concatenate([h[pair] for h in held]), return_counts=True)
-            segment, counts = segment_of(keys, segments), counts.astype(np.uint32)  # far fewer tokens than 2**32 are held
-            cuts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
-            rows = [(int(segment[a]), pair, keys[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-            for i in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, kind) for x, kind in zip(zip(*rows[i:i + 64]), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))],
-                    names=["segment", "pair", "keys", "counts"],
-                )
-        held.clear()
+def _squeezed(values: np.ndarray) -> bytes:
+    """Packed, all first bytes of the values together, then all second bytes and so on."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unsqueezed(data: bytes, n: int, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, n * np.dtype(dtype).itemsize, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(-1, n).T).view(dtype)[:, 0]
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the documents, a row each: distinct words; the number of every token's word;
+    the tokens of each text; and the other columns as lists."""
+    task, made, held, size = TaskContext.get(), 0, [], [0, 0]
+
+    def part() -> pa.RecordBatch:
+        words, number, often = np.unique(np.concatenate([h[1] for h in held]), return_inverse=True, return_counts=True)
+        order = np.lexsort((words, -often))  # frequent words get small numbers, words of equal count ascend: both pack well
+        place = np.empty(len(words), np.uint32)
+        place[order] = np.arange(len(words), dtype=np.uint32)
+        rest = pa.Table.from_batches([h[0] for h in held])
+        learnt = pc.sum(rest.column("learn")).as_py() if "learn" in rest.column_names else rest.num_rows
+        columns = {
+            "part": pa.array([made + ((task.partitionId() if task else 0) << 32)], pa.int64()), "bytes": pa.array([size[0]], pa.int64()),
+            "learnt": pa.array([learnt], pa.int64()), "words": pa.array([_squeezed(np.diff(words[order], prepend=np.uint64(0)))], pa.binary()),
+            "n_words": pa.array([len(words)], pa.int64()), "numbers": pa.array([_squeezed(place[number])], pa.binary()),
+            "lengths": pa.array([np.concatenate([np.diff(h[2]) for h in held]).astype(np.int64).tobytes()], pa.binary()),
+        }
+        for name in rest.column_names:
+            values = pa.concat_arrays(rest.column(name).chunks)
+            columns[name] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        return pa.RecordBatch.from_pydict(columns)
 
     for batch in batches:
-        texts = utf8(batch.column("text"))
+        texts, rest = utf8(batch.column("text")), batch.drop_columns(["text"])
         for a, b in blocks(texts):
-            held.append(tokens(texts[a:b])[:2])
-            if sum(len(h[0]) for h in held) >= FLUSH_TOKENS:
-                yield from flush()
+            if held and size[0] + sum(map(len, texts[a:b])) > PART_BYTES:
+                yield part()
+                made, held, size = made + 1, [], [0, 0]
+            held.append((rest.slice(a, b - a), *tokens(texts[a:b])))
+            size = [size[0] + sum(map(len, texts[a:b])), size[1] + len(held[-1][1])]
+            if size[1] >= FLUSH_TOKENS:
+                yield part()
+                made, held, size = made + 1, [], [0, 0]
     if held:
-        yield from flush()
+        yield part()
+
+
+def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A part's distinct words, ascending, the number of every token's word, and the texts' bounds."""
+    bounds = np.r_[0, np.cumsum(np.frombuffer(row["lengths"], np.int64))]
+    words = np.cumsum(_unsqueezed(row["words"], row["n_words"], np.uint64), dtype=np.uint64)
+    order = np.argsort(words)
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    return words[order], place[_unsqueezed(row["numbers"], int(bounds[-1]), np.uint32)], bounds
+
+
+def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The ranges of values (rows of a table) between cuts as a binary column, without a Python object for each."""
+    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    offsets = ((cuts - cuts[0]) * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values[cuts[0]:cuts[-1]])])
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Numbers as rows of as many bytes as the largest takes."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :width])
+
+
+def _wide(column: pa.ChunkedArray, n: np.ndarray) -> np.ndarray:
+    """The numbers of a column of ``n`` narrow ones in each row, end to end."""
+    data, out = _values(column, np.uint8), np.zeros((int(n.sum()), 8), np.uint8)
+    size = pc.binary_length(column).to_numpy().astype(np.int64)
+    each = size // np.maximum(n, 1)
+    for width in np.unique(each[n > 0]):
+        mine = each == width
+        out[np.repeat(mine, n), :width] = data[np.repeat(mine, size)].reshape(-1, width)
+    return out.view(np.uint64)[:, 0]
+
+
+def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of n-grams as they are sent: the first key, and how far each is from the one before."""
+    for batch in batches:
+        cells = pa.Table.from_batches([batch])
+        keys, counts = _values(cells.column("keys"), np.uint64), _values(cells.column("counts"), np.uint32)
+        n = pc.binary_length(batch.column("keys")).to_numpy().astype(np.int64) >> 3
+        cuts = np.r_[0, np.cumsum(n)]
+        steps = np.diff(keys, prepend=np.uint64(0))
+        steps[cuts[:-1]] = 0
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("part", "segment", "pair")), pa.array(n.astype(np.int32)), pa.array(keys[cuts[:-1]].view(np.int64)),
+             _binary(_narrow(steps), cuts), _binary(_narrow(counts), cuts)],
+            names=["part", "segment", "pair", "n", "first", "steps", "counts"],
+        )
+
+
+def _widened(table: pa.Table) -> pa.Table:
+    """The rows that ``_narrowed`` sent as they were."""
+    n = table.column("n").to_numpy().astype(np.int64)
+    cuts, steps = np.r_[0, np.cumsum(n)], np.cumsum(_wide(table.column("steps"), n), dtype=np.uint64)
+    keys = steps + np.repeat(table.column("first").to_numpy().view(np.uint64) - steps[cuts[:-1]], n)
+    return table.select(["part", "segment", "pair"]).append_column("keys", _binary(keys, cuts)).append_column(
+        "counts", _binary(_wide(table.column("counts"), n).astype(np.uint32), cuts)
+    )
+
+
+def _spans(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring cells of some ``BATCH_KEYS`` values together."""
+    edges = np.flatnonzero(np.r_[True, np.diff(cuts[:-1] // BATCH_KEYS) > 0, True])
+    return zip(edges[:-1], edges[1:])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each part, ascending, with their counts in texts to learn from: a row
+    for each segment, arrays packed as bytes. Texts that are not yet in parts are put into some;
+    without a column ``learn`` all are learnt from."""
+    def rows(part: int, pair: bool, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        segment, counts = segment_of(keys, segments), counts.astype(np.uint32)  # far fewer tokens than 2**32 are in a part
+        cuts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
+        for a, b in _spans(cuts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(b - a, part)), pa.array(segment[cuts[a:b]].astype(np.int32)), pa.array([pair] * (b - a)),
+                 _binary(keys, cuts[a:b + 1]), _binary(counts, cuts[a:b + 1])],
+                names=["part", "segment", "pair", "keys", "counts"],
+            )
+
+    for batch in batches:
+        for some in _numbered(iter([batch])) if "text" in batch.schema.names else [batch]:
+            for k in range(some.num_rows):
+                row = some.slice(k, 1).to_pylist()[0]
+                words, number, bounds = _read(row)
+                learn = np.repeat(np.array(row.get("learn", [True] * (len(bounds) - 1)), bool), np.diff(bounds))
+                yield from rows(row["part"], False, words, np.bincount(number[learn], minlength=len(words)))
+                pairs = pairs_of(words[number], bounds)
+                keys, counts = np.unique(pairs[learn], return_counts=True)
+                if not learn.all():
+                    others = np.unique(pairs[~learn])
+                    keys, counts = _summed(np.concatenate([keys, others]), np.r_[counts, np.zeros(len(others), np.int64)])
+                del pairs
+                yield from rows(row["part"], True, keys, counts)
 
 
 def _values(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
@@ -144,6 +273,7 @@ def _segment(table: pa.Table) -> pa.Table:
     pair = table.column("pair")
     words, word_counts = _summed(*(_values(table.filter(pc.invert(pair)).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.uint32))))
     pairs, pair_counts = _summed(*(_values(table.filter(pair).column(c), t) for c, t in (("keys", np.uint64), ("counts", np.uint32))))
+    words, word_counts, pairs, pair_counts = words[word_counts > 0], word_counts[word_counts > 0], pairs[pair_counts > 0], pair_counts[pair_counts > 0]
     segment = table.column("segment")[0].as_py()
     del table, pair
     keys = np.concatenate([words, pairs])
@@ -166,21 +296,8 @@ def _segment(table: pa.Table) -> pa.Table:
     })
 
 
-def train(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Stored (segment, bits, words, word_counts, n_words, n_tokens), and the number of segments."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    segments = max(1, -(-size // SEGMENT_BYTES))
-    counts = docs.select("text").mapInArrow(
-        lambda it: _counted(it, segments), "segment int, pair boolean, keys binary, counts binary"
-    )
-    model = counts.groupBy("segment").applyInArrow(
-        _segment, "segment int, bits binary, words binary, word_counts binary, n_words bigint, n_tokens bigint"
-    )
-    return stored(model, "model"), segments
-
-
 def _packed(rows: list, segments: int) -> dict:
-    """Some neighbouring segments of the model in flat arrays, as they are broadcast."""
+    """Some neighbouring segments of the model in flat arrays."""
     rows = sorted(rows, key=lambda row: row.segment)
     size = np.array([len(row.bits) * 8 for row in rows])
     return {
@@ -220,59 +337,53 @@ def _exact(part: dict, keys: np.ndarray) -> np.ndarray:
     return np.where(part["words"][place] == keys, part["counts"][place], 0)
 
 
-def _mine(group: list[dict], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[dict, int, int]]]:
-    """The places of the n-grams that a group's segments can hold, their distinct keys, the key of
-    each place, and each part's range of the keys: a pass looks up no other group's n-grams."""
-    group = [part for part in group if len(part["ids"])]
-    if not group:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), []
-    segment = segment_of(keys, group[0]["segments"])
-    at = np.flatnonzero((segment >= group[0]["ids"][0]) & (segment <= group[-1]["ids"][-1]))
-    distinct, place = np.unique(keys[at], return_inverse=True)  # ascending, as segments are
-    starts = np.searchsorted(segment_of(distinct, group[0]["segments"]), [part["ids"][0] for part in group])
-    return at, distinct, place, list(zip(group, starts, [*starts[1:], len(distinct)]))
-
-
-def _scorer(parts: list[Broadcast], last: bool, n_tokens: int, n_words: int, n_docs: int) -> Callable:
-    """A pass over the documents with one group of the model's segments."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, values, spread = [part.value for part in parts], level_values(), n_tokens + n_words + 1
-        for batch in batches:
-            texts = utf8(batch.column("text"))
-            known, base = batch.column("n_known").to_numpy().copy(), batch.column("log_sum").to_numpy().copy()
-            before, kept, score, count = batch.column("levels").to_pylist(), [], np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            for a, b in blocks(texts, SCORE_BLOCK):
-                single, pair, bounds = tokens(texts[a:b])
-                owner, count[a:b] = np.repeat(np.arange(a, b), np.diff(bounds)), np.diff(bounds)
-                levels = np.zeros((2, len(single)), np.uint8)
-                for k, keys in enumerate((single, pair)):
-                    at, distinct, place, ranges = _mine(group, keys)
-                    levels[k, at] = np.concatenate([np.zeros(0, np.uint8), *[_levels(part, distinct[s:e]) for part, s, e in ranges]])[place]
-                    if k == 0:
-                        exact = np.concatenate([np.zeros(0, np.int64), *[_exact(part, distinct[s:e]) for part, s, e in ranges]])
-                        known += np.bincount(owner[at], (exact > 0)[place], len(texts)).astype(np.int64)
-                        base += np.bincount(owner[at], np.log10(exact + 1.0)[place], len(texts))
-                for i in range(a, b):
-                    if before[i] is not None:
-                        part = levels[:, bounds[i - a]:bounds[i - a + 1]]
-                        np.maximum(part, np.frombuffer(before[i], np.uint8).reshape(2, -1), out=part)
-                if last:
-                    c, together = values[levels[0]], values[levels[1]]
-                    head = np.r_[0.0, c[:-1]]
-                    head[bounds[:-1]] = n_docs
-                    # a pair is never seen more often than its first word, whatever the levels' middles say
-                    p = (np.minimum(together, head) + MU * (c + 1) / spread) / (head + MU)
-                    score += np.bincount(owner, np.log10(np.minimum(p, 1.0)), len(texts))
-                else:
-                    kept += [levels[:, s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:])]
-            out = [batch.column(c) for c in ("doc_id", "learn")]
-            if last:
-                out += [pa.array(count), pa.array(known), pa.array(base - count * np.log10(spread)), pa.array(score)]
-                names = ["doc_id", "learn", "n_tokens", "n_known", "base_score", "score"]
-            else:
-                out += [batch.column("text"), pa.array(kept, pa.binary()), pa.array(known), pa.array(base)]
-                names = ["doc_id", "learn", "text", "levels", "n_known", "log_sum"]
-            yield pa.RecordBatch.from_arrays(out, names=names)
+def _answered(table: pa.Table, segments: int) -> pa.Table:
+    """One segment's filter, looked up for all its n-grams of all parts: their levels and the exact
+    counts of words, in the order of each part's n-grams. The first row has the segment's totals."""
+    table = _widened(table)
+    built = _segment(table).to_pylist()
+    model, out = _packed([SimpleNamespace(**row) for row in built], segments), []
+    for pair in (False, True):
+        rows = table.filter(table.column("pair") if pair else pc.invert(table.column("pair")))
+        distinct, place = np.unique(_values(rows.column("keys"), np.uint64), return_inverse=True)
+        levels = _levels(model, distinct)[place]
+        exact = np.zeros(0, np.int64) if pair else _exact(model, distinct)[place]
+        cuts = np.r_[0, np.cumsum(pc.binary_length(rows.column("keys")).to_numpy() >> 3)].astype(np.int64)
+        out.append(pa.table({
+            "part": rows.column("part"), "segment": rows.column("segment"), "pair": rows.column("pair"), "levels": _binary(levels, cuts),
+            "exact": _binary(_narrow(exact), np.zeros_like(cuts) if pair else cuts),
+        }))
+    out = pa.concat_tables(out)
+    for name in ("n_words", "n_tokens"):
+        out = out.append_column(name, pa.array(np.r_[built[0][name], np.zeros(out.num_rows - 1, np.int64)], pa.int64()))
+    return out
+
+
+def _scorer(kept: list[str], n_tokens: int, n_words: int, n_docs: int) -> Callable:
+    """The scores of a part's documents from the answers of all segments; ``kept`` columns stay."""
+    def run(parts: pa.Table, answers: pa.Table) -> pa.Table:
+        row, values, spread = parts.drop_columns(kept).to_pylist()[0], level_values(), n_tokens + n_words + 1
+        words, number, bounds = _read(row)
+        answers = answers.sort_by("segment")  # segments are ranges of hashes: so come the keys, ascending
+        asked = answers.filter(pc.invert(answers.column("pair")))
+        levels = _values(asked.column("levels"), np.uint8)
+        exact = _wide(asked.column("exact"), pc.binary_length(asked.column("levels")).to_numpy().astype(np.int64))
+        distinct, place = np.unique(pairs_of(words[number], bounds), return_inverse=True)
+        pair_levels = _values(answers.filter(answers.column("pair")).column("levels"), np.uint8)
+        if len(levels) != len(words) or len(exact) != len(words) or len(pair_levels) != len(distinct):
+            raise RuntimeError(f"part {row['part']}: not every n-gram was answered")
+        count, owner = np.diff(bounds), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        known = np.bincount(owner, (exact > 0)[number], len(count)).astype(np.int64)
+        base = np.bincount(owner, np.log10(exact + 1.0)[number], len(count)) - count * np.log10(spread)
+        c, together = values[levels][number], values[pair_levels][place]
+        del distinct, place
+        head = np.r_[0.0, c[:-1]]
+        head[bounds[:-1]] = n_docs
+        # a pair is never seen more often than its first word, whatever the levels' middles say
+        p = (np.minimum(together, head) + MU * (c + 1) / spread) / (head + MU)
+        score = np.bincount(owner, np.log10(np.minimum(p, 1.0)), len(count))
+        rest = {name: parts.column(name).combine_chunks().flatten() for name in kept}
+        return pa.table(rest | {"n_tokens": count, "n_known": known, "base_score": base, "score": score})
 
     return run
 
@@ -298,32 +409,29 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     one: it has the end only. Repeated rows count and score as often as they
     come. If nothing is learnt from, all words are unknown.
     """
-    spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce(learn, F.lit(False)).alias("learn"), "text")
-    model, segments = train(rows.filter("learn"))
-    sized = model.select("segment", "n_words", "n_tokens", (F.octet_length("bits") + 2 * F.octet_length("words")).alias("size")).collect()
-    n_words, n_tokens = sum(r.n_words for r in sized), sum(r.n_tokens for r in sized)
-    n_docs = rows.filter("learn").count()
-    groups = [_runs(run, PART_BYTES) for run in _runs(sized, BROADCAST_BYTES)] or [[]]
-    state = rows.select(
-        "doc_id", "learn", "text", F.lit(None).cast("binary").alias("levels"),
-        F.lit(0).cast("bigint").alias("n_known"), F.lit(0.0).alias("log_sum"),
+    key = rows.schema["doc_id"].dataType.simpleString()
+    parts = stored(rows.mapInArrow(
+        _numbered,
+        f"part bigint, bytes bigint, learnt bigint, words binary, n_words bigint, numbers binary, lengths binary, doc_id array<{key}>, learn array<boolean>",
+    ), "parts", group_rows=PART_ROWS)
+    size, n_docs = (x or 0 for x in parts.agg(F.sum("bytes"), F.sum("learnt")).first())
+    segments = max(1, -(-size // SEGMENT_BYTES))
+    counts = parts.select("part", "words", "n_words", "numbers", "lengths", "learn").mapInArrow(
+        lambda it: _narrowed(_counted(it, segments)),
+        "part bigint, segment int, pair boolean, n int, first bigint, steps binary, counts binary",
+    )
+    answers = stored(counts.groupBy("segment").applyInArrow(
+        lambda table: _answered(table, segments),
+        "part bigint, segment int, pair boolean, levels binary, exact binary, n_words bigint, n_tokens bigint",
+    ), "answers", "zstd")
+    n_words, n_tokens = (x or 0 for x in answers.agg(F.sum("n_words"), F.sum("n_tokens")).first())
+    scored = parts.select("part", "words", "n_words", "numbers", "lengths", "doc_id", "learn").groupBy("part").cogroup(
+        answers.select("part", "segment", "pair", "levels", "exact").groupBy("part")
+    ).applyInArrow(
+        _scorer(["doc_id", "learn"], n_tokens, n_words, n_docs),
+        f"doc_id {key}, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double",
     )
-    for k, parts in enumerate(groups):
-        sent = [spark.sparkContext.broadcast(_packed(
-            model.filter(F.col("segment").between(part[0].segment, part[-1].segment)).collect(), segments
-        )) for part in parts]
-        if not sent:
-            sent = [spark.sparkContext.broadcast(_packed([], segments))]
-        if last := k + 1 == len(groups):
-            schema = "doc_id bigint, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-        else:
-            schema = "doc_id bigint, learn boolean, text string, levels binary, n_known bigint, log_sum double"
-        state = state.mapInArrow(_scorer(sent, last, n_tokens, n_words, n_docs), schema)
-        if not last:
-            state = stored(state, "levels", "zstd")
-            for part in sent:
-                part.unpersist()  # executors hold one group at a time
-    return state.select(
+    return scored.select(
         "doc_id", "learn", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )

@@ -147,6 +147,57 @@ def test_language_model_filter_seldom_finds_what_is_not_there():
     assert (lm_score._levels(model, absent) >= 1).mean() < 0.015
 
 
+def test_language_model_takes_no_more_passes_for_a_larger_model(spark, monkeypatch):
+    """However many segments and parts there are, texts are stored once and n-grams looked up once."""
+    source = docs(spark).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))  # ids of any type
+    store, made = lm_score.stored, []
+    monkeypatch.setattr(lm_score, "stored", lambda df, *a, **b: made.append(df.columns) or store(df, *a, **b))
+    learn = F.coalesce(F.crc32(F.col("doc_id").cast("binary")) % 5 != 2, F.lit(False))
+
+    def base():
+        made.clear()
+        rows = lm_score.score(source, learn).collect()
+        assert all(r.learn is not None and math.isfinite(r.score) for r in rows)
+        return Counter((r.doc_id, r.learn, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows), list(made)
+
+    one, passes = base()
+    for name, small in (("BROADCAST_BYTES", 20_000), ("PART_BYTES", 10_000), ("SEGMENT_BYTES", 5_000)):
+        monkeypatch.setattr(lm_score, name, small)
+    many, more = base()
+    assert one == many and sum(one.values()) == source.count()
+    assert len(more) == len(passes) and not any("text" in columns for columns in more)
+
+
+def test_language_model_rows_arrive_as_they_were_sent():
+    texts = ["a b a b c", None, "x", " ".join(f"w{k}" for k in range(3_000)), "be " * 70_000]
+    rows = list(lm_score._counted(iter([pa.RecordBatch.from_pydict({"text": texts, "learn": [True, False, False, True, True]})]), 7))
+    sent = pa.Table.from_batches(rows)
+    got = lm_score._widened(pa.Table.from_batches(list(lm_score._narrowed(iter(rows)))))
+    assert got.to_pylist() == sent.to_pylist() and set(sent.column("segment").to_pylist()) == set(range(7))
+    edges = np.array([0, 1, 255, 256, (1 << 64) - 1], np.uint64)
+    table = pa.table({
+        "part": [1, 1, 2], "segment": pa.array([0, 0, 0], pa.int32()), "pair": [False, True, True],
+        "keys": pa.array([edges.tobytes(), edges[2:3].tobytes(), edges[::4].tobytes()], pa.binary()),
+        "counts": pa.array([np.array(c, np.uint32).tobytes() for c in ([0, 1, 255, 256, (1 << 32) - 1], [0], [3, 70_000])], pa.binary()),
+    })
+    narrow = [lm_score._narrowed(iter(table.slice(k, 1).to_batches())) for k in range(3)]  # each row of other widths
+    assert lm_score._widened(pa.Table.from_batches([next(x) for x in narrow])).to_pylist() == table.to_pylist()
+
+
+def test_language_model_answers_every_part_in_its_order():
+    rows = list(lm_score._counted(iter([
+        pa.RecordBatch.from_pydict({"text": ["a b a", "c d"], "learn": [True, False]}), pa.RecordBatch.from_pydict({"text": ["d a b"], "learn": [True]}),
+    ]), 1))
+    out = lm_score._answered(pa.Table.from_batches(list(lm_score._narrowed(iter(rows)))), 1).to_pylist()
+    assert [r["n_words"] for r in out if r["n_words"]] == [4] and sum(r["n_tokens"] for r in out) == 8  # a, b, d and the end
+    count = {w: n for w, n in zip([*lm_score.tokens([b"a b d c"])[0]], [3, 2, 1, 0, 2])}
+    asked = [np.frombuffer(x, np.uint64) for r in rows for x, p in zip(r.column("keys").to_pylist(), r.column("pair").to_pylist()) if not p]
+    given = [r for r in out if not r["pair"]]
+    for keys, r in zip(asked, given):
+        assert list(np.frombuffer(r["exact"], np.uint8)) == [count[k] for k in keys]
+        assert all(level >= (count[k] > 0) for k, level in zip(keys, r["levels"]))
+
+
 def test_kneser_ney_is_a_distribution(spark):
     train = spark.createDataFrame([(prose(k, 50),) for k in range(30)] + [(None,), ("",)], "text string")
     model, unknown = kneser_ney.train(train)
